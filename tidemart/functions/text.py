@@ -42,8 +42,12 @@ def keep_keys(entries, keys: Column) -> Column:
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """JSON text to the columns of ``schema``."""
-    return df.select(F.from_json(F.col(value), schema).alias("_r")).select("_r.*")
+    """JSON text to the columns of ``schema``.
+
+    ``inline`` makes the parse a step of its own. A plain projection would be
+    repeated in every later filter that the optimizer pushes below it.
+    """
+    return df.select(F.inline(F.array(F.from_json(F.col(value), schema))))
 
 
 def parse_record(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
@@ -53,8 +57,8 @@ def parse_record(df: DataFrame, schema: T.StructType, value: str = "value") -> D
     a field that does not fit its type becomes null.
     """
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = df.select(F.from_json(F.col(value), text).alias("_r"))
-    return raw.select([F.col("_r")[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    raw = parse_json(df, text, value)
+    return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def to_value(df: DataFrame) -> DataFrame:

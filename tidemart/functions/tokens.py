@@ -20,26 +20,23 @@ def candidate_words(df: DataFrame, text: str, max_chars: int = 0, name: str = "w
     """One row per word, dropping ``text``; a text without words keeps one null row.
 
     With ``max_chars`` > 0 the Chinese runs give all substrings of up to that
-    many characters, and ``_cjk`` marks them as not yet checked. Each step is
-    its own explode, so no row ever holds all the substrings of a long text.
+    many characters, and ``_cjk`` marks them as not yet checked. Runs become
+    rows first, so no array holds the substrings of a whole text.
     """
     keep = [c for c in df.columns if c != text]
     pattern = f"{LETTERS}|{CJK}" if max_chars else LETTERS
     runs = df.select(*keep, F.explode_outer(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("_run"))
     if not max_chars:
         return runs.select(*keep, F.lower("_run").alias(name))
-    cjk = F.coalesce(F.col("_run").rlike(CJK), F.lit(False))
-    size = F.length("_run")
-    starts = runs.select(
-        "*", cjk.alias("_cjk"),
-        F.explode(F.when(cjk, F.sequence(F.lit(1), size)).otherwise(F.array(F.lit(1)))).alias("_from"),
-    )
-    reach = F.least(F.lit(max_chars), size - F.col("_from") + 1)
-    pieces = starts.select(
-        "*",
-        F.explode(F.when(F.col("_cjk"), F.sequence(F.lit(1), reach)).otherwise(F.array(size))).alias("_chars"),
-    )
-    return pieces.select(*keep, "_cjk", F.lower(F.substring(F.col("_run"), F.col("_from"), F.col("_chars"))).alias(name))
+    cjk = F.coalesce(F.ascii("_run") > 127, F.lit(False))
+    size, at = F.length("_run"), F.col("_at")
+    # every (start, length) of a Chinese run as one number; other runs stay one row
+    places = F.when(F.col("_cjk"), F.sequence(F.lit(0), size * max_chars - 1))
+    pieces = runs.select(*keep, "_run", cjk.alias("_cjk")).select("*", F.explode_outer(places).alias("_at"))
+    start, chars = F.floor(at / max_chars).cast("int") + 1, at % max_chars + 1
+    inside = at.isNull() | (start + chars - 1 <= size)
+    word = F.when(at.isNull(), F.col("_run")).otherwise(F.substring(F.col("_run"), start, chars))
+    return pieces.filter(inside).select(*keep, "_cjk", F.lower(word).alias(name))
 
 
 def in_dictionary(words: DataFrame, dictionary: DataFrame, name: str = "word") -> DataFrame:

@@ -31,9 +31,11 @@ def interval_join(
     slot_ms = slot_ms or max(upper_ms - lower_ms, 1)
 
     def slot(shift_ms: int) -> Column:
-        return F.floor((F.unix_millis(rt) + F.lit(shift_ms)) / F.lit(slot_ms))
+        ms = F.unix_millis(rt) + F.lit(shift_ms)
+        return ms - F.pmod(ms, F.lit(slot_ms))
 
-    spread = left.withColumn("_slot", F.explode(F.sequence(slot(lower_ms), slot(upper_ms))))
+    slots = F.sequence(slot(lower_ms), slot(upper_ms), F.lit(slot_ms).cast("bigint"))
+    spread = left.withColumn("_slot", F.explode(slots))
     placed = right.withColumn("_slot", slot(0))
     cond = F.col("l._slot") == F.col("r._slot")
     for a, b in on:

@@ -102,9 +102,9 @@ def time_slots(df: DataFrame, within_ms: int, slot_ms: int) -> DataFrame:
     its record, to the slot before. Every slot then sees what follows each of
     its rows by less than ``within_ms``, provided ``slot_ms >= within_ms``.
     """
-    slot = F.floor(F.col("ts") / F.lit(slot_ms))
-    near_start = F.pmod(F.col("ts"), F.lit(slot_ms)) < within_ms
-    slots = F.when(near_start, F.array(slot, slot - 1)).otherwise(F.array(slot))
+    into = F.pmod(F.col("ts"), F.lit(slot_ms))
+    slot = F.col("ts") - into
+    slots = F.when(into < within_ms, F.array(slot, slot - slot_ms)).otherwise(F.array(slot))
     spread = df.select("*", F.explode(slots).alias("slot"))
     own = F.col("slot") == slot
     return spread.withColumn("own", own).withColumn("record", F.when(own & F.col("entry"), F.col("record")))

@@ -28,15 +28,19 @@ def rules_broadcast_join(changes: DataFrame, rules: DataFrame) -> DataFrame:
 
     Rules are one row per table and operation. No hint is given: the planner
     sends them to every task while they are under the broadcast threshold.
+    ``listed`` is the rule's column list, split once per rule.
     """
     on = (F.col("c.table") == F.col("r.source_table")) & (F.col("c.type") == F.col("r.operate_type"))
-    joined = changes.alias("c").join(rules.alias("r"), on)
-    return joined.select("c.*", "r.sink_type", "r.sink_table", "r.sink_columns", "r.sink_pk")
+    side = rules.select(
+        "source_table", "operate_type", "sink_type", "sink_table", "sink_pk", comma_list("sink_columns").alias("listed")
+    )
+    joined = changes.alias("c").join(side.alias("r"), on)
+    return joined.select("c.*", "r.sink_type", "r.sink_table", "r.sink_pk", "r.listed")
 
 
-def prune_columns(df: DataFrame, entries: str = "after", columns: str = "sink_columns") -> DataFrame:
-    """Keep only the map entries that the rule lists; names are not trimmed."""
-    return df.withColumn(entries, keep_keys(entries, comma_list(columns)))
+def prune_columns(df: DataFrame, listed, entries: str = "after") -> DataFrame:
+    """Keep only the map entries named in the array ``listed``; names are not trimmed."""
+    return df.withColumn(entries, keep_keys(entries, F.col(listed) if isinstance(listed, str) else listed))
 
 
 def route_by_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
@@ -45,7 +49,7 @@ def route_by_rules(changes: DataFrame, rules: DataFrame) -> DataFrame:
     Rules of any other sink type than the two known drop their records.
     """
     known = rules.filter(F.col("sink_type").isin(S.SINK_DIMENSION, S.SINK_TOPIC))
-    return prune_columns(rules_broadcast_join(drop_deletes(changes), known)).drop("sink_columns")
+    return prune_columns(rules_broadcast_join(drop_deletes(changes), known), "listed").drop("listed")
 
 
 def to_topics(routed: DataFrame) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemart import schemas as S
 from tidemart.functions.times import with_event_time
 from tidemart.operators import facts, joins, logs, routing, stats
 from tidemart.sources import driver_tables as D
@@ -60,10 +62,12 @@ class Layers:
 
     # ---- product, province, keyword
     def product_facts(self) -> DataFrame:
-        s, f = self.spark, self.folder
+        """Products are looked up after counting, so the order lines go in without dimensions."""
+        s, f, wide = self.spark, self.folder, self.order_wide()
+        bare = wide.select("*", *[F.lit(None).alias(c) for c in S.ORDER_WIDE_DIMS])
         return facts.product_union(
-            self.pages(), D.favor_info(s, f), D.cart_info(s, f), self.order_wide(),
-            self.payment_wide(), D.refund_info(s, f), D.comment_info(s, f),
+            self.pages(), D.favor_info(s, f), D.cart_info(s, f), wide,
+            self.payment_wide(bare), D.refund_info(s, f), D.comment_info(s, f),
         )
 
     def product_stats(self) -> DataFrame:

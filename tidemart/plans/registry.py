@@ -208,9 +208,7 @@ def _(spark, folder):
 
 @query("prune_columns")
 def _(spark, folder):
-    pruned = routing.prune_columns(
-        Layers(spark, folder).changes().withColumn("sink_columns", F.lit("id,note, user"))
-    )
+    pruned = routing.prune_columns(Layers(spark, folder).changes(), F.split(F.lit("id,note, user"), ","))
     after = F.col("after")
     return pruned.select("table", "type", "ts_ms", after["id"].alias("id"), after["note"].alias("note"),
                          after["user"].alias("user"), after["status"].alias("status"))

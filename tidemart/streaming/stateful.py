@@ -46,7 +46,7 @@ def fix_is_new_stream(df: DataFrame) -> DataFrame:
     marked = claims.groupBy("mid").applyInPandasWithState(
         _mark_first, "value STRING, first BOOLEAN", "seen BOOLEAN", "append", GroupStateTimeout.NoTimeout
     )
-    back = marked.select(F.from_json("value", schema).alias("_r"), "first").select("_r.*", "first")
+    back = marked.select("first", F.inline(F.array(F.from_json("value", schema))))
     flag = F.when(F.col("first"), "1").otherwise("0")
     fixed = back.withColumn("common", F.col("common").withField("is_new", flag)).select(df.columns)
     return fixed.unionByName(df.filter(~F.col("common.is_new").eqNullSafe("1")))
@@ -111,5 +111,5 @@ def user_jump_stream(
             GroupStateTimeout.EventTimeTimeout,
         )
     )
-    out = jumps.select(F.from_json("value", schema).alias("_r"), "kind").select("_r.*", "kind")
+    out = jumps.select("kind", F.inline(F.array(F.from_json("value", schema))))
     return out if kind else out.drop("kind")

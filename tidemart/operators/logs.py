@@ -27,9 +27,11 @@ def first_row(df: DataFrame, keys: dict, order: list[str]) -> DataFrame:
     return picked.select([F.col("_row")[c].alias(c) for c in df.columns])
 
 
-def fix_is_new(df: DataFrame) -> DataFrame:
+def fix_is_new(df: DataFrame, devices: DataFrame | None = None) -> DataFrame:
     """Leave ``is_new='1'`` only on each device's first record that claims it.
 
+    With ``devices(mid)`` only those devices may keep a claim, the others are
+    known from before.
     Records with any other value pass through unshuffled. The claiming ones are
     joined to the first claim on (device, time), so the rows of one device
     spread over its times.
@@ -37,6 +39,8 @@ def fix_is_new(df: DataFrame) -> DataFrame:
     claims = df.filter(F.col("common.is_new") == "1")
     others = df.filter(~F.col("common.is_new").eqNullSafe("1"))
     first = claims.groupBy(F.col("common.mid").alias("_mid")).agg(F.min("ts").alias("_ts"))
+    if devices is not None:
+        first = first.join(devices.select(F.col("mid").alias("_mid")), "_mid", "left_semi")
     keyed = claims.withColumn("_key", F.col("common.mid")).withColumn("_tie", F.xxhash64(*df.columns))
     joined = keyed.join(first, (keyed["_key"] == first["_mid"]) & (keyed["ts"] == first["_ts"]), "left")
     same_time = Window.partitionBy("_key", "ts").orderBy("_tie")

@@ -37,7 +37,9 @@ class Layers:
         return logs.user_jump(self.pages(), self.jump_ms)
 
     def visitor_facts(self) -> DataFrame:
-        return facts.visitor_union(self.pages(), self.unique_visits(), self.jumps())
+        """Only the columns that are counted go through the shuffles of visits and jumps."""
+        thin = self.pages().select("common", F.struct("page.last_page_id", "page.during_time").alias("page"), "ts")
+        return facts.visitor_union(thin, logs.unique_visit(thin), logs.user_jump(thin, self.jump_ms))
 
     def visitor_stats(self) -> DataFrame:
         return stats.visitor_stats(with_event_time(self.visitor_facts()), self.width)

@@ -310,7 +310,7 @@ BODIES = {
     "user_jump": f"{FLAT} jump_10s",
     "user_jump_hourly": f"{FLAT} jump_6h",
     "fix_is_new_stream": FIXED,
-    "unique_visit_stream": f"SELECT mid, strftime(make_timestamp(ts * 1000), '%Y-%m-%d') AS visit_date FROM uv",
+    "unique_visit_stream": f"{FLAT} uv",
     "user_jump_stream": "SELECT mid, ts, kind FROM jump_6h",
     "visitor_stats_stream": _visitor_stats("visitor_rows_6h", 3_600_000),
     "product_stats_stream": _product_stats(3_600_000),

@@ -8,6 +8,7 @@ bounds, and with hours (``_hourly``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from tidemart.operators import facts, joins, logs, reports, routing, stats
 from tidemart.plans.layers import Layers
 from tidemart.session import shared_folder, use_settings
 from tidemart.sinks import dimensions, topics
-from tidemart.sinks.stats import write_stats
+from tidemart.sinks.stats import read_stats, write_stats
 from tidemart.sources import changes as C
 from tidemart.sources import driver_tables as D
 from tidemart.sources import tables as TB
@@ -163,8 +164,8 @@ def _(spark, folder):
     path = shared_folder(spark, "stats")
     counted = Layers(spark, folder, **HOURLY).visitor_stats()
     write_stats(counted, path)
-    write_stats(spark.read.parquet(path).drop("day", "batch_id"), f"{path}-copy")
-    return spark.read.parquet(f"{path}-copy").drop("day", "batch_id")
+    write_stats(counted, path)  # a retried batch replaces itself
+    return read_stats(spark, path).drop("day")
 
 
 # ---- projection, filter, routing ---------------------------------------
@@ -496,20 +497,30 @@ def closing_page(pages: DataFrame) -> DataFrame:
     return late.withColumn("common", mid)
 
 
+def settled_result(spark, run, name: str) -> DataFrame:
+    """The batches that a run over ``write`` has written."""
+    out = shared_folder(spark, name)
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
+
+    finish(run(write, f"{out}/checkpoint", runs.NOW))
+    return spark.read.parquet(f"{out}/data").drop("batch")
+
+
 @query("fix_is_new_stream")
 def _(spark, folder):
     log = D.base_log(spark, folder)
     stream = as_stream(spark, log, log.limit(0), "base_log")
-    fixed = stateful.fix_is_new_stream(stream)
-    return stream_result(spark, fixed.select("common.mid", "common.is_new", "page.page_id", "ts"), "fixed")
+    fixed = settled_result(spark, partial(stateful.fix_is_new_stream, stream), "fixed")
+    return fixed.select("common.mid", "common.is_new", "page.page_id", "ts")
 
 
 @query("unique_visit_stream")
 def _(spark, folder):
     pages = D.page_log(spark, folder)
     stream = as_stream(spark, pages, pages.limit(0), "pages")
-    visits = stateful.unique_visit_stream(stream)
-    return stream_result(spark, visits.select("common.mid", times.ymd("ts").alias("visit_date")), "visits")
+    return flat_log(settled_result(spark, partial(stateful.unique_visit_stream, stream), "visits"))
 
 
 @query("user_jump_stream")

@@ -38,6 +38,17 @@ def use_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, per_task: int = 128 << 20) -> int:
+    """Shuffle partitions for an input, one per ``per_task`` bytes and at least one per core.
+
+    Adaptive execution merges small partitions but splits only skewed ones, so
+    start high enough. A stateful stream keeps the number of its first start.
+    """
+    partitions = max(-(-input_bytes // per_task), spark.sparkContext.defaultParallelism)
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder every executor can reach.
 

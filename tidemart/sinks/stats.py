@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,6 +15,11 @@ def write_stats(df: DataFrame, path: str, batch_id: int = 0) -> None:
     )
 
 
+def read_stats(spark: SparkSession, path: str) -> DataFrame:
+    """Stored statistics, with the partition column ``day`` as text."""
+    return spark.read.parquet(path).drop("batch_id").withColumn("day", F.col("day").cast("string"))
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, columns: list[str] | None = None, batch_size: int = 5_000, **options) -> None:
     """Append rows to a database table, by column name.
 

@@ -27,6 +27,18 @@ from tidemart.streaming.runs import run_batches
 PAGE = [f for f in S.LOG.fieldNames() if f != "start"]
 
 
+def _dimension_tables(rules: DataFrame) -> dict[str, tuple[str, str | None]]:
+    """Columns and key of every dimension table the rules name: a few rows per rule."""
+    named = rules.filter(F.col("sink_type") == S.SINK_DIMENSION).select("sink_table", "sink_columns", "sink_pk")
+    tables: dict[str, tuple[str, str | None]] = {}
+    for r in named.orderBy("sink_table", "sink_columns").collect():
+        columns, pk = tables.get(r.sink_table, ("", r.sink_pk))
+        # insert and update rules of a table list its columns together
+        merged = dict.fromkeys([c for c in columns.split(",") if c] + r.sink_columns.split(","))
+        tables[r.sink_table] = (",".join(merged), pk)
+    return tables
+
+
 @dataclass
 class Jobs:
     """Where topics, dimension tables, statistics and checkpoints live."""
@@ -51,13 +63,16 @@ class Jobs:
     def _run(self, name: str, df: DataFrame, write):
         return run_batches(df, write, f"{self.checkpoints}/{name}", self.trigger)
 
-    def _publish(self, name: str, df: DataFrame):
-        """Publish a stream as JSON under a topic of the job's name."""
+    def _writer(self, name: str):
+        """Writes a micro-batch as JSON under a topic."""
 
         def write(rows: DataFrame, batch_id: int) -> None:
             topics.write_topic_dynamic(to_value(rows).select(F.lit(name).alias("topic"), "value"), self.uri, batch_id)
 
-        return self._run(name, df, write)
+        return write
+
+    def _publish(self, name: str, df: DataFrame):
+        return self._run(name, df, self._writer(name))
 
     def _dims(self) -> dict[str, DataFrame]:
         names = [S.DIM_USER, S.DIM_SKU, S.DIM_SPU, S.DIM_TRADEMARK, S.DIM_CATEGORY3, S.DIM_PROVINCE]
@@ -75,18 +90,18 @@ class Jobs:
         def write(rows: DataFrame, batch_id: int) -> None:
             records = read_topic(self.spark, self.uri, rules_topic, stream=False)
             rules = routing.rules_first_wins(cdc_snapshot_rules(records), latest=latest).persist()
+            # reading the tables also fills the cache, so the planner knows the rules' true size
+            tables = _dimension_tables(rules)
             routed = routing.route_by_rules(rows, rules).persist()
             topics.write_topic_dynamic(topics.topic_rows(routing.to_topics(routed)), self.uri, batch_id)
             to_dims = routing.to_dimensions(routed)
-            # one pass per dimension table; insert and update rules of a table list its columns together
-            tables = (
-                rules.filter(F.col("sink_type") == S.SINK_DIMENSION).groupBy("sink_table")
-                .agg(F.array_join(F.collect_set("sink_columns"), ",").alias("columns"), F.min("sink_pk").alias("pk"))
-            )
-            for t in tables.collect():
-                columns = ",".join(dict.fromkeys(t["columns"].split(",")))
-                mine = to_dims.filter(F.col("sink_table") == t["sink_table"])
-                dimensions.upsert_dim(mine, self.dims_root, t["sink_table"], columns, t["pk"], "route", batch_id)
+            changed = {r.sink_table for r in to_dims.select("sink_table").distinct().collect()}
+            for name, (columns, pk) in tables.items():
+                if name in changed:
+                    mine = to_dims.filter(F.col("sink_table") == name)
+                    dimensions.upsert_dim(mine, self.dims_root, name, columns, pk, "route", batch_id)
+                else:
+                    dimensions.ensure_dim_table(self.spark, self.dims_root, name, columns)
             routed.unpersist()
             rules.unpersist()
 
@@ -98,7 +113,7 @@ class Jobs:
         """The raw log to start, page and display topics, with ``is_new`` put right."""
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            rows.persist()
+            rows = rows.persist()
             parts = [
                 to_value(part).select(F.lit(topic).alias("topic"), "value")
                 for topic, part in logs.split_log(rows).items()
@@ -107,10 +122,11 @@ class Jobs:
             rows.unpersist()
 
         log = parse_json(self._read(S.TOPIC_BASE_LOG), S.LOG)
-        return self._run("split_logs", stateful.fix_is_new_stream(log), write)
+        return stateful.fix_is_new_stream(log, write, f"{self.checkpoints}/split_logs", self.trigger)
 
     def unique_visits(self):
-        return self._publish(S.TOPIC_UNIQUE_VISIT, stateful.unique_visit_stream(self._pages()))
+        name = S.TOPIC_UNIQUE_VISIT
+        return stateful.unique_visit_stream(self._pages(), self._writer(name), f"{self.checkpoints}/{name}", self.trigger)
 
     def user_jumps(self, within_ms: int = 10_000, delay: str = "2 seconds"):
         return self._publish(S.TOPIC_USER_JUMP, stateful.user_jump_stream(self._pages(), within_ms, delay))

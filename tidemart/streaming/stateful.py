@@ -3,60 +3,97 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemart.functions.text import is_entry
 from tidemart.functions.times import with_event_time, ymd
-from tidemart.operators.logs import entry_pages, time_slots
-
-
-def _mark_first(key, chunks, state: GroupState):
-    """Mark the earliest claim of a device that has none yet; hold one row at a time."""
-    best = None
-    for chunk in chunks:
-        first = pd.Series(False, index=chunk.index)
-        if not state.exists:
-            top = chunk.sort_values(["ts", "tie"]).iloc[[0]]
-            if best is None or (top.ts.iat[0], top.tie.iat[0]) < (best.ts.iat[0], best.tie.iat[0]):
-                best, top = top, best
-                chunk = chunk.drop(best.index)
-                if top is not None:
-                    chunk = pd.concat([chunk, top])
-                first = pd.Series(False, index=chunk.index)
-        yield pd.DataFrame({"value": chunk.value, "first": first})
-    if best is not None:
-        state.update((True,))
-        yield pd.DataFrame({"value": best.value, "first": [True]})
-
-
-def fix_is_new_stream(df: DataFrame) -> DataFrame:
-    """Leave ``is_new='1'`` on a device's first claim, across batches and without expiry.
+from tidemart.operators.logs import entry_pages, fix_is_new, time_slots, unique_visit
+from tidemart.streaming.runs import run_batches
+
+
+def _with_fresh(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows of ``df`` with null keys, then rows of ``keys`` with a null record."""
+    record = F.struct(*df.columns)
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in keys.schema.fields]
+    rows = df.select(record.alias("record"), *nothing)
+    return rows.unionByName(keys.select(F.lit(None).cast(df.select(record).schema[0].dataType).alias("record"), "*"))
+
+
+def _records(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("record").isNotNull()).select("record.*")
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("record").isNull()).drop("record")
+
+
+def _run_settled(stream: DataFrame, settle, write, checkpoint: str, trigger: dict | None) -> StreamingQuery:
+    """Settle each micro-batch, which reads it more than once, and hand it on."""
+
+    def both(rows: DataFrame, batch_id: int) -> None:
+        rows = rows.persist()
+        write(settle(rows), batch_id)
+        rows.unpersist()
+
+    return run_batches(stream, both, checkpoint, trigger)
+
+
+def fresh_devices(df: DataFrame, salts: int = 8) -> DataFrame:
+    """The log, and the devices that claim to be new for the first time.
 
-    Only claiming records reach the state; all others pass straight through.
+    The state holds device names only and never expires. A busy device is first
+    thinned in ``salts`` groups of its own, so its claims do not meet in one task.
     """
-    schema = df.schema
     claims = df.filter(F.col("common.is_new") == "1").select(
-        F.col("common.mid").alias("mid"), "ts", F.xxhash64(*df.columns).alias("tie"),
-        F.to_json(F.struct(*df.columns)).alias("value"),
+        F.col("common.mid").alias("mid"), F.pmod(F.xxhash64("ts"), F.lit(salts)).alias("salt")
     )
-    marked = claims.groupBy("mid").applyInPandasWithState(
-        _mark_first, "value STRING, first BOOLEAN", "seen BOOLEAN", "append", GroupStateTimeout.NoTimeout
+    devices = claims.dropDuplicates(["mid", "salt"]).select("mid").dropDuplicates(["mid"])
+    return _with_fresh(df, devices)
+
+
+def fix_is_new_stream(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None, salts: int = 8
+) -> StreamingQuery:
+    """Leave ``is_new='1'`` on a device's first claim, across batches and without expiry.
+
+    A device keeps it on its earliest claim of the micro-batch in which it first
+    claims. Each batch goes to ``write(rows, batch_id)``, which must bear a repeat.
+    """
+    return _run_settled(
+        fresh_devices(df, salts), lambda rows: fix_is_new(_records(rows), _keys(rows)), write, checkpoint, trigger
     )
-    back = marked.select("first", F.inline(F.array(F.from_json("value", schema))))
-    flag = F.when(F.col("first"), "1").otherwise("0")
-    fixed = back.withColumn("common", F.col("common").withField("is_new", flag)).select(df.columns)
-    return fixed.unionByName(df.filter(~F.col("common.is_new").eqNullSafe("1")))
 
 
-def unique_visit_stream(df: DataFrame) -> DataFrame:
-    """The first entry page to arrive per device and day; state lasts a day."""
-    entries = with_event_time(entry_pages(df), "ts", "1 day")
-    keyed = entries.withColumn("_mid", F.col("common.mid")).withColumn("_day", ymd("ts"))
-    return keyed.dropDuplicatesWithinWatermark(["_mid", "_day"]).drop("_mid", "_day", "rt")
+def fresh_visits(df: DataFrame, salts: int = 8) -> DataFrame:
+    """Entry pages, and the (device, day) pairs seen for the first time; state lasts a day."""
+    entries = entry_pages(df)
+    visits = with_event_time(entries, "ts", "1 day").select(
+        F.col("common.mid").alias("mid"), ymd("ts").alias("day"), "rt",
+        F.pmod(F.xxhash64("ts"), F.lit(salts)).alias("salt"),
+    )
+    visits = visits.dropDuplicatesWithinWatermark(["mid", "day", "salt"]).dropDuplicatesWithinWatermark(["mid", "day"])
+    return _with_fresh(entries, visits.select("mid", "day"))
+
+
+def unique_visit_stream(
+    df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None = None, salts: int = 8
+) -> StreamingQuery:
+    """Each device's first entry page of a day, the earliest of the micro-batch that brings one.
+
+    Each batch goes to ``write(rows, batch_id)``, which must bear a repeat.
+    """
+
+    def settle(rows: DataFrame) -> DataFrame:
+        keyed = unique_visit(_records(rows)).withColumns({"mid": F.col("common.mid"), "day": ymd("ts")})
+        return keyed.join(_keys(rows), ["mid", "day"], "left_semi").drop("mid", "day")
+
+    return _run_settled(fresh_visits(df, salts), settle, write, checkpoint, trigger)
 
 
 def _settle(within_ms: int):

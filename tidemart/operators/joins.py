@@ -113,25 +113,24 @@ def dim_lookup_join(
     return joined.select(*keep, *[F.col(f"_dim_{dst}").alias(dst) for dst in fields.values()])
 
 
-def sku_lookup_table(dims: dict[str, DataFrame]) -> DataFrame:
-    """The product dimension with its spu, trademark and category names.
+def sku_lookups(df: DataFrame, dims: dict[str, DataFrame], fields: dict[str, str]) -> DataFrame:
+    """Product columns by ``sku_id``, then spu, trademark and category names by the ids found.
 
-    The three name tables hang off the product, so they are joined to it first:
-    facts are then joined once instead of four times.
+    One lookup per table lets the planner judge each by its own size; a table
+    joined from several would only be guessed at, and guessed far too large.
     """
-    sku = dims[S.DIM_SKU].select("id", "sku_name", "price", "spu_id", "tm_id", "category3_id")
-    sku = dim_lookup_join(sku, dims[S.DIM_SPU], "spu_id", {"spu_name": "spu_name"})
-    sku = dim_lookup_join(sku, dims[S.DIM_TRADEMARK], "tm_id", {"tm_name": "tm_name"})
-    sku = dim_lookup_join(sku, dims[S.DIM_CATEGORY3], "category3_id", {"name": "category3_name"})
-    ids = {c: F.col(c).try_cast("bigint") for c in ("spu_id", "tm_id", "category3_id")}
-    return sku.withColumns(ids)
+    found = {"spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id"}
+    out = dim_lookup_join(df, dims[S.DIM_SKU], "sku_id", {**fields, **found})
+    out = dim_lookup_join(out, dims[S.DIM_SPU], "spu_id", {"spu_name": "spu_name"})
+    out = dim_lookup_join(out, dims[S.DIM_TRADEMARK], "tm_id", {"tm_name": "tm_name"})
+    out = dim_lookup_join(out, dims[S.DIM_CATEGORY3], "category3_id", {"name": "category3_name"})
+    return out.withColumns({c: F.col(c).try_cast("bigint") for c in found})
 
 
 def order_wide_dims(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Order lines with user, product and province columns."""
     out = dim_lookup_join(df, dims[S.DIM_USER], "user_id", {"gender": "user_gender"})
-    same = ["spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"]
-    out = dim_lookup_join(out, sku_lookup_table(dims), "sku_id", {c: c for c in same})
+    out = sku_lookups(out, dims, {})
     return dim_lookup_join(
         out, dims[S.DIM_PROVINCE], "province_id",
         {
@@ -143,10 +142,7 @@ def order_wide_dims(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
 
 def product_dims(stats: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Product statistics with product, spu, trademark and category columns."""
-    same = ["sku_name", "spu_id", "tm_id", "category3_id", "spu_name", "tm_name", "category3_name"]
-    out = dim_lookup_join(
-        stats, sku_lookup_table(dims), "sku_id", {"price": "sku_price", **{c: c for c in same}}
-    )
+    out = sku_lookups(stats, dims, {"sku_name": "sku_name", "price": "sku_price"})
     return out.withColumn("sku_price", F.col("sku_price").try_cast(S.MONEY))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemart import schemas as S
 from tidemart.functions.times import with_event_time
 from tidemart.operators import facts, joins, logs, routing, stats
+from tidemart.session import shared_folder
 from tidemart.sources import driver_tables as D
 from tidemart.sources.changes import cdc_normalize, cdc_snapshot_rules
 
@@ -26,6 +27,12 @@ class Layers:
     jump_ms: int = 10_000
     order_bound_ms: int = 30 * DAY_MS
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """A layer as a table in the shared folder."""
+        path = shared_folder(self.spark, name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
     # ---- logs
     def pages(self) -> DataFrame:
         return D.page_log(self.spark, self.folder)
@@ -64,12 +71,18 @@ class Layers:
 
     # ---- product, province, keyword
     def product_facts(self) -> DataFrame:
-        """Products are looked up after counting, so the order lines go in without dimensions."""
-        s, f, wide = self.spark, self.folder, self.order_wide()
-        bare = wide.select("*", *[F.lit(None).alias(c) for c in S.ORDER_WIDE_DIMS])
+        """Products are looked up after counting, so the order lines go in without dimensions.
+
+        They are counted as orders and again as payments, so they are written
+        once instead of being joined twice.
+        """
+        s, f = self.spark, self.folder
+        counted = ["order_id", "sku_id", "sku_num", "split_total_amount", "create_time"]
+        wide = self.stored(self.order_wide().select(counted), "order_wide")
+        lines = wide.select("*", *[F.lit(None).alias(c.name) for c in S.ORDER_WIDE.fields if c.name not in counted])
         return facts.product_union(
             self.pages(), D.favor_info(s, f), D.cart_info(s, f), wide,
-            self.payment_wide(bare), D.refund_info(s, f), D.comment_info(s, f),
+            self.payment_wide(lines), D.refund_info(s, f), D.comment_info(s, f),
         )
 
     def product_stats(self) -> DataFrame:

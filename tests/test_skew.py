@@ -49,3 +49,34 @@ def test_hot_device_spreads_over_tasks(spark, skewed):
     slots = time_slots(rows, 10_000, 80_000).filter("mid = 'mid_1' AND own").groupBy("slot").count()
     assert slots.count() > 100
     assert slots.agg(F.max("count")).first()[0] < 10
+
+
+def test_hot_id_of_a_large_dimension_is_split(spark, skewed):
+    """With dimensions too large to broadcast, adaptive execution splits the hot product."""
+    from tidemart.operators import joins
+    from tidemart.sources import driver_tables as D
+
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8192",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        # many map outputs to split by, as on a cluster
+        "spark.sql.files.maxPartitionBytes": "32768",
+        "spark.sql.files.openCostInBytes": "0",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    lines = D.order_detail(spark, skewed)
+    want = lines.count()
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        lines = D.order_detail(spark, skewed).repartition(16)
+        found = joins.dim_lookup_join(lines, D.dimensions(spark, skewed)["DIM_SKU_INFO"], "sku_id", {"price": "p"})
+        assert len(found.collect()) == want
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

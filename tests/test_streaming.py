@@ -253,3 +253,25 @@ def test_product_job(jobs, spark, small):
     got = spark.read.parquet(f"{mine.stats_root}/product_stats").filter("stt < '2099'")
     names = want.columns
     assert rows(got, *names) == rows(want, *names)
+
+
+def test_reader_may_start_before_its_writer(spark, tmp_path):
+    uri = str(tmp_path)
+    done(runs.passthrough(spark, uri, "a", "b", f"{uri}/checkpoint", runs.NOW))
+    topics.write_topic(spark.createDataFrame([("x",), ("y",)], "value string"), uri, "a")
+    done(runs.passthrough(spark, uri, "a", "b", f"{uri}/checkpoint", runs.NOW))
+    done(runs.passthrough(spark, uri, "a", "b", f"{uri}/checkpoint", runs.NOW))
+    assert sorted(r.value for r in spark.read.text(f"{uri}/topic=b").collect()) == ["x", "y"]
+
+
+def test_console(spark, tmp_path, capsys):
+    from tidemart.sinks.stats import write_console
+
+    rows_in = spark.createDataFrame([("shown",)], "value string")
+    write_console(rows_in, "batch")
+    assert "shown" in capsys.readouterr().out
+    topics.write_topic(rows_in, str(tmp_path), "t")
+    query = write_console(read_topic(spark, str(tmp_path), "t"), "printed", f"{tmp_path}/checkpoint")
+    query.processAllAvailable()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == 1
+    query.stop()

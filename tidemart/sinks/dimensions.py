@@ -76,7 +76,7 @@ def latest_values(changes: DataFrame, columns: list[str], pk: str = "id") -> Dat
     A column named with a null counts as given and yields ``''``. Changes are
     taken by ``ts_ms``, then type; the aggregate is combined before the shuffle.
     """
-    order = F.struct(F.col("ts_ms").cast("bigint"), "type", F.xxhash64(*[F.col("after")[c] for c in columns]))
+    order = F.struct(F.col("ts_ms").try_cast("bigint"), "type", F.xxhash64(*[F.col("after")[c] for c in columns]))
     values = [
         F.max_by(F.coalesce(F.col("after")[c], F.lit("")), F.when(F.map_contains_key("after", c), order)).alias(c)
         for c in columns

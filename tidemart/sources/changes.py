@@ -26,4 +26,4 @@ def cdc_snapshot_rules(records: DataFrame) -> DataFrame:
     """Routing rules from the change records of the rules table, with their arrival time."""
     live = drop_deletes(cdc_normalize(records))
     fields = [F.col("after")[f.name].alias(f.name) for f in S.RULE.fields]
-    return live.select(*fields, F.col("ts_ms").cast("bigint").alias("arrival"))
+    return live.select(*fields, F.col("ts_ms").try_cast("bigint").alias("arrival"))

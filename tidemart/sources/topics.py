@@ -6,6 +6,7 @@ in a folder ``<root>/topic=<name>`` that Spark lists like a queue of files.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,10 +35,18 @@ def read_topic(
         if stream:
             options["startingOffsets"] = "latest"
         return reader.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
+    path = topic_path(uri, topic)
     reader = reader.option("recursiveFileLookup", "true")
     if stream and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.text(topic_path(uri, topic))
+    try:
+        return reader.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    # nothing was written yet: make the topic, so that a reader may start before its writer
+    spark.createDataFrame([], "value STRING").write.mode("append").text(path)
+    return reader.text(path)
 
 
 def topic_table(

@@ -475,13 +475,21 @@ def _(spark, folder):
 # ---- the same on streams ------------------------------------------------
 
 
-def as_stream(spark, df: DataFrame, closing: DataFrame, name: str) -> DataFrame:
-    """Rows as a two-batch stream: the table, then far-future rows that close all windows."""
+def closing_row(df: DataFrame, ms: str = "ts") -> DataFrame:
+    """A far-future row of the same shape that lets every window before it close."""
+    columns = [
+        F.lit(FAR_MS if f.name == ms else None).cast(f.dataType).alias(f.name) for f in df.schema.fields
+    ]
+    return df.sparkSession.range(1).select(columns)
+
+
+def as_stream(spark, df: DataFrame, name: str, ms: str | None = None) -> DataFrame:
+    """Rows as a file stream; with ``ms`` a closing row follows them."""
     path = shared_folder(spark, name)
-    df.write.parquet(f"{path}/part=0")
-    closing.write.parquet(f"{path}/part=1")
-    reader = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 10_000)
-    return reader.parquet(f"{path}/part=*").drop("part")
+    df.write.parquet(f"{path}/0")
+    if ms:
+        closing_row(df, ms).write.parquet(f"{path}/1")
+    return spark.readStream.schema(df.schema).parquet(f"{path}/*")
 
 
 def stream_result(spark, df: DataFrame, name: str) -> DataFrame:
@@ -490,13 +498,6 @@ def stream_result(spark, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(f"{out}/data")
 
 
-def closing_page(pages: DataFrame) -> DataFrame:
-    """One page of a device nobody has, far in the future."""
-    late = pages.limit(1).withColumn("ts", F.lit(FAR_MS))
-    mid = F.col("common").withField("mid", F.lit("mid_end")).withField("ar", F.lit("end"))
-    return late.withColumn("common", mid)
-
-
 def settled_result(spark, run, name: str) -> DataFrame:
     """The batches that a run over ``write`` has written."""
     out = shared_folder(spark, name)
@@ -511,7 +512,7 @@ def settled_result(spark, run, name: str) -> DataFrame:
 @query("fix_is_new_stream")
 def _(spark, folder):
     log = D.base_log(spark, folder)
-    stream = as_stream(spark, log, log.limit(0), "base_log")
+    stream = as_stream(spark, log, "base_log")
     fixed = settled_result(spark, partial(stateful.fix_is_new_stream, stream), "fixed")
     return fixed.select("common.mid", "common.is_new", "page.page_id", "ts")
 
@@ -519,14 +520,14 @@ def _(spark, folder):
 @query("unique_visit_stream")
 def _(spark, folder):
     pages = D.page_log(spark, folder)
-    stream = as_stream(spark, pages, pages.limit(0), "pages")
+    stream = as_stream(spark, pages, "pages")
     return flat_log(settled_result(spark, partial(stateful.unique_visit_stream, stream), "visits"))
 
 
 @query("user_jump_stream")
 def _(spark, folder):
     pages = D.page_log(spark, folder)
-    stream = as_stream(spark, pages, closing_page(pages), "pages")
+    stream = as_stream(spark, pages, "pages", "ts")
     jumps = stateful.user_jump_stream(stream, HOURLY["jump_ms"], "2 seconds", kind=True)
     result = stream_result(spark, jumps.select("common.mid", "ts", "kind"), "jumps")
     return result.filter(F.col("ts") < FAR_MS)
@@ -535,16 +536,14 @@ def _(spark, folder):
 @query("visitor_stats_stream")
 def _(spark, folder):
     rows = Layers(spark, folder, **HOURLY).visitor_facts()
-    end = rows.limit(1).withColumn("ts", F.lit(FAR_MS))
-    stream = times.with_event_time(as_stream(spark, rows, end, "visitor_rows"), "ts", "12 seconds")
+    stream = times.with_event_time(as_stream(spark, rows, "visitor_rows", "ts"), "ts", "12 seconds")
     return stream_result(spark, stats.visitor_stats(stream, "1 hour"), "visitor_stats")
 
 
 @query("product_stats_stream")
 def _(spark, folder):
     rows = Layers(spark, folder).product_facts()
-    end = rows.limit(1).withColumn("ts", F.lit(FAR_MS))
-    stream = times.with_event_time(as_stream(spark, rows, end, "product_rows"), "ts", "905 seconds")
+    stream = times.with_event_time(as_stream(spark, rows, "product_rows", "ts"), "ts", "905 seconds")
     counted = stream_result(spark, stats.product_stats(stream, "1 hour"), "product_stats")
     return joins.product_dims(counted, D.dimensions(spark, folder))
 
@@ -554,8 +553,7 @@ def _(spark, folder):
     bound = Layers(spark, folder).order_bound_ms
     sides = []
     for name, rows in (("orders", D.order_info(spark, folder)), ("details", D.order_detail(spark, folder))):
-        end = rows.limit(1).withColumns({"create_time": F.lit(FAR_MS), "id": F.lit(-1).cast("bigint")})
-        sides.append(times.with_event_time(as_stream(spark, rows, end, name), "create_time", "2 seconds"))
+        sides.append(times.with_event_time(as_stream(spark, rows, name, "create_time"), "create_time", "2 seconds"))
     joined = joins.order_wide_interval_join(*sides, bound, bound)
     return stream_result(spark, joins.order_wide_project(joined).select(ORDER_WIDE_OUT), "order_wide")
 
@@ -563,15 +561,14 @@ def _(spark, folder):
 @query("key_count_2s_stream")
 def _(spark, folder):
     rows = TB.parse_csv_event(D.csv_events(spark, folder))
-    end = rows.limit(1).withColumn("ts", F.lit(FAR_MS))
-    stream = times.with_event_time(as_stream(spark, rows, end, "csv"), "ts", "0 seconds")
+    stream = times.with_event_time(as_stream(spark, rows, "csv", "ts"), "ts", "0 seconds")
     return stream_result(spark, stats.key_count(stream), "key_count")
 
 
 @query("bounded_watermark")
 def _(spark, folder):
     pages = D.page_log(spark, folder)
-    stream = as_stream(spark, pages, closing_page(pages), "pages")
+    stream = as_stream(spark, pages, "pages", "ts")
     stamped = times.bounded_watermark(times.with_event_time(stream), "2 seconds")
     return stream_result(spark, stats.page_area_counts(stamped), "areas")
 
@@ -580,12 +577,11 @@ def _(spark, folder):
 def _(spark, folder):
     """The whole log again, after a far-future row: every repeated row is late and lost."""
     pages = D.page_log(spark, folder)
-    path = shared_folder(spark, "late")
-    out = shared_folder(spark, "late_out")
-    stream = spark.readStream.schema(pages.schema).parquet(f"{path}/part=*").drop("part")
+    path, out = shared_folder(spark, "late"), shared_folder(spark, "late_out")
+    stream = spark.readStream.schema(pages.schema).parquet(f"{path}/*")
     counted = stats.page_area_counts(times.with_event_time(stream, "ts", "2 seconds"))
-    for i, rows in enumerate([pages, closing_page(pages), pages]):
-        rows.write.parquet(f"{path}/part={i}")
+    for i, rows in enumerate([pages, closing_row(pages), pages]):
+        rows.write.parquet(f"{path}/{i}")
         finish(runs.checkpointed_run(counted, f"{out}/data", f"{out}/checkpoint", runs.NOW))
     return spark.read.parquet(f"{out}/data")
 
@@ -602,9 +598,9 @@ def _(spark, folder):
     """The log in two halves with a stop in between; every row arrives once."""
     pages = flat_log(D.page_log(spark, folder))
     path, out = shared_folder(spark, "halves"), shared_folder(spark, "resumed")
-    stream = spark.readStream.schema(pages.schema).parquet(f"{path}/part=*").drop("part")
+    stream = spark.readStream.schema(pages.schema).parquet(f"{path}/*")
     for i, half in enumerate([F.col("ts") % 2 == 0, F.col("ts") % 2 == 1]):
-        pages.filter(half).write.parquet(f"{path}/part={i}")
+        pages.filter(half).write.parquet(f"{path}/{i}")
         finish(runs.checkpointed_run(stream, f"{out}/data", f"{out}/checkpoint", runs.NOW))
     return spark.read.parquet(f"{out}/data")
 

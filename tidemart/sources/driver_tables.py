@@ -29,6 +29,18 @@ def _text(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def _quoted(c) -> Column:
+    return F.concat(F.lit('"'), c if isinstance(c, Column) else F.col(c), F.lit('"'))
+
+
+def _json(**parts: Column) -> Column:
+    """JSON object text from parts that are JSON text already."""
+    out = [F.lit("{")]
+    for i, (name, part) in enumerate(parts.items()):
+        out += [F.lit(f'{"," if i else ""}"{name}":'), part]
+    return F.concat(*out, F.lit("}"))
+
+
 def _fit(df: DataFrame, schema, **columns) -> DataFrame:
     """Columns of a schema; those not given are null."""
     return df.select(
@@ -202,20 +214,16 @@ def change_records(spark: SparkSession, folder: str) -> DataFrame:
             )
         ).alias("op"),
     )
-    key = _text("o_orderkey")
-    made = F.format_string(
-        '{"id":%s,"user":%s,"status":"%s","note":"%s"}', key, _text("o_custkey"), F.col("o_orderstatus"),
-        F.col("o_orderpriority"),
-    )
+    key, user = _text("o_orderkey"), _text("o_custkey")
+    made = _json(id=key, user=user, status=_quoted("o_orderstatus"), note=_quoted("o_orderpriority"))
     note = F.when(F.col("o_orderkey") % 2 == 0, "null").otherwise('"changed"')
-    updated = F.format_string('{"id":%s,"user":%s,"note":%s}', key, _text("o_custkey"), note)
+    updated = _json(id=key, user=user, note=note)
     after = F.when(F.col("op") == "u", updated).when(F.col("op") == "d", "null").otherwise(made)
     before = F.when(F.col("op") == "c", "null").otherwise(made)
     step = F.when(F.col("op") == "c", 0).when(F.col("op") == "u", 1).otherwise(2)
-    value = F.format_string(
-        '{"source":{"db":"shop","table":"table_%s"},"before":%s,"after":%s,"op":"%s","ts_ms":%s}',
-        _text(F.col("o_custkey") % 10), before, after, F.col("op"), _text(F.col("ms") + step),
-    )
+    name = F.concat(F.lit("table_"), _text(F.col("o_custkey") % 10))
+    source = _json(db=F.lit('"shop"'), table=_quoted(name))
+    value = _json(source=source, before=before, after=after, op=_quoted("op"), ts_ms=_quoted(_text(F.col("ms") + step)))
     return o.select(value.alias("value"))
 
 
@@ -224,17 +232,18 @@ def rule_records(spark: SparkSession, folder: str) -> DataFrame:
     s = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_nationkey").alias("n"))
     sink = F.when(F.col("k") % 5 == 0, "other").when(F.col("k") % 2 == 0, S.SINK_DIMENSION).otherwise(S.SINK_TOPIC)
     columns = F.when(F.col("k") % 3 == 0, "id,user,note").otherwise("id,status,note, user")
-    rule = F.format_string(
-        '{"source_table":"table_%s","operate_type":"%s","sink_type":"%s","sink_table":"sink_%s",'
-        '"sink_columns":"%s","sink_pk":null,"sink_extend":null}',
-        _text(F.col("n") % 8), F.when(F.col("k") % 4 < 2, "insert").otherwise("update"), sink,
-        _text("k"), columns,
+    rule = _json(
+        source_table=_quoted(F.concat(F.lit("table_"), _text(F.col("n") % 8))),
+        operate_type=_quoted(F.when(F.col("k") % 4 < 2, "insert").otherwise("update")),
+        sink_type=_quoted(sink), sink_table=_quoted(F.concat(F.lit("sink_"), _text("k"))),
+        sink_columns=_quoted(columns), sink_pk=F.lit("null"), sink_extend=F.lit("null"),
     )
     gone = F.col("k") % 17 == 0
     op = F.when(gone, "d").when(F.col("k") % 7 == 0, "c").otherwise("r")
-    value = F.format_string(
-        '{"source":{"db":"config","table":"table_process"},"before":%s,"after":%s,"op":"%s","ts_ms":%s}',
-        F.when(gone, rule).otherwise("null"), F.when(gone, "null").otherwise(rule), op, _text(F.col("k") + TEXT_DAY_MS),
+    value = _json(
+        source=_json(db=F.lit('"config"'), table=F.lit('"table_process"')),
+        before=F.when(gone, rule).otherwise("null"), after=F.when(gone, "null").otherwise(rule),
+        op=_quoted(op), ts_ms=_quoted(_text(F.col("k") + TEXT_DAY_MS)),
     )
     return s.select(value.alias("value"))
 

@@ -358,11 +358,11 @@ def test_utc_text_ignores_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def test_prune_sample_record(spark):
-    record = {"create_time": 1685578483000, "user_id": 71, "appraise": "1204", "sku_id": 20, "id": 1677350440883843096}
+def test_prune_keeps_long_numbers_exact(spark):
+    record = {"id": 9007199254740993123, "price": 12.50, "name": "a,b", "tags": [1, 2]}
     df = C.cdc_normalize(texts(spark, change("c", record)))
-    out = routing.prune_columns(df, F.split(F.lit("create_time,user_id"), ",")).first()
-    assert out.after == {"create_time": "1685578483000", "user_id": "71"}
+    out = routing.prune_columns(df, F.split(F.lit("id,tags,other"), ",")).first()
+    assert out.after == {"id": "9007199254740993123", "tags": "[1,2]"}
 
 
 def test_parse_record_takes_quoted_and_bare_numbers(spark):
@@ -393,13 +393,13 @@ def test_words(spark):
 
 
 def test_chinese_words_brute_force(spark):
-    sentence = "自由自在的学习大数据flink相关知识点，更好的成长为一个大数据工程师"
-    known = ["自由", "自由自在", "自在", "学习", "大数据", "数据", "相关", "知识", "知识点", "更好", "成长", "一个", "工程师", "工程"]
+    sentence = "我们在上海数据中心用spark处理订单数据，每天统计热门关键词和商品销量"
+    known = ["我们", "上海", "上海数据", "数据", "数据中心", "中心", "处理", "订单", "订单数据", "每天", "统计", "热门", "关键词", "关键", "商品", "销量"]
     df = spark.createDataFrame([(sentence,)], "full_word string")
     dictionary = spark.createDataFrame([(w,) for w in known], "word string")
     got = sorted(r.word for r in tokens.split_words(df, dictionary=dictionary).collect())
-    runs = "自由自在的学习大数据", "相关知识点", "更好的成长为一个大数据工程师"
-    want = ["flink"] + [r[i:i + n] for r in runs for n in range(1, 5) for i in range(len(r) - n + 1) if r[i:i + n] in known]
+    runs = "我们在上海数据中心用", "处理订单数据", "每天统计热门关键词和商品销量"
+    want = ["spark"] + [r[i:i + n] for r in runs for n in range(1, 5) for i in range(len(r) - n + 1) if r[i:i + n] in known]
     assert got == sorted(want)
 
 
@@ -411,3 +411,21 @@ def test_keyword_stats_counts_then_checks(spark):
     assert sorted((r.keyword, r.stt[-8:], r.ct, r.ts) for r in out) == [
         ("spark", "00:00:00", 1, 1_000), ("spark", "00:00:10", 1, 11_000), ("大数据", "00:00:00", 2, 1_000),
     ]
+
+
+def test_shuffle_sizing(spark):
+    from tidemart.session import size_shuffles
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 10 << 40) == 81_920
+        assert size_shuffles(spark, 1) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_now_is_whole_seconds(spark):
+    import time
+
+    now = spark.range(1).select(times.now_ms()).first()[0]
+    assert now % 1000 == 0 and abs(now / 1000 - time.time()) < 60

@@ -19,7 +19,7 @@ DAY_MS = 86_400_000
 
 @dataclass(frozen=True)
 class Layers:
-    """Lazy layers. Bounds default to the streaming jobs' own; wider ones suit sparse data."""
+    """Lazy layers. ``width`` and ``jump_ms`` default to the streaming jobs' own; orders and lines may be 30 days apart."""
 
     spark: SparkSession
     folder: str

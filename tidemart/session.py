@@ -31,10 +31,17 @@ def build_session(master: str | None = None, app: str = "tidemart", **conf) -> S
 
 
 def use_settings(spark: SparkSession) -> SparkSession:
-    """Apply the warehouse settings to a session somebody else made."""
+    """Apply the warehouse settings to a session somebody else made.
+
+    On a local master the default shuffle partitions become one per core, as
+    stateful streams open a store for each.
+    """
     for key, value in SETTINGS.items():
         if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
+    context = spark.sparkContext
+    if context.master.startswith("local") and spark.conf.get("spark.sql.shuffle.partitions") == "200":
+        spark.conf.set("spark.sql.shuffle.partitions", str(context.defaultParallelism))
     return spark
 
 

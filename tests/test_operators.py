@@ -116,6 +116,18 @@ def test_split_log(spark):
     assert whole.columns == parts[S.TOPIC_PAGE].columns and ts_of(whole) == [2, 2]
 
 
+@pytest.mark.parametrize("whole", [False, True])
+def test_log_topics_equal_the_split(spark, whole):
+    df = log(
+        spark, log_row("a", 1, start=True), log_row("a", 2, displays=[("7", "sku_id"), ("8", "activity_id")]), log_row("a", 3),
+    )
+    got = sorted(tuple(r) for r in logs.log_topics(df, whole).collect())
+    want = [
+        (t, r.value) for t, part in logs.split_log(df, whole).items() for r in text.to_value(part).collect()
+    ]
+    assert got == sorted(want)
+
+
 def test_search_rows(spark):
     df = pages(spark, log_row("a", 1, last="search", item="x y"), log_row("a", 2, last="search"), log_row("a", 3, item="z"))
     assert [(r.full_word, r.ts) for r in logs.search_rows(df).collect()] == [("x y", 1)]

@@ -84,6 +84,25 @@ def split_log(df: DataFrame, whole_record: bool = False) -> dict[str, DataFrame]
     }
 
 
+def log_topics(df: DataFrame, whole_record: bool = False) -> DataFrame:
+    """The same as ``(topic, value)`` JSON rows, from one pass over the log."""
+
+    def row(topic, *columns):
+        return F.struct(F.lit(topic).alias("topic"), F.to_json(F.struct(*columns)).alias("value"))
+
+    page = [c for c in df.columns if c != "start"]
+    names = df.schema["displays"].dataType.elementType.names
+    origin = [F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), F.col("ts")]
+
+    def shown(display):
+        return row(S.TOPIC_DISPLAY, *(page if whole_record else [*[display[n].alias(n) for n in names], *origin]))
+
+    displays = F.transform(F.coalesce("displays", F.array().cast(df.schema["displays"].dataType)), shown)
+    start = row(S.TOPIC_START, *[c for c in df.columns if c not in ("page", "displays")])
+    rows = F.when(F.col("start").isNotNull(), F.array(start)).otherwise(F.concat(F.array(row(S.TOPIC_PAGE, *page)), displays))
+    return df.select(F.inline(rows))
+
+
 def entry_pages(df: DataFrame) -> DataFrame:
     return df.filter(is_entry())
 

@@ -348,4 +348,5 @@ def oracle(name: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({b})" for n, b in views.items()) + "\n" + BODIES[name]
 
 
+BODIES["log_topics"] = BODIES["split_log"]
 ORACLES = {name: oracle(name) for name in BODIES}

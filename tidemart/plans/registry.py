@@ -227,6 +227,19 @@ def _(spark, folder):
     return facts.union_all([parts[t].select(F.lit(t).alias("topic"), *cols, "ts") for t, cols in shapes.items()])
 
 
+@query("log_topics")
+def _(spark, folder):
+    rows = logs.log_topics(D.base_log(spark, folder))
+
+    def field(*paths):
+        return F.coalesce(*[F.get_json_object("value", f"$.{p}") for p in paths])
+
+    return rows.select(
+        "topic", field("common.mid", "mid").alias("mid"), field("page.page_id", "page_id").alias("page_id"),
+        field("page.item", "item", "start.loading_time").alias("item"), field("ts").cast("bigint").alias("ts"),
+    )
+
+
 @query("display_enrich")
 def _(spark, folder):
     return logs.display_records(D.base_log(spark, folder))

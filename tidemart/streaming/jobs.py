@@ -113,13 +113,7 @@ class Jobs:
         """The raw log to start, page and display topics, with ``is_new`` put right."""
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            rows = rows.persist()
-            parts = [
-                to_value(part).select(F.lit(topic).alias("topic"), "value")
-                for topic, part in logs.split_log(rows).items()
-            ]
-            topics.write_topic_dynamic(facts.union_all(parts), self.uri, batch_id)
-            rows.unpersist()
+            topics.write_topic_dynamic(logs.log_topics(rows), self.uri, batch_id)
 
         log = parse_json(self._read(S.TOPIC_BASE_LOG), S.LOG)
         return stateful.fix_is_new_stream(log, write, f"{self.checkpoints}/split_logs", self.trigger)

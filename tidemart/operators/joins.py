@@ -105,12 +105,10 @@ def dim_lookup_join(
     adaptive execution splits a hot id.
     """
     side = dim.select(
-        F.col(dim_id).cast("string").alias("_dim_id"),
-        *[F.col(src).alias(f"_dim_{dst}") for src, dst in fields.items()],
+        F.col(dim_id).cast("string").alias("_dim_id"), *[F.col(src).alias(dst) for src, dst in fields.items()]
     )
-    joined = df.join(side, F.col(id_col).cast("string") == F.col("_dim_id"), "left")
-    keep = [F.col(c) for c in df.columns if c not in fields.values()]
-    return joined.select(*keep, *[F.col(f"_dim_{dst}").alias(dst) for dst in fields.values()])
+    bare = df.drop(*fields.values())
+    return bare.join(side, bare[id_col].cast("string") == side["_dim_id"], "left").drop("_dim_id")
 
 
 def sku_lookups(df: DataFrame, dims: dict[str, DataFrame], fields: dict[str, str]) -> DataFrame:

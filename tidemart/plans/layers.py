@@ -31,7 +31,7 @@ class Layers:
         """A layer as a table in the shared folder."""
         path = shared_folder(self.spark, name)
         df.write.parquet(path)
-        return self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     # ---- logs
     def pages(self) -> DataFrame:

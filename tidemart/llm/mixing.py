@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidemart.llm.store import written
+
 WORD = r"[^\x20\x09-\x0D]+"
 #: Knots (time, intensity) of the schedules that sources follow in turn: early, even and late in training.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.25), (0.5, 1.0), (1.0, 1.75)))
@@ -80,6 +82,7 @@ def mix(
 
     Running sums are split: sizes are summed for each source and each value of the first ``prefix`` hex digits, these
     sums are accumulated per source, and documents are ordered within (source, digits), so no source is in one task.
+    Words are counted once, into a table without texts in the shared folder.
     """
     lay = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row") if keep else F.lit(None).cast("int").alias("row"),
@@ -89,7 +92,8 @@ def mix(
         F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("place"),
         F.md5(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
     ).withColumn("slot", F.substring("place", 1, prefix))
-    slots = lay.groupBy("src", "slot").agg(F.sum("size").alias("slot_size"))
+    slim = written(lay.drop("row"), "mix")
+    slots = slim.groupBy("src", "slot").agg(F.sum("size").alias("slot_size"))
     goals = targets(slots.groupBy("src").agg(F.sum("slot_size").alias("source_size")), weights, share, most)
     before = Window.partitionBy("src").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     starts = slots.select("src", "slot", F.coalesce(F.sum("slot_size").over(before), F.lit(0)).alias("start")).join(goals, "src")
@@ -108,7 +112,7 @@ def mix(
         for e in copies
     ]
     return (
-        lay.join(starts, ["src", "slot"])
+        (lay if keep else slim.withColumn("row", F.lit(None).cast("int"))).join(starts, ["src", "slot"])
         .withColumn("offset", offset).withColumn("limit", limit)
         .select(
             "row", "doc_id", "size", "source_size", "target", sum((given(e) for e in copies[1:]), given(0)).cast("long").alias("taken"),

@@ -5,13 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, secrets
+from tidemart.llm import mixing, quality, secrets, token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return quality.judge(docs, quality.references(docs))
+
+
+def op3_transducer_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 def op4_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source")).drop("row")
 
@@ -26,4 +42,4 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op4_curriculum_mix, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op10_secret_scan)}

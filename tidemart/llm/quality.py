@@ -34,8 +34,8 @@ class Rules:
     """
 
     common: int = 50
-    char_distance: float = 0.5
-    word_distance: float = 0.6
+    char_distance: float = 0.33
+    word_distance: float = 0.48
     least_chars: int = 200
     least_words: int = 50
     least_reference: int = 2000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, quality, secrets, token_counts
+from tidemart.llm import mixing, quality, secrets, sentencepieces, token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids, and whether they decode to the text again (they don't where it holds U+2581)."""
+    out = sentencepieces.encode(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"), keep=("doc_id", "text"))
+    return out.select("doc_id", "n_tokens", "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("same_text"))
+
+
 def op2_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     return quality.judge(docs, quality.references(docs))
@@ -42,4 +48,4 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op10_secret_scan)}

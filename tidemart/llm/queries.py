@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import mixing, quality, secrets, sentencepieces, token_counts, warc
+from tidemart.llm import mixing, quality, secrets, sentencepieces, simhash, token_counts, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op4_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source")).drop("row")
 
 
+def op6_simhash_bitsliced(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op9_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.read(warc.write(table(spark, folder, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -53,4 +57,4 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op9_warc_bundles, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op6_simhash_bitsliced, op9_warc_bundles, op10_secret_scan)}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import embeddings, mixing, quality, secrets, sentencepieces, simhash, token_counts, warc
+from tidemart.llm import embeddings, mixing, pages, quality, secrets, sentencepieces, simhash, token_counts, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +46,10 @@ def op7_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op8_dom_marginals(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
 def op9_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
     records = warc.read(warc.write(table(spark, folder, "pages")))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -61,4 +65,4 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op6_simhash_bitsliced, op7_cross_polytope, op9_warc_bundles, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op6_simhash_bitsliced, op7_cross_polytope, op8_dom_marginals, op9_warc_bundles, op10_secret_scan)}

@@ -186,15 +186,15 @@ def links(prints: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: i
 
 
 def groups(prints: DataFrame, **options) -> DataFrame:
-    """``fp``, ``component_id`` and ``copies`` for every distinct fingerprint of a table of ``doc_id`` and ``fp``.
+    """``fp``, ``root`` (a fingerprint that names the component) and ``component_id`` for every distinct fingerprint.
 
-    ``component_id`` is the smallest doc_id that links reach, null ids apart.
+    ``prints`` has ``doc_id`` and ``fp``; ``component_id`` is the smallest doc_id that links reach, null ids apart.
     """
-    each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
+    each = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = components(links(each.select("fp"), **options))
     rooted = each.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(names, "root").select("fp", "component_id", "copies")
+    return rooted.join(names, "root").select("fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -215,13 +215,15 @@ def hex_of(fp: Column) -> Column:
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The columns of ``docs`` for one document of each component: the smallest doc_id, of equal ones the first by content.
+    """The columns of ``docs`` for one document of each component: that with the smallest doc_id.
 
-    Documents without an id are kept only where their component has no other.
+    Where rows share this id, those of the smallest fingerprint are meant, and of repeated rows one stays. A null id
+    counts only in components without any other.
     """
     tagged = fingerprints(docs, doc_id, text, keep=True)
     prints = written(tagged.select(F.col(f"key.{doc_id}").alias("doc_id"), "fp"), "fingerprints")
-    named = groups(prints, **options).select("fp", "component_id")
-    chosen = prints.join(named, "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("fp").alias("fp"))
-    rows = tagged.withColumn("doc_id", F.col(f"key.{doc_id}")).join(chosen.withColumnRenamed("component_id", "doc_id").hint("merge"), ["doc_id", "fp"], "left_semi")
-    return rows.select("key.*")
+    members = prints.join(groups(prints, **options), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = members.groupBy("root").agg(F.min("fp").alias("one"), F.min("component_id").alias("id")).hint("merge")
+    rows = tagged.withColumn("doc_id", F.col(f"key.{doc_id}"))
+    rows = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["id"]) & (rows["fp"] == chosen["one"]), "left_semi")
+    return rows.dropDuplicates(["doc_id", "fp"]).select("key.*")

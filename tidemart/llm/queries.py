@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import embeddings, mixing, pages, quality, secrets, sentencepieces, simhash, token_counts, warc
+from tidemart.llm import embeddings, katz, mixing, pages, quality, secrets, sentencepieces, simhash, token_counts, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -38,6 +38,12 @@ def op4_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source")).drop("row")
 
 
+def op5_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return katz.score(docs, held=F.crc32(name.cast("binary")) % 5 == 1)
+
+
 def op6_simhash_bitsliced(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
@@ -65,4 +71,4 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op6_simhash_bitsliced, op7_cross_polytope, op8_dom_marginals, op9_warc_bundles, op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op5_katz_backoff, op6_simhash_bitsliced, op7_cross_polytope, op8_dom_marginals, op9_warc_bundles, op10_secret_scan)}

@@ -4,8 +4,8 @@ import pytest
 from compare import database, differences
 
 import __spark_entry__ as entry
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from tidemart.plans.oracles import ORACLES as SQL
+from tidemart.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -22,5 +22,9 @@ def test_same_as_sql(name, spark, small, con):
     assert differences(QUERIES[name](spark, small), con, SQL[name]) == []
 
 
+def test_entry_has_them_all():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0

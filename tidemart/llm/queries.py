@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm import embeddings, katz, mixing, pages, quality, secrets, sentencepieces, simhash, token_counts, warc
@@ -63,10 +63,14 @@ def op9_warc_bundles(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
-    count = {kind: F.size(F.filter("secret_spans", lambda s, i=i: s["rank"] == i)).cast("long").alias(f"n_{kind}") for i, kind in enumerate(secrets.KINDS)}
+
+    def count(kind: str) -> Column:
+        rank = secrets.KINDS.index(kind)
+        return F.size(F.filter("secret_spans", lambda s: s["rank"] == rank)).cast("long").alias(f"n_{kind}")
+
     base = F.filter("secret_spans", lambda s: s["rank"] < 3)
     return found.select(
-        "doc_id", count["assign"], count["access"], count["hex"],
+        "doc_id", count("assign"), count("access"), count("hex"),
         F.sha2(secrets.digest(base), 256).alias("base_sha256"), secrets.digest(F.col("secret_spans")).alias("spans"),
     )
 

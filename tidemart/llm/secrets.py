@@ -153,6 +153,7 @@ def redact(docs: DataFrame, text: str = "text", mask: str = "[SECRET]", **option
 
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
     columns = docs.columns
-    found = docs.select(*[F.col(f"`{c}`") for c in columns], find(F.col(text), **options).alias("__spans"))
-    clean = F.when(F.size("__spans") > 0, F.aggregate("__spans", start, step, end)).otherwise(F.col(text))
+    spans = "spans" + "_" * max(map(len, columns))  # longer than any column, so of another name
+    found = docs.select(*[F.col(f"`{c}`") for c in columns], find(F.col(text), **options).alias(spans))
+    clean = F.when(F.size(spans) > 0, F.aggregate(spans, start, step, end)).otherwise(F.col(text))
     return found.select(*[clean.alias(c) if c == text else F.col(f"`{c}`") for c in columns])

@@ -1,3 +1,95 @@
 """SQL that gives the rows of the queries, where SQL can express them."""
 
-ORACLES: dict[str, str] = {}
+from __future__ import annotations
+
+from tidemart.llm.mixing import SCHEDULES
+
+WORDS = r"coalesce(len(regexp_extract_all({}, '[^\x20\x09-\x0D]+')), 0)"
+
+
+def number(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+def time_sql(part: str, knots) -> str:
+    """Inverse of an integrated schedule, term by term as the query has it."""
+    areas = [(b - a) * (v + w) / 2 for (a, v), (b, w) in zip(knots, knots[1:])]
+    total, before, out = sum(areas), 0.0, None
+    for area, ((a, v), (b, w)) in zip(areas, zip(knots, knots[1:])):
+        rest = f"({part} * {number(total)} - {number(before)})"
+        root = f"sqrt(greatest({number(v * v)} + {rest} * {number(2 * (w - v) / (b - a))}, {number(0.0)}))"
+        time = f"({number(a)} + {rest} * 2 / greatest({root} + {number(v)}, {number(1e-12)}))"
+        out = time if out is None else f"CASE WHEN {part} >= {number(before / total)} THEN {time} ELSE {out} END"
+        before += area
+    return out
+
+
+def place_sql(copy: int) -> str:
+    part = f"((o + source_size * {copy}) / target)"
+    cases = " ".join(f"WHEN (rank - 1) % {len(SCHEDULES)} = {k} THEN {time_sql(part, s)}" for k, s in enumerate(SCHEDULES))
+    return f"CASE WHEN t{copy} > 0 THEN CASE {cases} END END"
+
+
+MIX = f"""
+WITH d AS (
+  SELECT doc_id, coalesce('0' || source, '1') AS src, CAST({WORDS.format('text')} AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS place, md5(coalesce(text, '')) AS tie
+  FROM documents
+), s AS (
+  SELECT src, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY src) AS rank FROM d GROUP BY src
+), w AS (
+  SELECT *, CAST([5, 2, 1][(rank - 1) % 3 + 1] AS DOUBLE) AS weight, source_size * CAST(2 AS DOUBLE) AS cap FROM s
+), l AS (
+  SELECT *, (CAST(sum(source_size) OVER () AS BIGINT) * CAST(1.5 AS DOUBLE)
+             - coalesce(sum(cap) OVER (ORDER BY cap / weight, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(weight) OVER (ORDER BY cap / weight, src ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM w
+), g AS (
+  SELECT src, source_size, rank, CASE WHEN cap / weight > level
+         THEN weight * max(CASE WHEN cap / weight > level THEN level END) OVER () ELSE cap END AS target
+  FROM l
+), o AS (
+  SELECT doc_id, size, source_size, target, rank, CAST(floor(target + 0.5) AS BIGINT) AS lim,
+         CAST(sum(size) OVER (PARTITION BY src ORDER BY place, doc_id, size, tie ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS o
+  FROM d JOIN g USING (src)
+), t AS (
+  SELECT *, least(greatest(lim - o, 0), size) AS t0, least(greatest(lim - o - source_size, 0), size) AS t1 FROM o
+)
+SELECT doc_id, size, source_size, target, CAST(t0 + t1 AS BIGINT) AS taken,
+       {place_sql(0)} AS first_position, {place_sql(1)} AS second_position
+FROM t
+"""
+
+# Links of all pairs by their cosine, and the smallest id that each vector reaches.
+VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), fine AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS u, vec_id AS v FROM v UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u
+)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN (SELECT u, min(v) AS component_id FROM reach GROUP BY u) r ON v.vec_id = r.u
+LEFT JOIN (SELECT u, count(*) AS n FROM links GROUP BY u) l ON v.vec_id = l.u
+"""
+
+BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((CAST('0x' || substr(sha, {10 * i + 1}, 10) AS BIGINT) >> {35 - 5 * j}) & 31 AS BIGINT) + 1, 1)"
+    for i in range(4) for j in range(8)
+)
+ARCHIVE = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+q AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS sha FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY sha) AS first FROM q)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {BASE32} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+ORACLES: dict[str, str] = {"op4_curriculum_mix": MIX, "op7_cross_polytope": VECTORS, "op9_warc_bundles": ARCHIVE}

@@ -35,7 +35,9 @@ def op3_transducer_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_curriculum_mix(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source")).drop("row")
+    mixed = mixing.mix(table(spark, folder, "documents").select("doc_id", "text", "source"))
+    times = [F.get("positions", F.lit(i)).alias(f"{name}_position") for i, name in enumerate(("first", "second"))]
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", *times)
 
 
 def op5_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:

@@ -404,25 +404,40 @@ def test_words(spark):
     assert out == [(1, "hello"), (1, "world"), (1, "x1"), (2, "None"), (3, "None")]
 
 
-def test_chinese_words_brute_force(spark):
-    sentence = "我们在上海数据中心用spark处理订单数据，每天统计热门关键词和商品销量"
-    known = ["我们", "上海", "上海数据", "数据", "数据中心", "中心", "处理", "订单", "订单数据", "每天", "统计", "热门", "关键词", "关键", "商品", "销量"]
+def test_words_of_all_scripts(spark):
+    words = {
+        "Café ÉLAN naïve": ["café", "naïve", "élan"], "Москва-2024": ["2024", "москва"], "東京タワー spark": ["spark", "タワー", "東京"],
+        "한국어 x": ["x", "한국어"], "大数据spark三": ["spark", "三", "大数据"],
+    }
+    df = spark.createDataFrame([(t,) for t in words], "full_word string").withColumn("id", F.col("full_word"))
+    got = {}
+    for r in tokens.split_words(df).collect():
+        got.setdefault(r.id, []).append(r.word)
+    assert {t: sorted(w) for t, w in got.items()} == words
+
+
+@pytest.mark.parametrize("singles", [True, False])
+def test_chinese_words_brute_force(spark, singles):
+    sentence = "我们在上海数据中心用spark处理订单数据，每天统计热门关键词和商品销量，中华人民共和国成立"
+    known = ["我们", "上海", "上海数据", "数据", "数据中心", "中心", "处理", "订单", "订单数据", "每天", "统计", "热门", "关键词", "关键", "商品", "销量", "中华人民共和国", "共和国"]
     df = spark.createDataFrame([(sentence,)], "full_word string")
     dictionary = spark.createDataFrame([(w,) for w in known], "word string")
-    got = sorted(r.word for r in tokens.split_words(df, dictionary=dictionary).collect())
-    runs = "我们在上海数据中心用", "处理订单数据", "每天统计热门关键词和商品销量"
-    want = ["spark"] + [r[i:i + n] for r in runs for n in range(1, 5) for i in range(len(r) - n + 1) if r[i:i + n] in known]
-    assert got == sorted(want)
+    got = sorted(r.word for r in tokens.split_words(df, dictionary=dictionary, singles=singles).collect())
+    runs = "我们在上海数据中心用", "处理订单数据", "每天统计热门关键词和商品销量", "中华人民共和国成立"
+    parts = [r[i:i + n] for r in runs for n in range(1, len(r) + 1) for i in range(len(r) - n + 1)]
+    assert got == sorted(["spark"] + [p for p in parts if p in known or singles and len(p) == 1])
 
 
 def test_keyword_stats_counts_then_checks(spark):
     rows = [("大数据 spark", 1_000), ("大数据", 2_000), ("Spark", 11_000)]
     df = times.with_event_time(spark.createDataFrame(rows, "full_word string, ts long"))
     dictionary = spark.createDataFrame([("大数据",)], "word string")
-    out = stats.keyword_stats(df, dictionary=dictionary).collect()
+    out = stats.keyword_stats(df, dictionary=dictionary, singles=False).collect()
     assert sorted((r.keyword, r.stt[-8:], r.ct, r.ts) for r in out) == [
         ("spark", "00:00:00", 1, 1_000), ("spark", "00:00:10", 1, 11_000), ("大数据", "00:00:00", 2, 1_000),
     ]
+    without = stats.keyword_stats(df).collect()
+    assert sorted((r.keyword, r.ct) for r in without) == [("spark", 1), ("spark", 1), ("大数据", 2)]
 
 
 def test_shuffle_sizing(spark):

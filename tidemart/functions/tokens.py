@@ -1,8 +1,8 @@
 """Words of a text, as rows.
 
-Letters and digits split on anything else and are lower-cased. Runs of Chinese
-characters have no blanks, so a run gives every substring that is a word of the
-user's dictionary, overlapping ones included.
+Runs of letters, marks and digits of any script are words, lower-cased. Han characters are written without blanks, so
+they make runs of their own: such a run is one word, or, with the user's dictionary, gives every substring that is a
+word of it, overlapping ones included, and its single characters.
 """
 
 from __future__ import annotations
@@ -10,50 +10,56 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# ---- fixed values: character ranges
-LETTERS = "[A-Za-z0-9]+"
-CJK = "[一-鿿]+"
+# ---- fixed values: character classes
+HAN = r"\p{IsHan}+"
+LETTERS = r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]+"
 # --------------------------------------
 
 
-def candidate_words(df: DataFrame, text: str, max_chars: int = 0, name: str = "word") -> DataFrame:
+def longest_word(dictionary: DataFrame) -> int:
+    """Characters of the longest word of ``dictionary(word)``; 1 if it has none."""
+    return dictionary.agg(F.max(F.length("word"))).first()[0] or 1
+
+
+def candidate_words(df: DataFrame, text: str, longest: int = 0, name: str = "word") -> DataFrame:
     """One row per word, dropping ``text``; a text without words keeps one null row.
 
-    With ``max_chars`` > 0 the Chinese runs give all substrings of up to that
-    many characters, and ``_cjk`` marks them as not yet checked. Runs become
-    rows first, so no array holds the substrings of a whole text.
+    With ``longest`` > 0 the Han runs give all substrings of up to that many characters, and ``_han`` marks them as not
+    yet checked. Runs become rows first, so no array holds the substrings of a whole text.
     """
     keep = [c for c in df.columns if c != text]
-    pattern = f"{LETTERS}|{CJK}" if max_chars else LETTERS
-    runs = df.select(*keep, F.explode_outer(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(0))).alias("_run"))
-    if not max_chars:
+    found = F.regexp_extract_all(F.col(text), F.lit(f"{HAN}|{LETTERS}"), F.lit(0))
+    runs = df.select(*keep, F.explode_outer(found).alias("_run"))
+    if not longest:
         return runs.select(*keep, F.lower("_run").alias(name))
-    cjk = F.coalesce(F.ascii("_run") > 127, F.lit(False))
     size, at = F.length("_run"), F.col("_at")
-    # every (start, length) of a Chinese run as one number; other runs stay one row
-    places = F.when(F.col("_cjk"), F.sequence(F.lit(0), size * max_chars - 1))
-    pieces = runs.select(*keep, "_run", cjk.alias("_cjk")).select("*", F.explode_outer(places).alias("_at"))
-    start, chars = F.floor(at / max_chars).cast("int") + 1, at % max_chars + 1
+    # every (start, length) of a Han run as one number; other runs stay one row
+    places = F.when(F.col("_han"), F.sequence(F.lit(0), size * longest - 1))
+    han = F.coalesce(F.col("_run").rlike(f"^{HAN}"), F.lit(False))
+    pieces = runs.select(*keep, "_run", han.alias("_han")).select("*", F.explode_outer(places).alias("_at"))
+    start, chars = F.floor(at / longest).cast("int") + 1, at % longest + 1
     inside = at.isNull() | (start + chars - 1 <= size)
     word = F.when(at.isNull(), F.col("_run")).otherwise(F.substring(F.col("_run"), start, chars))
-    return pieces.filter(inside).select(*keep, "_cjk", F.lower(word).alias(name))
+    return pieces.filter(inside).select(*keep, "_han", F.lower(word).alias(name))
 
 
-def in_dictionary(words: DataFrame, dictionary: DataFrame, name: str = "word") -> DataFrame:
-    """Drop Chinese candidates that are not in ``dictionary(word)``.
+def in_dictionary(words: DataFrame, dictionary: DataFrame, name: str = "word", singles: bool = True) -> DataFrame:
+    """Drop Han candidates that are not in ``dictionary(word)``; ``singles`` keeps single characters all the same.
 
-    One left join: the planner broadcasts the dictionary while it is under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffles both sides beyond it.
+    Only the candidates meet the dictionary: in a table the other words bypass the join. A stream is joined once, as
+    two branches would keep its state twice.
     """
     known = dictionary.select(F.lower("word").alias("_known")).distinct()
-    joined = words.join(known, F.col(name) == F.col("_known"), "left")
-    return joined.filter(~F.col("_cjk") | F.col("_known").isNotNull()).drop("_cjk", "_known")
+    open_ = F.col("_han") & (F.length(name) > 1) if singles else F.col("_han")
+    if words.isStreaming:
+        joined = words.join(known, F.col(name) == F.col("_known"), "left")
+        return joined.filter(~open_ | F.col("_known").isNotNull()).drop("_han", "_known")
+    found = words.filter(open_).join(known, F.col(name) == F.col("_known"), "left_semi")
+    return words.filter(~open_).unionAll(found).drop("_han")
 
 
-def split_words(
-    df: DataFrame, text: str = "full_word", dictionary: DataFrame | None = None, max_chars: int = 4
-) -> DataFrame:
+def split_words(df: DataFrame, text: str = "full_word", dictionary: DataFrame | None = None, singles: bool = True) -> DataFrame:
     """Join every row with the words of its text; columns of ``df`` but ``text``, plus ``word``."""
     if dictionary is None:
         return candidate_words(df, text)
-    return in_dictionary(candidate_words(df, text, max_chars), dictionary)
+    return in_dictionary(candidate_words(df, text, longest_word(dictionary)), dictionary, singles=singles)

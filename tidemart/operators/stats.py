@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart import schemas as S
-from tidemart.functions.tokens import candidate_words, in_dictionary
+from tidemart.functions.tokens import candidate_words, in_dictionary, longest_word
 from tidemart.functions.times import window_bounds
 
 WIDTH = "10 seconds"
@@ -88,20 +88,20 @@ def window_stats_join(order_wide: DataFrame, width: str = WIDTH) -> DataFrame:
 
 
 def keyword_stats(
-    searches: DataFrame, width: str = WIDTH, dictionary: DataFrame | None = None, max_chars: int = 4
+    searches: DataFrame, width: str = WIDTH, dictionary: DataFrame | None = None, singles: bool = True
 ) -> DataFrame:
     """Searches per word in each window.
 
-    With a dictionary the Chinese candidates are counted first and checked
-    after, so the check sees one row per word and window.
+    With a dictionary the Han candidates are counted first and checked after, so the check sees one row per word and
+    window; without one a Han run counts as one word.
     """
-    words = candidate_words(searches, "full_word", max_chars if dictionary is not None else 0)
-    flag = ["_cjk"] if dictionary is not None else []
+    words = candidate_words(searches, "full_word", longest_word(dictionary) if dictionary is not None else 0)
+    flag = ["_han"] if dictionary is not None else []
     stats = words.groupBy(_window(width), "word", *flag).agg(
         F.count(F.lit(1)).alias("ct"), F.min("ts").alias("ts")
     )
     if dictionary is not None:
-        stats = in_dictionary(stats, dictionary)
+        stats = in_dictionary(stats, dictionary, singles=singles)
     stats = window_bounds(stats.withColumnRenamed("word", "keyword"))
     return stats.withColumn("source", F.lit(S.KEYWORD_SOURCE)).select([f.name for f in S.KEYWORD_STATS.fields])
 

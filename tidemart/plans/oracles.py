@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import re
 
+from tidemart.sources.driver_tables import HAN, LATIN
+
 VIEWS = {
     "base_log": """
         SELECT 'mid_' || user_id AS mid, CAST(user_id % 3 AS VARCHAR) AS vc, CAST(user_id % 5 AS VARCHAR) AS ch,
@@ -114,7 +116,24 @@ VIEWS = {
         UNION ALL SELECT k + 1, 0, 0, 0, 0, 0, 1, CASE WHEN k % 3 = 0 THEN 1 ELSE 0 END, 0, 0, 0, NULL, NULL, ts
         FROM page_log WHERE page_id = 'signup'""",
     "words": r"""
-        SELECT doc_id, lower(unnest(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS word FROM documents""",
+        SELECT doc_id, lower(unnest(list_concat(regexp_extract_all(text, '\p{Han}+'),
+               regexp_extract_all(regexp_replace(text, '\p{Han}+', ' ', 'g'), '[\p{L}\p{M}\p{N}]+')))) AS word FROM documents""",
+    "han_documents": f"SELECT doc_id, translate(lower(text), '{LATIN}', '{HAN}') AS text FROM documents",
+    "han_words": r"""
+        SELECT DISTINCT unnest(list_concat(regexp_extract_all(text, '\p{Han}+'),
+               regexp_extract_all(regexp_replace(text, '\p{Han}+', ' ', 'g'), '[\p{L}\p{M}\p{N}]+'))) AS word
+        FROM (SELECT translate(lower(text), '""" + f"{LATIN}', '{HAN}" + r"""') AS text FROM benchmark)""",
+    "han_dictionary": "SELECT word FROM han_words WHERE length(word) BETWEEN 2 AND 7",
+    "han_tokens": r"""
+        SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '\p{Han}+', ' ', 'g'), '[\p{L}\p{M}\p{N}]+')) AS word
+        FROM han_documents
+        UNION ALL
+        SELECT doc_id, word FROM (
+          SELECT doc_id, substr(run, pos, n) AS word, pos + n - 1 <= length(run) AS inside
+          FROM (SELECT doc_id, run, unnest(range(1, length(run) + 1)) AS pos
+                FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\p{Han}+')) AS run FROM han_documents)),
+               range(1, 8) AS sizes(n)
+        ) WHERE inside AND (length(word) = 1 OR word IN (SELECT word FROM han_dictionary))""",
     "searches": """
         SELECT d.doc_id, w.word, 1704067200000 + d.doc_id * 1000 AS ts
         FROM documents d LEFT JOIN words w ON d.doc_id = w.doc_id""",
@@ -329,6 +348,7 @@ BODIES = {
         CAST(v || '.50' AS DECIMAL(16,2)) AS as_money, '(' || event_type || ',' || user_id || ',' || event_id || ')' AS tuple
         FROM (SELECT *, regexp_extract(props, '[0-9]+') AS v FROM events)""",
     "split_words": """SELECT d.doc_id, w.word, count(*) AS n FROM documents d LEFT JOIN words w ON d.doc_id = w.doc_id GROUP BY 1, 2""",
+    "keyword_tokens_han": "SELECT word, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM han_tokens GROUP BY word",
     "keyword_tokens": "SELECT word, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM words GROUP BY word",
 }
 

@@ -657,11 +657,25 @@ def _(spark, folder):
     return rows.groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("n"))
 
 
+def dictionary_counts(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Words of whole texts, counted before the dictionary sees them: one row per word."""
+    words = tokens.candidate_words(docs, "text", tokens.longest_word(dictionary))
+    per_text = words.groupBy("doc_id", "_han", "word").agg(F.count(F.lit(1)).alias("n"))
+    counted = per_text.groupBy("_han", "word").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs"))
+    return tokens.in_dictionary(counted, dictionary)
+
+
 @query("keyword_tokens")
 def _(spark, folder):
     """Whole texts against a dictionary: here the words of the benchmark passages."""
     docs = D.table(spark, folder, "documents").select("doc_id", "text")
     passages = D.table(spark, folder, "benchmark").select("text")
-    dictionary = tokens.split_words(passages, "text").distinct()
-    words = tokens.split_words(docs, "text", dictionary)
-    return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("n_docs"))
+    return dictionary_counts(docs, tokens.split_words(passages, "text").distinct())
+
+
+@query("keyword_tokens_han")
+def _(spark, folder):
+    """The same with each Latin letter written as a Han character, so that nearly all words are Han runs."""
+    docs = D.han_texts(D.table(spark, folder, "documents").select("doc_id", "text"))
+    words = tokens.split_words(D.han_texts(D.table(spark, folder, "benchmark").select("text")), "text")
+    return dictionary_counts(docs, words.filter(F.length("word").between(2, 7)).distinct())

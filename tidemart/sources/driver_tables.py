@@ -281,3 +281,14 @@ def behaviours(spark: SparkSession, folder: str, event_type: str) -> DataFrame:
         "user_id", (_k() + 1).alias("item_id"), F.col("event_type").alias("behavior"),
         F.timestamp_millis(_ms("ts")).alias("ts"),
     )
+
+
+# ---- fixed values: a Han character for each letter
+LATIN = "abcdefghijklmnopqrstuvwxyz"
+HAN = "的一是在不了有和人这中大为上个国我以要他时来用们生到"
+# ---------------------------------------------------
+
+
+def han_texts(df: DataFrame, text: str = "text") -> DataFrame:
+    """Texts with their Latin letters written as Han characters."""
+    return df.withColumn(text, F.translate(F.lower(text), LATIN, HAN))

@@ -304,12 +304,45 @@ def test_ensure_dim_table(spark, tmp_path):
         dimensions.read_dim(spark, str(tmp_path), "none")
 
 
-def test_dynamic_topics_replace_a_retried_batch(spark, tmp_path):
+def test_a_retried_batch_adds_what_was_not_published(spark, tmp_path):
     rows = spark.createDataFrame([("x", "1"), ("y", "2"), ("x", "3")], "topic string, value string")
-    for batch in (0, 1, 1):
-        topics.write_topic_dynamic(rows, str(tmp_path), batch)
-    out = spark.read.text(f"{tmp_path}/topic=x").select("value")
-    assert sorted(r.value for r in out.collect()) == ["1", "1", "3", "3"]
+    topics.write_topic_dynamic(rows.filter("topic = 'x'"), str(tmp_path), 1, "a")  # the attempt got to one topic only
+    before = {p.name for p in tmp_path.glob("topic=x/**/*.txt")}
+    for batch, writer in ((0, "a"), (1, "a"), (1, "a"), (1, "b")):
+        topics.write_topic_dynamic(rows, str(tmp_path), batch, writer)
+    assert before <= {p.name for p in tmp_path.glob("topic=x/**/*.txt")}
+    for name, values in (("x", ["1", "1", "1", "3", "3", "3"]), ("y", ["2", "2", "2"])):
+        assert sorted(r.value for r in spark.read.text(f"{tmp_path}/topic={name}").collect()) == values
+
+
+def test_files_per_topic_and_batch(spark, tmp_path):
+    rows = spark.range(4000).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("value"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        topics.write_topic_dynamic(rows.repartition(16), str(tmp_path), 0, "w", files=2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert 1 <= len(list(tmp_path.glob("topic=t/writer=w/batch_id=0/*.txt"))) <= 2
+    assert spark.read.text(f"{tmp_path}/topic=t").count() == 4000
+
+
+def test_log_records_go_on_whole(spark):
+    lines = [
+        '{"common":{"mid":"m","uid":"7","is_new":"1"},"page":{"page_id":"home","source_type":"q"},"displays":[{"item":"3","pos_id":2},{"ts":1}],"actions":[{"a":1}],"err":{"code":7},"ts":100}',
+        '{"common":{"mid":"m","uid":"7","is_new":"1","deep":{"x":[1,null]}},"page":{"page_id":"p"},"extra":"1","ts":200}',
+        "not json", "[1]", None, '{"common":{"mid":"n","is_new":"0"},"start":{"entry":"icon","first":1},"ts":5}',
+    ]
+    log = logs.parse_log(spark.createDataFrame([(x,) for x in lines], "value string"))
+    out = {}
+    for r in logs.log_topics(logs.fix_is_new(log)).collect():
+        out.setdefault(r.topic, []).append(r.value)
+    second = json.loads(lines[1])
+    second["common"]["is_new"] = "0"
+    assert sorted(out[S.TOPIC_UNREADABLE]) == ["", "[1]", "not json"]
+    assert lines[0] in out[S.TOPIC_PAGE] and second in map(json.loads, out[S.TOPIC_PAGE]) and len(out[S.TOPIC_PAGE]) == 2
+    assert out[S.TOPIC_START] == [lines[5]]
+    origin = {"mid": "m", "page_id": "home", "ts": 100}
+    assert [json.loads(x) for x in out[S.TOPIC_DISPLAY]] == [{"item": "3", "pos_id": 2, **origin}, origin]
 
 
 # ---- facts and statistics

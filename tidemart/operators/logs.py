@@ -6,7 +6,7 @@ device to one task: a device may hold a large share of the log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart import schemas as S
@@ -84,22 +84,71 @@ def split_log(df: DataFrame, whole_record: bool = False) -> dict[str, DataFrame]
     }
 
 
-def log_topics(df: DataFrame, whole_record: bool = False) -> DataFrame:
-    """The same as ``(topic, value)`` JSON rows, from one pass over the log."""
+def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
+    """Log lines as columns of ``schemas.LOG`` plus ``raw``, the line itself, and ``readable``: it is a JSON object."""
+    readable = F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False))
+    parts = [F.col("_log")[f].alias(f) for f in S.LOG.fieldNames()]
+    # inline makes the parse a step of its own (see functions.text.parse_json)
+    both = F.struct(F.from_json(value, S.LOG).alias("_log"), F.col(value).alias("raw"), readable.alias("readable"))
+    return df.select(F.inline(F.array(both))).select(*parts, "raw", "readable")
+
+
+def _entries(variant) -> Column:
+    return variant.cast("map<string,variant>")
+
+
+def record_text() -> Column:
+    """The line of a parsed log record, with ``common.is_new`` as the column has it and all else as it came."""
+    record = _entries(F.parse_json("raw"))
+    fixed = F.transform_values(
+        _entries(record["common"]), lambda k, v: F.when(k == "is_new", _text_variant(F.col("common.is_new"))).otherwise(v)
+    )
+    changed = F.transform_values(record, lambda k, v: F.when(k == "common", F.to_variant_object(fixed)).otherwise(v))
+    same = F.get_json_object("raw", "$.common.is_new").eqNullSafe(F.col("common.is_new"))
+    return F.when(same, F.col("raw")).otherwise(F.to_json(changed))
+
 
-    def row(topic, *columns):
-        return F.struct(F.lit(topic).alias("topic"), F.to_json(F.struct(*columns)).alias("value"))
+def _text_variant(text: Column) -> Column:
+    return F.parse_json(F.to_json(F.array(text))).cast("array<variant>")[0]
 
-    page = [c for c in df.columns if c != "start"]
-    names = df.schema["displays"].dataType.elementType.names
-    origin = [F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), F.col("ts")]
 
-    def shown(display):
-        return row(S.TOPIC_DISPLAY, *(page if whole_record else [*[display[n].alias(n) for n in names], *origin]))
+def display_texts() -> Column:
+    """Each display of a line as JSON of its own, everything it came with, plus the page's ``mid``, ``page_id`` and ``ts``."""
+    origin = F.create_map(
+        F.lit("mid"), _text_variant(F.col("common.mid")), F.lit("page_id"), _text_variant(F.col("page.page_id")),
+        F.lit("ts"), F.parse_json(F.col("ts").cast("string")),
+    )
+    own = lambda d: F.map_filter(_entries(d), lambda k, _: ~k.isin("mid", "page_id", "ts"))
+    shown = F.try_variant_get(F.parse_json("raw"), "$.displays", "array<variant>")
+    return F.transform(F.coalesce(shown, F.array().cast("array<variant>")), lambda d: F.to_json(F.map_concat(own(d), origin)))
+
+
+def log_topics(df: DataFrame, whole_record: bool = False) -> DataFrame:
+    """The topics of a log as ``(topic, value)`` JSON rows, from one pass over it.
+
+    Of a log from ``parse_log`` records go on whole, and lines that are no JSON objects to a topic of their own, where
+    they can be counted. A log with the columns of ``schemas.LOG`` alone gives just these.
+    """
 
-    displays = F.transform(F.coalesce("displays", F.array().cast(df.schema["displays"].dataType)), shown)
-    start = row(S.TOPIC_START, *[c for c in df.columns if c not in ("page", "displays")])
-    rows = F.when(F.col("start").isNotNull(), F.array(start)).otherwise(F.concat(F.array(row(S.TOPIC_PAGE, *page)), displays))
+    def row(topic, value):
+        return F.struct(F.lit(topic).alias("topic"), value.alias("value"))
+
+    def fields(*columns):
+        return F.to_json(F.struct(*columns))
+
+    if "raw" in df.columns:
+        start = page = record_text()
+        displays = F.transform(display_texts(), lambda d: row(S.TOPIC_DISPLAY, page if whole_record else d))
+    else:
+        columns = [c for c in df.columns if c != "start"]
+        names = df.schema["displays"].dataType.elementType.names
+        origin = [F.col("common.mid").alias("mid"), F.col("page.page_id").alias("page_id"), F.col("ts")]
+        start, page = fields(*[c for c in df.columns if c not in ("page", "displays")]), fields(*columns)
+        shown = F.coalesce("displays", F.array().cast(df.schema["displays"].dataType))
+        displays = F.transform(shown, lambda d: row(S.TOPIC_DISPLAY, page if whole_record else fields(*[d[n].alias(n) for n in names], *origin)))
+    rows = F.when(F.col("start").isNotNull(), F.array(row(S.TOPIC_START, start))).otherwise(F.concat(F.array(row(S.TOPIC_PAGE, page)), displays))
+    if "readable" in df.columns:
+        rows = F.when(F.col("readable"), rows).otherwise(F.array(row(S.TOPIC_UNREADABLE, F.coalesce("raw", F.lit("")))))
     return df.select(F.inline(rows))
 
 

@@ -24,6 +24,11 @@ VIEWS = {
         FROM (SELECT user_id, event_type, value, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k,
                      epoch_us(ts) // 1000 AS ts FROM events)""",
     "page_log": "SELECT * FROM base_log WHERE NOT is_start",
+    "fixed_log": """
+        SELECT * EXCLUDE (is_new), CAST(substr(mid, 5) AS BIGINT) AS user_id, CAST(ts % 1000 AS VARCHAR) AS action,
+               CASE WHEN ts % 5 = 0 THEN CAST(ts % 7 AS VARCHAR) END AS err,
+               CASE WHEN is_new = '1' AND row_number() OVER (PARTITION BY mid, is_new ORDER BY ts) > 1 THEN '0' ELSE is_new END AS is_new
+        FROM base_log WHERE ts % 97 <> 0""",
     "display_log": """
         SELECT CAST(k + 1 + i AS VARCHAR) AS item, CASE WHEN i % 2 = 0 THEN 'sku_id' ELSE 'activity_id' END AS item_type,
                mid, page_id, ts FROM page_log, (VALUES (0), (1), (2)) AS n(i) WHERE i < k % 4""",
@@ -282,6 +287,17 @@ BODIES = {
     "split_log": """SELECT 'dwd_start_log' AS topic, mid, NULL AS page_id, CAST(k AS VARCHAR) AS item, ts FROM base_log WHERE is_start
         UNION ALL SELECT 'dwd_page_log', mid, page_id, item, ts FROM page_log
         UNION ALL SELECT 'dwd_display_log', mid, page_id, item, ts FROM display_log""",
+    "log_topics_whole": """
+        SELECT 'dwd_start_log' AS topic, CAST(user_id AS VARCHAR) AS uid, is_new, mid, NULL AS shown_mid, NULL AS source_type,
+               NULL AS pos_id, NULL AS shown, action, err, 'icon' AS entry, NULL AS broken FROM fixed_log WHERE is_start
+        UNION ALL SELECT 'dwd_page_log', CAST(user_id AS VARCHAR), is_new, mid, NULL, 'from ' || page_id, NULL, NULL,
+               action, err, NULL, NULL FROM fixed_log WHERE NOT is_start
+        UNION ALL SELECT 'dwd_display_log', NULL, NULL, NULL, mid, NULL, CAST(length(CAST(k + 1 + i AS VARCHAR)) AS VARCHAR),
+               CAST(k + 1 + i AS VARCHAR), NULL, NULL, NULL, NULL
+        FROM fixed_log, (VALUES (0), (1), (2)) AS n(i) WHERE NOT is_start AND i < k % 4
+        UNION ALL SELECT 'dwd_unreadable_log', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{"cut":' || ts
+        FROM base_log WHERE ts % 97 = 0""",
+    "retried_batch": f"{FLAT} page_log",
     "display_enrich": "SELECT item, item_type, mid, page_id, ts FROM display_log",
     "display_whole_record": "SELECT p.mid, p.is_new, p.page_id, p.last_page_id, p.item, p.ts FROM page_log p JOIN display_log d ON p.mid = d.mid AND p.ts = d.ts",
     "entry_pages": f"{FLAT} page_log WHERE last_page_id IS NULL",

@@ -240,6 +240,30 @@ def _(spark, folder):
     )
 
 
+@query("log_topics_whole")
+def _(spark, folder):
+    """Records with fields that no schema here names, and lines that are no JSON at all."""
+    rows = logs.log_topics(logs.fix_is_new(logs.parse_log(D.raw_log(spark, folder))))
+    paths = {
+        "uid": "common.uid", "is_new": "common.is_new", "mid": "common.mid", "shown_mid": "mid", "source_type": "page.source_type",
+        "pos_id": "pos_id", "shown": "item", "action": "actions[0].n", "err": "err.code", "entry": "start.entry",
+    }
+    found = [F.get_json_object("value", f"$.{path}").alias(name) for name, path in paths.items()]
+    broken = F.when(F.col("topic") == S.TOPIC_UNREADABLE, F.col("value")).alias("broken")
+    return rows.select("topic", *found, broken)
+
+
+@query("retried_batch")
+def _(spark, folder):
+    """A batch written twice, with a downstream stream run after each time: every record arrives once."""
+    uri = shared_folder(spark, "retried")
+    records = text.to_value(D.page_log(spark, folder)).select(F.lit(S.TOPIC_PAGE).alias("topic"), "value")
+    for _attempt in range(2):
+        topics.write_topic_dynamic(records, uri, 7, "pages")
+        finish(runs.passthrough(spark, uri, S.TOPIC_PAGE, "copy", f"{uri}/checkpoint", runs.NOW))
+    return flat_log(text.parse_json(spark.read.text(topic_path(uri, "copy")), S.LOG))
+
+
 @query("display_enrich")
 def _(spark, folder):
     return logs.display_records(D.base_log(spark, folder))
@@ -496,94 +520,123 @@ def closing_row(df: DataFrame, ms: str = "ts") -> DataFrame:
     return df.sparkSession.range(1).select(columns)
 
 
-def as_stream(spark, df: DataFrame, name: str, ms: str | None = None) -> DataFrame:
-    """Rows as a file stream; with ``ms`` a closing row follows them."""
-    path = shared_folder(spark, name)
-    df.write.parquet(f"{path}/0")
-    if ms:
-        closing_row(df, ms).write.parquet(f"{path}/1")
-    return spark.readStream.schema(df.schema).parquet(f"{path}/*")
+class Feed:
+    """Tables that arrive as file streams in time slices, with a run of the query after each slice.
 
+    The slices cut the time range of the first table in equal parts. A run resumes from the checkpoint of the one
+    before, so rows that belong together across slices meet in the state alone.
+    """
 
-def stream_result(spark, df: DataFrame, name: str) -> DataFrame:
-    out = shared_folder(spark, name)
-    finish(runs.checkpointed_run(df, f"{out}/data", f"{out}/checkpoint", runs.NOW))
-    return spark.read.parquet(f"{out}/data")
+    SLICES = 3
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.parts, self.cuts = spark, [], None
+
+    def stream(self, df: DataFrame, name: str, ms: str = "ts", close: bool = True) -> DataFrame:
+        """Rows as a file stream; ``close`` lets a closing row follow them."""
+        path = shared_folder(self.spark, name)
+        if self.cuts is None:
+            low, high = df.agg(F.min(ms), F.max(ms)).first()
+            low, high = low or 0, (high or 0) + 1
+            self.cuts = [low + (high - low) * i // self.SLICES for i in range(1, self.SLICES)]
+        bounds = [None, *self.cuts, None]
+        for i, (start, end) in enumerate(zip(bounds, bounds[1:])):
+            part = df if start is None else df.filter(F.col(ms) >= start)
+            part = part if end is None else part.filter(F.col(ms) < end)
+            self.parts.append((i, part, f"{path}/{i}"))
+        if close:
+            self.parts.append((self.SLICES, closing_row(df, ms), f"{path}/{self.SLICES}"))
+        return self.spark.readStream.schema(df.schema).parquet(f"{path}/*")
+
+    def run(self, start: Callable[[], object]) -> None:
+        for i in range(self.SLICES + 1):
+            now = [(part, path) for k, part, path in self.parts if k == i]
+            for part, path in now:
+                part.write.parquet(path)
+            if now:
+                finish(start())
 
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        out = shared_folder(self.spark, name)
+        self.run(lambda: runs.checkpointed_run(df, f"{out}/data", f"{out}/checkpoint", runs.NOW))
+        return self.spark.read.parquet(f"{out}/data")
 
-def settled_result(spark, run, name: str) -> DataFrame:
-    """The batches that a run over ``write`` has written."""
-    out = shared_folder(spark, name)
+    def settled(self, run, name: str) -> DataFrame:
+        """The batches that runs over ``write`` have written."""
+        out = shared_folder(self.spark, name)
 
-    def write(rows: DataFrame, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
+        def write(rows: DataFrame, batch_id: int) -> None:
+            rows.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
 
-    finish(run(write, f"{out}/checkpoint", runs.NOW))
-    return spark.read.parquet(f"{out}/data").drop("batch")
+        self.run(lambda: run(write, f"{out}/checkpoint", runs.NOW))
+        return self.spark.read.parquet(f"{out}/data").drop("batch")
 
 
 @query("fix_is_new_stream")
 def _(spark, folder):
-    log = D.base_log(spark, folder)
-    stream = as_stream(spark, log, "base_log")
-    fixed = settled_result(spark, partial(stateful.fix_is_new_stream, stream), "fixed")
+    feed = Feed(spark)
+    stream = feed.stream(D.base_log(spark, folder), "base_log", close=False)
+    fixed = feed.settled(partial(stateful.fix_is_new_stream, stream), "fixed")
     return fixed.select("common.mid", "common.is_new", "page.page_id", "ts")
 
 
 @query("unique_visit_stream")
 def _(spark, folder):
-    pages = D.page_log(spark, folder)
-    stream = as_stream(spark, pages, "pages")
-    return flat_log(settled_result(spark, partial(stateful.unique_visit_stream, stream), "visits"))
+    feed = Feed(spark)
+    stream = feed.stream(D.page_log(spark, folder), "pages", close=False)
+    return flat_log(feed.settled(partial(stateful.unique_visit_stream, stream), "visits"))
 
 
 @query("user_jump_stream")
 def _(spark, folder):
-    pages = D.page_log(spark, folder)
-    stream = as_stream(spark, pages, "pages", "ts")
+    feed = Feed(spark)
+    stream = feed.stream(D.page_log(spark, folder), "pages")
     jumps = stateful.user_jump_stream(stream, HOURLY["jump_ms"], "2 seconds", kind=True)
-    result = stream_result(spark, jumps.select("common.mid", "ts", "kind"), "jumps")
+    result = feed.result(jumps.select("common.mid", "ts", "kind"), "jumps")
     return result.filter(F.col("ts") < FAR_MS)
 
 
 @query("visitor_stats_stream")
 def _(spark, folder):
     rows = Layers(spark, folder, **HOURLY).visitor_facts()
-    stream = times.with_event_time(as_stream(spark, rows, "visitor_rows", "ts"), "ts", "12 seconds")
-    return stream_result(spark, stats.visitor_stats(stream, "1 hour"), "visitor_stats")
+    feed = Feed(spark)
+    stream = times.with_event_time(feed.stream(rows, "visitor_rows"), "ts", "12 seconds")
+    return feed.result(stats.visitor_stats(stream, "1 hour"), "visitor_stats")
 
 
 @query("product_stats_stream")
 def _(spark, folder):
     rows = Layers(spark, folder).product_facts()
-    stream = times.with_event_time(as_stream(spark, rows, "product_rows", "ts"), "ts", "905 seconds")
-    counted = stream_result(spark, stats.product_stats(stream, "1 hour"), "product_stats")
+    feed = Feed(spark)
+    stream = times.with_event_time(feed.stream(rows, "product_rows"), "ts", "905 seconds")
+    counted = feed.result(stats.product_stats(stream, "1 hour"), "product_stats")
     return joins.product_dims(counted, D.dimensions(spark, folder))
 
 
 @query("order_wide_stream")
 def _(spark, folder):
     bound = Layers(spark, folder).order_bound_ms
-    sides = []
+    feed, sides = Feed(spark), []
     for name, rows in (("orders", D.order_info(spark, folder)), ("details", D.order_detail(spark, folder))):
-        sides.append(times.with_event_time(as_stream(spark, rows, name, "create_time"), "create_time", "2 seconds"))
+        sides.append(times.with_event_time(feed.stream(rows, name, "create_time"), "create_time", "2 seconds"))
     joined = joins.order_wide_interval_join(*sides, bound, bound)
-    return stream_result(spark, joins.order_wide_project(joined).select(ORDER_WIDE_OUT), "order_wide")
+    return feed.result(joins.order_wide_project(joined).select(ORDER_WIDE_OUT), "order_wide")
 
 
 @query("key_count_2s_stream")
 def _(spark, folder):
     rows = TB.parse_csv_event(D.csv_events(spark, folder))
-    stream = times.with_event_time(as_stream(spark, rows, "csv", "ts"), "ts", "0 seconds")
-    return stream_result(spark, stats.key_count(stream), "key_count")
+    feed = Feed(spark)
+    stream = times.with_event_time(feed.stream(rows, "csv"), "ts", "0 seconds")
+    return feed.result(stats.key_count(stream), "key_count")
 
 
 @query("bounded_watermark")
 def _(spark, folder):
-    pages = D.page_log(spark, folder)
-    stream = as_stream(spark, pages, "pages", "ts")
+    feed = Feed(spark)
+    stream = feed.stream(D.page_log(spark, folder), "pages")
     stamped = times.bounded_watermark(times.with_event_time(stream), "2 seconds")
-    return stream_result(spark, stats.page_area_counts(stamped), "areas")
+    return feed.result(stats.page_area_counts(stamped), "areas")
 
 
 @query("late_drop")

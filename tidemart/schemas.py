@@ -44,6 +44,9 @@ DIM_CATEGORY3 = "DIM_BASE_CATEGORY3"
 DIM_PROVINCE = "DIM_BASE_PROVINCE"
 # --------------------------------------------------------------------------
 
+#: Lines of the log that are no JSON objects; the original has no such topic.
+TOPIC_UNREADABLE = "dwd_unreadable_log"
+
 
 def _strings(names):
     return T.StructType([T.StructField(n, T.StringType()) for n in names])

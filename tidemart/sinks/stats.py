@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_stats(df: DataFrame, path: str, batch_id: int = 0) -> None:
-    """Write a batch of statistics by day of ``stt``; a retried batch replaces itself."""
+def write_stats(df: DataFrame, path: str, batch_id: int = 0, files: int = 8) -> None:
+    """Write a batch of statistics by day of ``stt``, at most ``files`` files a day; a retried batch replaces itself.
+
+    Statistics are read as tables, never as streams, so replacing them makes no duplicates.
+    """
     placed = df.withColumn("day", F.substring("stt", 1, 10)).withColumn("batch_id", F.lit(batch_id))
     (
-        placed.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        placed.repartition("day", F.pmod(F.xxhash64(*df.columns), F.lit(files))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("day", "batch_id").parquet(path)
     )
 

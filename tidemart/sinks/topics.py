@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.sources.topics import BROKER, topic_path
@@ -30,18 +31,34 @@ def topic_rows(routed: DataFrame) -> DataFrame:
     return routed.select(F.col("sink_table").alias("topic"), F.to_json("after").alias("value"))
 
 
-def write_topic_dynamic(rows: DataFrame, uri: str, batch_id: int = 0) -> None:
+def published(spark: SparkSession, uri: str, writer: str, batch_id: int) -> list[str]:
+    """The topics that hold a batch of a writer already: at most one name per topic."""
+    batch = f"{uri.rstrip('/')}/topic=*/writer={writer}/batch_id={batch_id}"
+    files = spark.read.format("binaryFile").option("basePath", uri.rstrip("/"))
+    try:
+        return [r.topic for r in files.load(batch).select(F.col("topic").cast("string")).distinct().collect()]
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def write_topic_dynamic(rows: DataFrame, uri: str, batch_id: int = 0, writer: str = "batch", files: int = 8) -> None:
     """Write ``(topic, value)`` rows to the topic each row names.
 
-    In folders a batch owns ``topic=…/batch_id=…`` and overwrites just that, so a
-    retried batch leaves no second copy. The rebalance hint gives each topic
-    whole files while still splitting a topic that holds most rows.
+    In folders a batch owns ``topic=…/writer=…/batch_id=…``. What was published is never touched again: a reader may
+    have taken its files, and would take new ones for new records. So a retried batch, which has the same rows, only
+    writes the topics that its first attempt did not get to; a topic's folder appears at once, with all its files.
+    A topic gets at most ``files`` files per batch, dealt out by a hash of the record, with or without adaptive
+    execution (stateful streams run without).
     """
     if uri.startswith(BROKER):
         rows.write.format("kafka").option("kafka.bootstrap.servers", uri[len(BROKER):]).save()
         return
-    placed = rows.select("topic", F.lit(batch_id).alias("batch_id"), "value").hint("rebalance", "topic")
+    done = published(rows.sparkSession, uri, writer, batch_id)
+    new = rows.filter(~F.col("topic").isin(done)) if done else rows
+    placed = new.select("topic", F.lit(writer).alias("writer"), F.lit(batch_id).alias("batch_id"), "value")
     (
-        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("topic", "batch_id").text(uri.rstrip("/"))
+        placed.repartition("topic", F.pmod(F.xxhash64("value"), F.lit(files))).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "writer", "batch_id").text(uri.rstrip("/"))
     )

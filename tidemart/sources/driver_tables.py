@@ -105,6 +105,20 @@ def base_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def raw_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The app log as lines of text, with more fields than ``schemas.LOG`` has, and some lines that are cut off."""
+    log = base_log(spark, folder)
+    user = F.regexp_extract("common.mid", "[0-9]+", 0)
+    displays = F.transform("displays", lambda d: d.withField("pos_id", F.length(d["item"])))
+    line = F.to_json(F.struct(
+        F.col("common").withField("uid", user).alias("common"),
+        F.col("page").withField("source_type", F.concat(F.lit("from "), F.col("page.page_id"))).alias("page"), "start",
+        displays.alias("displays"), F.array(F.struct((F.col("ts") % 1000).alias("n"))).alias("actions"),
+        F.when(F.col("ts") % 5 == 0, F.struct((F.col("ts") % 7).alias("code"))).alias("err"), "ts",
+    ))
+    return log.select(F.when(F.col("ts") % 97 == 0, F.concat(F.lit('{"cut":'), _text("ts"))).otherwise(line).alias("value"))
+
+
 def page_log(spark: SparkSession, folder: str) -> DataFrame:
     return base_log(spark, folder).filter(F.col("start").isNull()).drop("start")
 

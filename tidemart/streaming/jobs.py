@@ -2,8 +2,8 @@
 
 Every job takes the topic address, a checkpoint folder and a trigger, and
 returns its started query. The jobs that write more than one topic or look up
-dimensions do so per micro-batch, and each batch replaces its own output when
-it is retried.
+dimensions do so per micro-batch. A retried batch adds what its first attempt
+did not get to publish, and nothing twice.
 """
 
 from __future__ import annotations
@@ -67,7 +67,7 @@ class Jobs:
         """Writes a micro-batch as JSON under a topic."""
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            topics.write_topic_dynamic(to_value(rows).select(F.lit(name).alias("topic"), "value"), self.uri, batch_id)
+            topics.write_topic_dynamic(to_value(rows).select(F.lit(name).alias("topic"), "value"), self.uri, batch_id, name)
 
         return write
 
@@ -93,7 +93,7 @@ class Jobs:
             # reading the tables also fills the cache, so the planner knows the rules' true size
             tables = _dimension_tables(rules)
             routed = routing.route_by_rules(rows, rules).persist()
-            topics.write_topic_dynamic(topics.topic_rows(routing.to_topics(routed)), self.uri, batch_id)
+            topics.write_topic_dynamic(topics.topic_rows(routing.to_topics(routed)), self.uri, batch_id, "route")
             to_dims = routing.to_dimensions(routed)
             changed = {r.sink_table for r in to_dims.select("sink_table").distinct().collect()}
             for name, (columns, pk) in tables.items():
@@ -110,12 +110,15 @@ class Jobs:
     # ---- logs
 
     def split_logs(self):
-        """The raw log to start, page and display topics, with ``is_new`` put right."""
+        """The raw log to start, page and display topics, records whole, with ``is_new`` put right.
+
+        Lines that are no JSON objects go to a topic of their own.
+        """
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            topics.write_topic_dynamic(logs.log_topics(rows), self.uri, batch_id)
+            topics.write_topic_dynamic(logs.log_topics(rows), self.uri, batch_id, "split_logs")
 
-        log = parse_json(self._read(S.TOPIC_BASE_LOG), S.LOG)
+        log = logs.parse_log(self._read(S.TOPIC_BASE_LOG))
         return stateful.fix_is_new_stream(log, write, f"{self.checkpoints}/split_logs", self.trigger)
 
     def unique_visits(self):
@@ -135,7 +138,7 @@ class Jobs:
         def write(rows: DataFrame, batch_id: int) -> None:
             full = to_value(joins.order_wide_dims(rows, self._dims()))
             named = full.select(F.lit(S.TOPIC_ORDER_WIDE).alias("topic"), "value")
-            topics.write_topic_dynamic(named, self.uri, batch_id)
+            topics.write_topic_dynamic(named, self.uri, batch_id, S.TOPIC_ORDER_WIDE)
 
         return self._run(S.TOPIC_ORDER_WIDE, wide, write)
 

@@ -63,7 +63,7 @@ def time_of(part: Column, knots) -> Column:
     return out
 
 
-def mix(
+def decide(
     docs: DataFrame, weights=(5, 2, 1), share: float = 1.5, most: float = 2.0, schedules=SCHEDULES,
     doc_id: str = "doc_id", text: str = "text", source: str = "source", keep: tuple[str, ...] = (), prefix: int = 3,
 ) -> DataFrame:
@@ -73,8 +73,8 @@ def mix(
     target is above the size, until the target is reached. The document at the end gives only the words still needed.
     The copy that starts after ``x`` of the target's words is read at the time at which the integrated schedule reaches
     ``x``. Returns ``row`` (a struct of the columns in ``keep``), ``doc_id``, ``size``, ``source_size``, ``target``,
-    ``taken`` (words, copies counted) and ``positions`` (training time of each copy, between 0 and 1), in the order of
-    training, untaken documents last.
+    ``taken`` (words, copies counted), ``positions`` (training time of each copy, between 0 and 1) and what breaks ties
+    in the order of training: ``src``, ``place`` and ``tie``.
 
     A null text has size 0, and so have empty ones; documents without words are never taken. A null source is a source
     of its own, after the others. A null doc_id sorts like an empty one; rows with equal ids are rows of their own.
@@ -111,23 +111,25 @@ def mix(
             range(len(schedules)), F.lit(None).cast("double")))
         for e in copies
     ]
-    return (
-        (lay if keep else slim.withColumn("row", F.lit(None).cast("int"))).join(starts, ["src", "slot"])
-        .withColumn("offset", offset).withColumn("limit", limit)
-        .select(
-            "row", "doc_id", "size", "source_size", "target", sum((given(e) for e in copies[1:]), given(0)).cast("long").alias("taken"),
-            F.array_compact(F.array(*times)).alias("positions"), "src", "place", "tie",
-        )
-        .orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "src", "place", "doc_id", "tie")
-        .drop("src", "place", "tie")
+    rows = (lay if keep else slim.withColumn("row", F.lit(None).cast("int"))).join(starts, ["src", "slot"])
+    return rows.withColumn("offset", offset).withColumn("limit", limit).select(
+        "row", "doc_id", "size", "source_size", "target", sum((given(e) for e in copies[1:]), given(0)).cast("long").alias("taken"),
+        F.array_compact(F.array(*times)).alias("positions"), "src", "place", "tie",
     )
 
 
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The decisions of ``decide``, its options, in the order of training, untaken documents last."""
+    decided = decide(docs, **options)
+    return decided.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "src", "place", "doc_id", "tie").drop("src", "place", "tie")
+
+
 def training_order(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus itself: the columns of ``docs``, a row per copy the mix takes, in the order of training.
 
-    A document of which only some words are still needed comes whole. Options are those of ``mix``.
+    A document of which only some words are still needed comes whole. Options are those of ``decide``. The texts move
+    twice, to their place in the source and to their place in the training.
     """
-    mixed = mix(docs, keep=tuple(docs.columns), **options)
-    copies = mixed.select("row", "doc_id", F.explode("positions").alias("at"))
-    return copies.repartitionByRange("at", "doc_id").sortWithinPartitions("at", "doc_id").select("row.*")
+    decided = decide(docs, keep=tuple(docs.columns), **options)
+    copies = decided.select("row", F.explode("positions").alias("at"), "src", "place", "tie")
+    return copies.orderBy("at", "src", "place", "tie").select("row.*")

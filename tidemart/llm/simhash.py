@@ -223,7 +223,9 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     tagged = fingerprints(docs, doc_id, text, keep=True)
     prints = written(tagged.select(F.col(f"key.{doc_id}").alias("doc_id"), "fp"), "fingerprints")
     members = prints.join(groups(prints, **options), "fp").filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = members.groupBy("root").agg(F.min("fp").alias("one"), F.min("component_id").alias("id")).hint("merge")
-    rows = tagged.withColumn("doc_id", F.col(f"key.{doc_id}"))
-    rows = rows.join(chosen, rows["doc_id"].eqNullSafe(chosen["id"]) & (rows["fp"] == chosen["one"]), "left_semi")
-    return rows.dropDuplicates(["doc_id", "fp"]).select("key.*")
+    chosen = members.groupBy("root").agg(F.min("fp").alias("fp"), F.min("component_id").alias("doc_id"))
+    # an id that is never null makes a plain key, so the texts move once for both steps
+    known = F.coalesce(F.concat(F.lit("0"), F.col("doc_id").cast("string")), F.lit("1")).alias("id")
+    rows = tagged.withColumn("doc_id", F.col(f"key.{doc_id}")).select("key", known, "fp")
+    rows = rows.join(chosen.select(known, "fp").hint("merge"), ["id", "fp"], "left_semi")
+    return rows.dropDuplicates(["id", "fp"]).select("key.*")

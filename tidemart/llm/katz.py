@@ -27,7 +27,7 @@ from tidemart.session import shared_folder
 
 #: Stand for the start and the end of a text; a blank is in no word.
 BEGIN, END = b" begin", b" end"
-SENT = "kind string, chunk long, bucket int, blob binary, ctx long"
+SENT = "chunk long, bucket int, blob binary"
 ANSWERED = "kind string, chunk long, level int, bucket int, blob binary, ctx long, nums array<double>"
 
 
@@ -41,7 +41,7 @@ class Order:
 
     n: int = 2
     discounted: int = 5
-    chunk_bytes: int = 32 << 20
+    chunk_bytes: int = 16 << 20
     bucket_tokens: int = 1 << 20
 
 
@@ -147,11 +147,12 @@ class Chunk:
     def __init__(self, blob: bytes, levels: list[Level], how: Order):
         self.lengths, self.held, self.words, tokens = unpack(blob)
         self.how, self.levels = how, levels
-        self.local = tokens.astype(np.int64)
-        self.doc = np.repeat(np.arange(len(self.lengths)), self.lengths)
-        self.offset = np.arange(len(tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        self.local = tokens
+        self.doc = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
+        starts = (np.cumsum(self.lengths) - self.lengths).astype(np.int32)
+        self.offset = np.arange(len(tokens), dtype=np.int32) - starts[self.doc]
         self.training = (self.held == 0)[self.doc]
-        self.scored = np.flatnonzero(self.offset > 0)  # all but the begins
+        self.scored = self.offset > 0  # all but the begins
         self.prob = np.ones(len(tokens))
 
     def word_order(self) -> tuple[np.ndarray, np.ndarray]:
@@ -161,7 +162,7 @@ class Chunk:
 
     def ask_words(self) -> Iterator[tuple[int, bytes]]:
         order, bucket = self.word_order()
-        train = np.bincount(self.local[self.scored][self.training[self.scored]], minlength=len(self.words))
+        train = np.bincount(self.local[self.scored & self.training], minlength=len(self.words))
         for b in np.unique(bucket):
             these = order[slice(*np.searchsorted(bucket, (b, b + 1)))]
             yield int(b), pack(steps(self.words[these]), train[these].astype(np.uint32))
@@ -169,30 +170,32 @@ class Chunk:
     def take_words(self, answers: dict[int, bytes]) -> None:
         order, _ = self.word_order()
         got = [unpack(answers[b]) for b in sorted(answers)]
-        number, count = np.empty(len(order), np.uint64), np.empty(len(order), np.int64)
+        number, count = np.empty(len(order), np.uint32), np.empty(len(order), np.int64)
         number[order] = np.concatenate([g[0] for g in got])
         count[order] = np.concatenate([g[1] for g in got])
         level = self.levels[0]
         left = np.full(len(count), level.left)
         unknown = level.left / level.total if level.left > 0 else 1 / (level.total + 1)
         p = np.where(count > 0, seen(count, np.full(len(count), level.total), left, level.d), unknown)
-        self.number, self.gram, self.count = number[self.local], number[self.local], count[self.local]
-        self.word_count = self.count
-        self.prob[self.scored] = p[self.local][self.scored]
+        self.known = count
+        self.number, self.count = number[self.local], count[self.local]
+        self.gram = self.number
+        self.prob[self.scored] = p[self.local[self.scored]]
 
     def ask(self, n: int) -> Asked:
         positions = np.flatnonzero(self.offset >= n - 1)
         before = self.count[positions - 1]
         if n == 2:  # a begin is no token, but every training text has one
             before = np.where(self.offset[positions - 1] == 0, self.levels[0].texts, before)
-        key = (self.gram[positions - 1] << np.uint64(32)) | self.number[positions]
+        key = (self.gram[positions - 1].astype(np.uint64) << np.uint64(32)) | self.number[positions]
         keys, first, place = np.unique(key, return_index=True, return_inverse=True)
+        place = place.astype(np.int32)
         total = before[first]
         hot = total > self.how.bucket_tokens // 2
         bucket = (mix(np.where(hot, keys, keys >> np.uint64(32))) % np.uint64(self.levels[n - 1].buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
+        back = np.empty(len(order), np.int32)
+        back[order] = np.arange(len(order), dtype=np.int32)
         train = np.bincount(place[self.training[positions]], minlength=len(keys))
         lower = self.prob[positions][first]
         return Asked(positions, back[place], keys[order], bucket[order], train[order], lower[order], total[order], hot[order])
@@ -206,7 +209,7 @@ class Chunk:
 
     def take(self, n: int, asked: Asked, answers: dict[int, bytes], hot: dict[int, list[float]]) -> None:
         k, d = self.how.discounted, self.levels[n - 1].d
-        count, number = np.empty(len(asked.keys), np.int64), np.empty(len(asked.keys), np.uint64)
+        count, number = np.empty(len(asked.keys), np.int64), np.empty(len(asked.keys), np.uint32)
         few, lower = np.empty((len(asked.keys), k)), np.empty(len(asked.keys))
         for b, blob in answers.items():
             part, first, many = asked.runs(b)
@@ -225,8 +228,9 @@ class Chunk:
         backed = np.where(total > 0, rest, 1.0) * asked.lower
         p = np.where(count > 0, seen(count, np.maximum(total, 1), left, d), backed)
         self.prob[asked.positions] = p[asked.place]
-        self.gram, self.count = np.zeros(len(self.gram), np.uint64), np.zeros(len(self.count), np.int64)
-        self.gram[asked.positions], self.count[asked.positions] = number[asked.place], count[asked.place]
+        if n < self.how.n:
+            self.gram, self.count = np.zeros(len(self.gram), np.uint32), np.zeros(len(self.count), np.int64)
+            self.gram[asked.positions], self.count[asked.positions] = number[asked.place], count[asked.place]
 
 
 def tokenise(docs: DataFrame, doc_id: str, text: str, held: Column, how: Order) -> DataFrame:
@@ -276,8 +280,8 @@ def count_words(table: pa.Table, how: Order, buckets: int) -> pa.Table:
     if len(number) and int(number.max()) >> 32:
         raise OverflowError("more words than 32 bits number")
     places = np.split(place, np.cumsum([len(w) for w in words])[:-1])
-    answers = [pack(number[p].astype(np.uint32), count[p].astype(np.uint32)) for p in places]
-    return answer(table, 1, b, answers, pack(steps(distinct), count.astype(np.uint32)), spectrum(count, k), {})
+    answers = [pack(number[p].astype(np.uint32), count[p]) for p in places]
+    return answer(table, 1, b, answers, pack(steps(distinct), count), spectrum(count, k), {}, [])
 
 
 def spectrum(count: np.ndarray, k: int) -> list[float]:
@@ -305,20 +309,25 @@ def count_grams(table: pa.Table, n: int, how: Order, buckets: int) -> pa.Table:
         if int(number.max()) >> 32:
             raise OverflowError("more n-grams than 32 bits number")
     places = np.split(place, np.cumsum([len(x) for x in keys])[:-1])
-    answers, hot = [], {}
-    for p, c, a in zip(places, contexts, asked):
+    answers, hot, wants = [], {}, []
+    for p, c, a, chunk in zip(places, contexts, asked, table["chunk"].to_pylist()):
         at = np.searchsorted(ctx, c)
-        answers.append(pack(count[p].astype(np.uint32), number[p] if len(number) else number, few[at].astype(np.uint32).ravel(), sums[at]))
+        answers.append(pack(count[p], number[p].astype(np.uint32) if len(number) else number.astype(np.uint32), few[at].astype(np.uint32).ravel(), sums[at]))
         for i, x in zip(at[a[6]].tolist(), c[a[6]].tolist()):
             hot[x] = [*few[i].tolist(), float(sums[i])]
-    return answer(table, n, b, answers, pack(steps(distinct), count.astype(np.uint32)), spectrum(count, k), hot)
+            wants.append((chunk, x))
+    return answer(table, n, b, answers, pack(steps(distinct), count), spectrum(count, k), hot, wants)
 
 
-def answer(table: pa.Table, level: int, b: int, answers: list[bytes], stored: bytes, stats: list[float], hot: dict[int, list[float]]) -> pa.Table:
+def answer(
+    table: pa.Table, level: int, b: int, answers: list[bytes], stored: bytes, stats: list[float], hot: dict[int, list[float]], wants: list[tuple[int, int]],
+) -> pa.Table:
+    """A bucket's rows: the answers, its part of the table, numbers of n-grams by count, its share of contexts that are
+    spread over buckets, and which chunks have those."""
     n, chunks = len(answers), table["chunk"].to_pylist()
     rows = [("answer", c, x, None, None) for c, x in zip(chunks, answers)]
     rows += [("table", None, stored, None, None), ("spectrum", None, None, None, stats)]
-    rows += [("hot", None, None, c, nums) for c, nums in hot.items()]
+    rows += [("hot", None, None, c, nums) for c, nums in hot.items()] + [("want", chunk, None, c, None) for chunk, c in wants]
     kind, chunk, blob, ctx, nums = (list(x) for x in zip(*rows))
     return pa.table({
         "kind": pa.array(kind), "chunk": pa.array(chunk, pa.int64()), "level": pa.array([level] * len(rows), pa.int32()),
@@ -370,14 +379,13 @@ def score(
     answers = None
     for n in range(1, how.n + 1):
         levels = [*levels, Level(buckets, texts=texts or 0)]
-        sent = written(ask(chunks, answers, levels, how), f"katz-asked-{n}", "kind")
-        got = sent.filter("kind = 'ask'").groupBy("bucket").applyInArrow(counter(n, how, buckets), ANSWERED)
+        got = ask(chunks, answers, levels, how).groupBy("bucket").applyInArrow(counter(n, how, buckets), ANSWERED)
         got = written(got, f"katz-level-{n}", "kind")
         finish(levels[-1], got, how)
         sums = [F.sum(F.col("nums")[i]) for i in range(how.discounted + 1)]
         hot = got.filter("kind = 'hot'").groupBy("level", "ctx").agg(F.array(*sums).alias("nums"))
         now = got.filter("kind = 'answer'")
-        wanted = sent.filter("kind = 'want'").select("chunk", "ctx").join(hot, "ctx")
+        wanted = got.filter("kind = 'want'").select("chunk", "ctx").distinct().join(hot, "ctx")
         wanted = wanted.select(F.lit("hot").alias("kind"), "chunk", "level", "ctx", "nums")
         now = now.unionByName(wanted, allowMissingColumns=True)
         answers = now if answers is None else answers.unionByName(now)
@@ -392,18 +400,16 @@ def ask(chunks: DataFrame, answers: DataFrame | None, levels: list[Level], how:
         for batch in batches:
             for name, blob in zip(batch["chunk"], batch["blob"]):
                 rows = list(Chunk(blob, levels, how).ask_words())
-                yield {"kind": ["ask"] * len(rows), "chunk": [name] * len(rows), "bucket": [b for b, _ in rows], "blob": [x for _, x in rows], "ctx": [None] * len(rows)}
+                yield {"chunk": [name] * len(rows), "bucket": [b for b, _ in rows], "blob": [x for _, x in rows]}
 
     def grams(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for name, blob in zip(left["chunk"].to_pylist(), left["blob"].to_pylist()):
             chunk = rebuilt(blob, right.to_pydict(), levels, how, n - 1)
-            asked = chunk.ask(n)
-            out += [("ask", name, b, x, None) for b, x in chunk.send(asked)]
-            out += [("want", name, None, None, int(c)) for c in np.unique(asked.keys[asked.hot] >> np.uint64(32))]
-        columns = [list(c) for c in zip(*out)] or [[]] * 5
-        kinds = (pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.int64())
-        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["kind", "chunk", "bucket", "blob", "ctx"])
+            out += [(name, b, x) for b, x in chunk.send(chunk.ask(n))]
+        columns = [list(c) for c in zip(*out)] or [[]] * 3
+        kinds = (pa.int64(), pa.int32(), pa.binary())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["chunk", "bucket", "blob"])
 
     if n == 1:
         return map_batches(chunks.select("chunk", "blob"), SENT, words)
@@ -431,7 +437,7 @@ def final(chunks: DataFrame, answers: DataFrame, levels: list[Level], how: Order
         for ids, blob in zip(left["ids"].to_pylist(), left["blob"].to_pylist()):
             chunk = rebuilt(blob, right.to_pydict(), levels, how, how.n)
             at, n = chunk.scored, len(chunk.lengths)
-            count, doc = chunk.word_count[at], chunk.doc[at]
+            count, doc = chunk.known[chunk.local[at]], chunk.doc[at]
             words = levels[0]
             base = np.log10((count + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
             parts.append(pa.table({

@@ -16,7 +16,7 @@ from tidemart.llm.arrow import map_batches
 
 MARK = "▁"
 BREAK = b"\xff"  # in no UTF-8 text, so no piece matches across it
-INDEX_BYTES, MAX_SEGMENTS, MAX_PAIRS = 1 << 19, 400_000, 1_000_000
+PART, INDEX_BYTES, MAX_SEGMENTS, MAX_PAIRS = 1 << 21, 1 << 17, 400_000, 1_000_000
 NORMAL, BYTE = 1, 6
 
 
@@ -284,17 +284,23 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
         encoder = Encoder(model)
         for batch in batches:
-            values = [None if v is None else v.decode() for v in batch["text"]]
-            ids = encoder.encode([v or "" for v in values])
-            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-            nulls = pa.array([v is None for v in values])
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=nulls)
-            yield {
-                "key": batch["key"], "ids": lists,
-                "n_tokens": [None if v is None else len(x) for v, x in zip(values, ids)],
-                "decoded": [None if v is None else encoder.decode(x) for v, x in zip(values, ids)],
-            }
+            texts, at = batch["text"], 0
+            while at < len(texts):  # a bounded amount of text at a time, or one text
+                end, size = at, 0
+                while end < len(texts) and (end == at or size + len(texts[end] or b"") <= PART):
+                    size += len(texts[end] or b"")
+                    end += 1
+                values = [None if v is None else v.decode() for v in texts[at:end]]
+                ids = encoder.encode([v or "" for v in values])
+                offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+                nulls = pa.array([v is None for v in values])
+                yield {
+                    "key": batch["key"].slice(at, end - at), "ids": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=nulls),
+                    "n_tokens": [None if v is None else len(x) for v, x in zip(values, ids)],
+                    "decoded": [None if v is None else encoder.decode(x) for v, x in zip(values, ids)],
+                }
+                at = end
 
     slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("key"), F.col(text).alias("text"))
     schema = StructType([slim.schema["key"], *_parse_datatype_string("ids array<int>, n_tokens long, decoded string")])

@@ -304,6 +304,45 @@ def test_ensure_dim_table(spark, tmp_path):
         dimensions.read_dim(spark, str(tmp_path), "none")
 
 
+def change_rows(spark, *after):
+    return spark.createDataFrame([("u", a, str(i)) for i, a in enumerate(after)], "type string, after map<string,string>, ts_ms string")
+
+
+def test_dim_table_takes_new_columns(spark, tmp_path):
+    root = str(tmp_path)
+    dimensions.upsert_dim(change_rows(spark, {"id": "1", "a": "x"}), root, "T", "id,a", batch_id=0)
+    dimensions.upsert_dim(change_rows(spark, {"id": "1", "b": "y"}, {"id": "2", "b": "z", "a": "w"}), root, "T", "id,b", batch_id=1)
+    dimensions.upsert_dim(change_rows(spark, {"id": "3"}), root, "T", "id", batch_id=2)
+    table = dimensions.read_dim(spark, root, "T")
+    assert table.columns == ["id", "a", "b"]
+    assert sorted(map(tuple, table.collect())) == [("1", "x", "y"), ("2", None, "z"), ("3", None, None)]
+    for batch in (0, 1, 2):  # however old, an applied batch stays applied
+        dimensions.upsert_dim(change_rows(spark, {"id": "1", "a": "again"}), root, "T", "id,a", batch_id=batch)
+    assert dimensions.read_dim(spark, root, "T", ["id", "a"]).filter("a = 'again'").count() == 0
+
+
+def test_dim_upsert_leaves_other_buckets_alone(spark, tmp_path):
+    root = str(tmp_path)
+    dimensions.upsert_dim(change_rows(spark, *[{"id": str(i), "a": "0"} for i in range(40)]), root, "T", "id,a", batch_id=0)
+    before = dimensions.current_version(spark, root, "T").files
+    slow_reader = dimensions.read_dim(spark, root, "T")
+    for batch in range(1, 6):
+        dimensions.upsert_dim(change_rows(spark, {"id": "7", "a": str(batch)}), root, "T", "id,a", batch_id=batch)
+    after = dimensions.current_version(spark, root, "T").files
+    assert len(before) > 5 and sum(before[b] != after[b] for b in before) == 1
+    assert slow_reader.filter("a = '0'").count() == 40  # its files are still there
+    dimensions.expire(spark, root, "T", keep_ms=0)
+    assert {r.id: r.a for r in dimensions.read_dim(spark, root, "T").collect()} == {str(i): "5" if i == 7 else "0" for i in range(40)}
+    assert len(list(tmp_path.glob("T/current/*"))) == 1 and len(list(tmp_path.glob("T/data/*"))) == 2
+
+
+def test_lookup_in_a_table_not_made_yet(spark, tmp_path):
+    dims = {n: dimensions.read_dim(spark, str(tmp_path), n, c) for n, c in joins.ORDER_DIMS.items()}
+    lines = spark.createDataFrame([(1, 2, 3)], "user_id long, sku_id long, province_id long")
+    out = joins.order_wide_dims(lines, dims).first()
+    assert out.user_id == 1 and out.spu_name is None and out.user_gender is None
+
+
 def test_a_retried_batch_adds_what_was_not_published(spark, tmp_path):
     rows = spark.createDataFrame([("x", "1"), ("y", "2"), ("x", "3")], "topic string, value string")
     topics.write_topic_dynamic(rows.filter("topic = 'x'"), str(tmp_path), 1, "a")  # the attempt got to one topic only

@@ -111,6 +111,14 @@ def dim_lookup_join(
     return bare.join(side, bare[id_col].cast("string") == side["_dim_id"], "left").drop("_dim_id")
 
 
+#: The columns that the lookups below read of each dimension table.
+PRODUCT_DIMS = {
+    S.DIM_SKU: ["id", "sku_name", "price", "spu_id", "tm_id", "category3_id"], S.DIM_SPU: ["id", "spu_name"],
+    S.DIM_TRADEMARK: ["id", "tm_name"], S.DIM_CATEGORY3: ["id", "name"],
+}
+ORDER_DIMS = {**PRODUCT_DIMS, S.DIM_USER: ["id", "gender"], S.DIM_PROVINCE: ["id", "area_code", "iso_code", "iso_3166_2"]}
+
+
 def sku_lookups(df: DataFrame, dims: dict[str, DataFrame], fields: dict[str, str]) -> DataFrame:
     """Product columns by ``sku_id``, then spu, trademark and category names by the ids found.
 

@@ -1,20 +1,23 @@
 """Dimension tables: text columns, one row per primary key, upserted per batch.
 
-``<root>/<table>/data/<slot>`` holds a version and ``<root>/<table>/current/<slot>``
-one row that names it. The row is written last and is a single file, so a reader
-sees the old version or the new one. Versions take turns in a few slots; readers
-of the last versions keep their files and old ones are overwritten.
+A table is cut into buckets by a hash of the key. ``<root>/<table>/data/<name>/bucket=…`` holds the files of a bucket
+from one batch, under a name of its own, and ``<root>/<table>/current/<version>`` one row that says which files make
+the table, with its columns and the last batch of each writer. That row is written last, so a reader sees the old
+version or the new one; files go only when no version of the last hour names them. A table has one writer at a time.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import time
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLOTS = 3
-POINTER = "version BIGINT, writer STRING, batch_id BIGINT"
+BUCKETS = 16
+KEEP_MS = 3_600_000
+VERSION = "version BIGINT, columns ARRAY<STRING>, buckets INT, applied MAP<STRING, BIGINT>, files MAP<INT, STRING>"
 
 
 def dim_columns(sink_columns: str) -> list[str]:
@@ -38,36 +41,84 @@ def declared_columns(rules: DataFrame) -> DataFrame:
     return rows.select("sink_table", "position", "column", (F.col("column") == F.col("pk")).alias("is_key"))
 
 
-def _pointers(spark: SparkSession, root: str, table: str) -> list:
-    """The rows naming the last versions, newest first; at most one per slot."""
-    try:
-        rows = spark.read.schema(POINTER).parquet(f"{root}/{table}/current/*").limit(SLOTS).collect()
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    return sorted(rows, key=lambda r: -r.version)
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def _folders(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names in a folder and when they were last changed; a missing folder is empty."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return {}
+    return {s.getPath().getName(): s.getModificationTime() for s in files.listStatus(place)}
+
+
+def current_version(spark: SparkSession, root: str, table: str) -> Row | None:
+    """The row of the newest complete version."""
+    place = f"{root}/{table}/current"
+    for name in sorted(_folders(spark, place), reverse=True):
+        if "_SUCCESS" in _folders(spark, f"{place}/{name}"):
+            return spark.read.schema(VERSION).parquet(f"{place}/{name}").first()
+    return None
 
 
-def _write_version(df: DataFrame, root: str, table: str, version: int, writer: str, batch_id: int) -> None:
-    slot = version % SLOTS
-    df.write.mode("overwrite").parquet(f"{root}/{table}/data/{slot}")
-    mark = df.sparkSession.createDataFrame([(version, writer, batch_id)], POINTER)
-    mark.coalesce(1).write.mode("overwrite").parquet(f"{root}/{table}/current/{slot}")
+def _publish(spark: SparkSession, root: str, table: str, version: Row) -> None:
+    row = spark.createDataFrame([version], VERSION).coalesce(1)
+    row.write.mode("overwrite").parquet(f"{root}/{table}/current/{version.version:012d}")
+
+
+def expire(spark: SparkSession, root: str, table: str, keep_ms: int = KEEP_MS) -> None:
+    """Remove versions older than ``keep_ms``, but the current one, and the files that only they name."""
+    place, now = f"{root}/{table}", time.time() * 1000
+    versions = _folders(spark, f"{place}/current")
+    old = [n for n, at in sorted(versions.items())[:-1] if now - at > keep_ms]
+    kept = [f"{place}/current/{n}" for n in versions if n not in old]
+    if not old:
+        return
+    named = {f for r in spark.read.schema(VERSION).parquet(*kept).collect() for f in r.files.values()}
+    files = [n for n, at in _folders(spark, f"{place}/data").items() if n not in named and now - at > keep_ms]
+    for path in [f"{place}/current/{n}" for n in old] + [f"{place}/data/{n}" for n in files]:
+        system, gone = _file_system(spark, path)
+        system.delete(gone, True)
+
 
+def _files(root: str, table: str, version: Row, buckets=None) -> list[str]:
+    return [f"{root}/{table}/data/{name}/bucket={b}" for b, name in sorted(version.files.items()) if buckets is None or b in buckets]
 
-def read_dim(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """The current version of a dimension table."""
-    pointers = _pointers(spark, root, table)
-    if not pointers:
-        raise ValueError(f"no dimension table {table} under {root}")
-    return spark.read.parquet(f"{root}/{table}/data/{pointers[0].version % SLOTS}")
 
+def _rows(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    schema = dim_schema(",".join(columns))
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
-def ensure_dim_table(spark: SparkSession, root: str, table: str, sink_columns: str) -> None:
-    """Make an empty table unless there is one."""
-    if not _pointers(spark, root, table):
-        _write_version(spark.createDataFrame([], dim_schema(sink_columns)), root, table, 0, "create", -1)
+
+def read_dim(spark: SparkSession, root: str, table: str, columns: list[str] | None = None) -> DataFrame:
+    """The current version of a dimension table.
+
+    With ``columns`` the result has just these: one that the table lacks is null, and a table that nobody has made yet
+    is empty, so that a lookup finds nothing and goes on. Without, a missing table is an error.
+    """
+    version = current_version(spark, root, table)
+    if version is None:
+        if columns is None:
+            raise ValueError(f"no dimension table {table} under {root}")
+        return _rows(spark, [], columns)
+    return _rows(spark, _files(root, table, version), columns or version.columns)
+
+
+def ensure_dim_table(spark: SparkSession, root: str, table: str, sink_columns: str, buckets: int = BUCKETS) -> Row:
+    """Make an empty table unless there is one, and add the columns that it lacks; gives its version."""
+    version, columns = current_version(spark, root, table), dim_columns(sink_columns)
+    if version is not None and set(columns) <= set(version.columns):
+        return version
+    if version is None:
+        version = Row(version=0, columns=columns, buckets=buckets, applied={}, files={})
+    else:
+        merged = list(dict.fromkeys([*version.columns, *columns]))
+        version = Row(version=version.version + 1, columns=merged, buckets=version.buckets, applied=version.applied, files=version.files)
+    _publish(spark, root, table, version)
+    return version
 
 
 def latest_values(changes: DataFrame, columns: list[str], pk: str = "id") -> DataFrame:
@@ -83,27 +134,47 @@ def latest_values(changes: DataFrame, columns: list[str], pk: str = "id") -> Dat
         if c != pk
     ]
     keyed = changes.filter(F.col("after")[pk].isNotNull())
-    return keyed.groupBy(F.col("after")[pk].alias(pk)).agg(*values).select(columns)
+    grouped = keyed.groupBy(F.col("after")[pk].alias(pk))
+    return (grouped.agg(*values) if values else grouped.count()).select(columns)
 
 
 def merge_dim(current: DataFrame, latest: DataFrame, pk: str = "id") -> DataFrame:
     """Current rows overlaid with new values; columns not given keep theirs, ``''`` empties them."""
     joined = current.alias("old").join(latest.alias("new"), F.col(f"old.{pk}") == F.col(f"new.{pk}"), "full")
-    merged = [
-        F.nullif(F.coalesce(F.col(f"new.{c}"), F.col(f"old.{c}")), F.lit("")).alias(c) for c in current.columns
-    ]
-    return joined.select(merged)
+
+    def merged(c: str):
+        sides = [F.col(f"{side}.`{c}`") for side, df in (("new", latest), ("old", current)) if c in df.columns]
+        return F.nullif(F.coalesce(*sides), F.lit("")).alias(c)
+
+    return joined.select([merged(c) for c in dict.fromkeys([*current.columns, *latest.columns])])
 
 
 def upsert_dim(
     changes: DataFrame, root: str, table: str, sink_columns: str, sink_pk: str | None = None,
-    writer: str = "router", batch_id: int = 0,
+    writer: str = "router", batch_id: int = 0, buckets: int = BUCKETS,
 ) -> None:
-    """Apply the change records of one table; a batch applied before is skipped."""
+    """Apply the change records of one table; a batch of a writer that was applied before is skipped.
+
+    Columns that the table lacks are added to it. Only the buckets that hold a changed key are read and written anew.
+    """
     spark, pk = changes.sparkSession, primary_key(sink_pk)
-    ensure_dim_table(spark, root, table, sink_columns)
-    pointers = _pointers(spark, root, table)
-    if any(p.writer == writer and p.batch_id == batch_id for p in pointers):
+    version = ensure_dim_table(spark, root, table, sink_columns, buckets)
+    if version.applied.get(writer, -1) >= batch_id:
         return
-    merged = merge_dim(read_dim(spark, root, table), latest_values(changes, dim_columns(sink_columns), pk), pk)
-    _write_version(merged, root, table, pointers[0].version + 1, writer, batch_id)
+    named = dim_columns(sink_columns)
+    if pk not in named:
+        named = [pk, *named]
+    bucket = F.pmod(F.xxhash64(pk), F.lit(version.buckets)).cast("int").alias("bucket")
+    latest = latest_values(changes, named, pk).persist()
+    touched = [r.bucket for r in latest.select(bucket).distinct().collect()]  # at most one row per bucket
+    current = _rows(spark, _files(root, table, version, touched), list(dict.fromkeys([pk, *version.columns])))
+    name = f"{version.version + 1:012d}-{uuid4().hex}"
+    merged = merge_dim(current, latest, pk).withColumn("bucket", bucket)
+    merged.repartition(version.buckets, "bucket").write.partitionBy("bucket").parquet(f"{root}/{table}/data/{name}")
+    latest.unpersist()
+    _publish(spark, root, table, Row(
+        version=version.version + 1, columns=list(dict.fromkeys([*version.columns, *named])), buckets=version.buckets,
+        applied={**version.applied, writer: batch_id}, files={**version.files, **dict.fromkeys(touched, name)},
+    ))
+    if version.version % 32 == 31:
+        expire(spark, root, table)

@@ -8,6 +8,7 @@ did not get to publish, and nothing twice.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,9 +75,9 @@ class Jobs:
     def _publish(self, name: str, df: DataFrame):
         return self._run(name, df, self._writer(name))
 
-    def _dims(self) -> dict[str, DataFrame]:
-        names = [S.DIM_USER, S.DIM_SKU, S.DIM_SPU, S.DIM_TRADEMARK, S.DIM_CATEGORY3, S.DIM_PROVINCE]
-        return {n: dimensions.read_dim(self.spark, self.dims_root, n) for n in names}
+    def _dims(self, columns: dict[str, list[str]]) -> dict[str, DataFrame]:
+        """The dimension tables a lookup names; one that is not there yet is empty."""
+        return {n: dimensions.read_dim(self.spark, self.dims_root, n, c) for n, c in columns.items()}
 
     # ---- change capture and routing
 
@@ -96,12 +97,17 @@ class Jobs:
             topics.write_topic_dynamic(topics.topic_rows(routing.to_topics(routed)), self.uri, batch_id, "route")
             to_dims = routing.to_dimensions(routed)
             changed = {r.sink_table for r in to_dims.select("sink_table").distinct().collect()}
-            for name, (columns, pk) in tables.items():
+
+            def store(name: str) -> None:
+                columns, pk = tables[name]
                 if name in changed:
                     mine = to_dims.filter(F.col("sink_table") == name)
                     dimensions.upsert_dim(mine, self.dims_root, name, columns, pk, "route", batch_id)
                 else:
                     dimensions.ensure_dim_table(self.spark, self.dims_root, name, columns)
+
+            with ThreadPoolExecutor(8) as pool:  # a small table does not wait for a large one
+                list(pool.map(store, tables))
             routed.unpersist()
             rules.unpersist()
 
@@ -136,7 +142,7 @@ class Jobs:
         wide = joins.order_wide_project(joins.order_wide_interval_join(orders, details, before_ms, after_ms))
 
         def write(rows: DataFrame, batch_id: int) -> None:
-            full = to_value(joins.order_wide_dims(rows, self._dims()))
+            full = to_value(joins.order_wide_dims(rows, self._dims(joins.ORDER_DIMS)))
             named = full.select(F.lit(S.TOPIC_ORDER_WIDE).alias("topic"), "value")
             topics.write_topic_dynamic(named, self.uri, batch_id, S.TOPIC_ORDER_WIDE)
 
@@ -171,7 +177,7 @@ class Jobs:
             self._records(S.TOPIC_REFUND, S.REFUND), self._records(S.TOPIC_COMMENT, S.COMMENT),
         )
         counted = stats.product_stats(with_event_time(rows, "ts", delay), width)
-        return self._store("product_stats", counted, lambda rows: joins.product_dims(rows, self._dims()))
+        return self._store("product_stats", counted, lambda rows: joins.product_dims(rows, self._dims(joins.PRODUCT_DIMS)))
 
     def province_stats(self, width: str = stats.WIDTH, delay: str = "2 seconds"):
         wide = with_event_time(self._records(S.TOPIC_ORDER_WIDE, S.ORDER_WIDE), "create_time", delay)

@@ -11,6 +11,7 @@ from tidemart import schemas as S
 from tidemart.functions import text, times, tokens
 from tidemart.operators import facts, joins, logs, reports, routing, stats
 from tidemart.sinks import dimensions, topics
+from tidemart.sinks.stats import read_stats, write_stats
 from tidemart.sources import changes as C
 from tidemart.sources import tables as TB
 
@@ -528,3 +529,13 @@ def test_now_is_whole_seconds(spark):
 
     now = spark.range(1).select(times.now_ms()).first()[0]
     assert now % 1000 == 0 and abs(now / 1000 - time.time()) < 60
+
+
+def test_reports_read_one_day(spark, tmp_path):
+    rows = [(f"2024-01-0{d} 10:00:00", f"w{d}", d) for d in (4, 5, 6)]
+    write_stats(spark.createDataFrame(rows, "stt string, keyword string, ct long"), str(tmp_path))
+    report = reports.keyword_topn(read_stats(spark, str(tmp_path)), 20240105)
+    assert [tuple(r) for r in report.collect()] == [("w5", 5)]
+    plan = report._jdf.queryExecution().toString()
+    filters = plan[plan.rindex("PartitionFilters: [") :].split("]")[0]
+    assert "day" in filters and "2024-01-05" in filters

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemart.functions.text import is_entry
 from tidemart.functions.times import with_event_time, ymd
-from tidemart.operators.logs import entry_pages, fix_is_new, time_slots, unique_visit
+from tidemart.operators.logs import entry_pages, fix_is_new, unique_visit
 from tidemart.streaming.runs import run_batches
 
 
@@ -96,57 +93,31 @@ def unique_visit_stream(
     return _run_settled(fresh_visits(df, salts), settle, write, checkpoint, trigger)
 
 
-def _settle(within_ms: int):
-    """State function: decide each entry page once nothing before its answer can still come."""
-
-    def settle(key, chunks, state: GroupState):
-        seen = state.getCurrentWatermarkMs()
-        rows = json.loads(state.get[0]) if state.exists else []
-        for chunk in chunks:
-            columns = [chunk[c].tolist() for c in ("ts", "tie", "entry", "own", "value")]
-            rows.extend(list(r) for r in zip(*columns))
-        rows.sort(key=lambda r: (r[0], r[1]))
-        keep, values, kinds = [], [], []
-        for i, (ts, _, entry, own, value) in enumerate(rows):
-            follower = rows[i + 1] if i + 1 < len(rows) else None
-            settled = ts + within_ms <= seen or (follower is not None and follower[0] <= seen)
-            if own and entry and settled:
-                in_time = follower is not None and follower[0] - ts < within_ms
-                if not in_time or follower[2]:
-                    values.append(value)
-                    kinds.append("matched" if in_time else "timeout")
-            elif ts > seen or (own and entry):
-                keep.append(rows[i])
-        if keep:
-            state.update((json.dumps(keep),))
-            state.setTimeoutTimestamp(min(r[0] for r in keep) + within_ms)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame({"value": values, "kind": kinds}, dtype=object)
-
-    return settle
-
-
 def user_jump_stream(
     df: DataFrame, within_ms: int = 10_000, delay: str = "2 seconds", slot_ms: int | None = None, kind: bool = False
 ) -> DataFrame:
     """Entry pages that led nowhere (see ``operators.logs.user_jump``).
 
-    State is kept per device and time slot and goes when the watermark has
-    passed, so it does not grow with the number of devices ever seen.
+    A device's rows are gathered in windows that slide by ``slot_ms`` and are ``within_ms`` longer: a row is decided in
+    the window whose first ``slot_ms`` holds it, which sees all that can follow in time. The answer comes when the
+    watermark has passed the window, up to ``slot_ms + within_ms`` after the row. A short slot, the default, keeps both
+    that delay and the rows of a busy device in one group small; it may not be shorter than ``within_ms``.
     """
-    schema = df.schema
+    slot_ms = max(slot_ms or within_ms, within_ms)
     rows = with_event_time(df, "ts", delay).select(
         F.col("common.mid").alias("mid"), "ts", "rt", is_entry().alias("entry"),
-        F.xxhash64(*df.columns).alias("tie"), F.to_json(F.struct(*df.columns)).alias("record"),
-    )
-    slots = time_slots(rows, within_ms, max(slot_ms or 8 * within_ms, within_ms))
-    jumps = (
-        slots.withColumnRenamed("record", "value").groupBy("mid", "slot")
-        .applyInPandasWithState(
-            _settle(within_ms), "value STRING, kind STRING", "pending STRING", "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
+        F.xxhash64(*df.columns).alias("tie"), F.when(is_entry(), F.struct(*df.columns)).alias("record"),
     )
-    out = jumps.select("kind", F.inline(F.array(F.from_json("value", schema))))
+    span = F.window("rt", f"{slot_ms + within_ms} milliseconds", f"{slot_ms} milliseconds")
+    gathered = rows.groupBy(span, "mid").agg(F.array_sort(F.collect_list(F.struct("ts", "tie", "entry", "record"))).alias("rows"))
+    end = F.unix_millis(F.col("window.start")) + slot_ms
+
+    def decided(row, i):
+        after = F.get("rows", i + 1)
+        in_time = F.coalesce(after["ts"] - row["ts"] < within_ms, F.lit(False))
+        jump = row["entry"] & (row["ts"] < end) & (~in_time | after["entry"])
+        return F.struct(jump.alias("jump"), F.when(in_time, "matched").otherwise("timeout").alias("kind"), row["record"].alias("record"))
+
+    jumps = gathered.select(F.inline(F.filter(F.transform("rows", decided), lambda r: r["jump"])))
+    out = jumps.select("kind", "record.*")
     return out if kind else out.drop("kind")

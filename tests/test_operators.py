@@ -13,6 +13,7 @@ from tidemart.operators import facts, joins, logs, reports, routing, stats
 from tidemart.sinks import dimensions, topics
 from tidemart.sinks.stats import read_stats, write_stats
 from tidemart.sources import changes as C
+from tidemart.sources import driver_tables as D
 from tidemart.sources import tables as TB
 
 
@@ -539,3 +540,23 @@ def test_reports_read_one_day(spark, tmp_path):
     plan = report._jdf.queryExecution().toString()
     filters = plan[plan.rindex("PartitionFilters: [") :].split("]")[0]
     assert "day" in filters and "2024-01-05" in filters
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_visits_are_hash_aggregated(spark, small):
+    plan = plan_of(logs.unique_visit(D.page_log(spark, small)))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_facts_are_looked_up_once_for_products(spark, small):
+    lines = D.order_detail(spark, small).select("id", "sku_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joins.product_dims(lines, D.dimensions(spark, small))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    top = plan[: plan.index("l_orderkey")]  # the joins above the scan of the lines, down its side of the tree
+    assert top.count("Join LeftOuter") == 1

@@ -119,17 +119,22 @@ PRODUCT_DIMS = {
 ORDER_DIMS = {**PRODUCT_DIMS, S.DIM_USER: ["id", "gender"], S.DIM_PROVINCE: ["id", "area_code", "iso_code", "iso_3166_2"]}
 
 
+def product_dimension(dims: dict[str, DataFrame]) -> DataFrame:
+    """The product table with the names its spu, trademark and category ids stand for: a row per product."""
+    out = dims[S.DIM_SKU].select(*PRODUCT_DIMS[S.DIM_SKU])
+    out = dim_lookup_join(out, dims[S.DIM_SPU], "spu_id", {"spu_name": "spu_name"})
+    out = dim_lookup_join(out, dims[S.DIM_TRADEMARK], "tm_id", {"tm_name": "tm_name"})
+    return dim_lookup_join(out, dims[S.DIM_CATEGORY3], "category3_id", {"name": "category3_name"})
+
+
 def sku_lookups(df: DataFrame, dims: dict[str, DataFrame], fields: dict[str, str]) -> DataFrame:
-    """Product columns by ``sku_id``, then spu, trademark and category names by the ids found.
+    """Product columns by ``sku_id``, names included.
 
-    One lookup per table lets the planner judge each by its own size; a table
-    joined from several would only be guessed at, and guessed far too large.
+    The small tables are joined to the product table, so the facts are looked up, and at worst shuffled, once.
     """
-    found = {"spu_id": "spu_id", "tm_id": "tm_id", "category3_id": "category3_id"}
-    out = dim_lookup_join(df, dims[S.DIM_SKU], "sku_id", {**fields, **found})
-    out = dim_lookup_join(out, dims[S.DIM_SPU], "spu_id", {"spu_name": "spu_name"})
-    out = dim_lookup_join(out, dims[S.DIM_TRADEMARK], "tm_id", {"tm_name": "tm_name"})
-    out = dim_lookup_join(out, dims[S.DIM_CATEGORY3], "category3_id", {"name": "category3_name"})
+    found = ["spu_id", "tm_id", "category3_id"]
+    names = {c: c for c in [*found, "spu_name", "tm_name", "category3_name"]}
+    out = dim_lookup_join(df, product_dimension(dims), "sku_id", {**fields, **names})
     return out.withColumns({c: F.col(c).try_cast("bigint") for c in found})
 
 

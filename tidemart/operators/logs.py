@@ -14,19 +14,6 @@ from tidemart.functions.text import is_entry
 from tidemart.functions.times import event_time, ymd
 
 
-def first_row(df: DataFrame, keys: dict, order: list[str]) -> DataFrame:
-    """The first row of each group, as an aggregate.
-
-    The minimum of (order, other columns) is combined before the shuffle, so a
-    hot group sends one row per task. Rows equal in everything are one and the
-    same, which makes the pick repeatable.
-    """
-    rest = [c for c in df.columns if c not in order]
-    grouped = df.groupBy(*[e.alias(n) for n, e in keys.items()])
-    picked = grouped.agg(F.min(F.struct(*order, *rest)).alias("_row"))
-    return picked.select([F.col("_row")[c].alias(c) for c in df.columns])
-
-
 def fix_is_new(df: DataFrame, devices: DataFrame | None = None) -> DataFrame:
     """Leave ``is_new='1'`` only on each device's first record that claims it.
 
@@ -163,8 +150,17 @@ def search_rows(df: DataFrame) -> DataFrame:
 
 
 def unique_visit(df: DataFrame) -> DataFrame:
-    """Each device's first entry page of each calendar day."""
-    return first_row(entry_pages(df), {"_mid": F.col("common.mid"), "_day": ymd("ts")}, ["ts"])
+    """Each device's first entry page of each calendar day.
+
+    The first time per device and day is a hash aggregate of two small columns; the records only meet it in a join on
+    (device, day, time), which spreads a busy device. Records of the same time are told apart by a hash of the row.
+    """
+    keyed = entry_pages(df).withColumns({"_mid": F.col("common.mid"), "_day": ymd("ts"), "_tie": F.xxhash64(*df.columns)})
+    first = keyed.groupBy(F.col("_mid").alias("_m"), F.col("_day").alias("_d")).agg(F.min("ts").alias("_first"))
+    same = keyed["_mid"].eqNullSafe(first["_m"]) & keyed["_day"].eqNullSafe(first["_d"]) & keyed["ts"].eqNullSafe(first["_first"])
+    same_time = Window.partitionBy("_mid", "_day", "ts").orderBy("_tie")
+    earliest = keyed.join(first, same, "left_semi").withColumn("_n", F.row_number().over(same_time))
+    return earliest.filter("_n = 1").select(df.columns)
 
 
 def time_slots(df: DataFrame, within_ms: int, slot_ms: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemart.llm import secrets
 from tidemart.llm.mixing import SCHEDULES
 
 WORDS = r"coalesce(len(regexp_extract_all({}, '[^\x20\x09-\x0D]+')), 0)"
@@ -92,4 +93,61 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {BASE32} AS payload_digest,
 FROM f
 """
 
-ORACLES: dict[str, str] = {"op4_curriculum_mix": MIX, "op7_cross_polytope": VECTORS, "op9_warc_bundles": ARCHIVE}
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def found_sql(rank: int, pattern: str, group: int) -> str:
+    """Matches of a pattern: places from the lengths of matches and of what stands between them."""
+    return f"""
+  SELECT doc_id, {rank} AS rank, i, start, start + length(found) AS stop, found, part FROM (
+    SELECT doc_id, i, every[i] AS found, parts[i] AS part, CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g)))
+           + coalesce(list_sum(list_transform(every[1:i - 1], lambda m: length(m))), 0) AS BIGINT) AS start
+    FROM (SELECT *, unnest(range(1, len(every) + 1)) AS i FROM (
+      SELECT doc_id, regexp_extract_all(t, {quoted(pattern)}) AS every, regexp_extract_all(t, {quoted(pattern)}, {group}) AS parts,
+             string_split_regex(t, {quoted(pattern)}) AS gaps FROM d)))"""
+
+
+def random_sql(rank: int, kind: secrets.RunClass) -> str:
+    """Runs of a class of which some window has the entropy."""
+    table = ", ".join(str(secrets.plogp(c)) for c in range(1, kind.window + 1))
+    most = secrets.plogp(kind.window) - round(kind.bits * kind.window * secrets.SCALE)
+    allow = "|".join(f"(?:{a})" for a in secrets.ALLOW)
+    return f"""
+  SELECT doc_id, rank, start, stop FROM (
+    SELECT doc_id, rank, start, stop, w, CAST(sum([{table}][c]) AS BIGINT) AS total FROM (
+      SELECT doc_id, rank, start, stop, w, char, count(*) AS c FROM (
+        SELECT *, unnest(string_split(substr(found, w, {kind.window}), '')) AS char FROM (
+          SELECT *, unnest(range(1, length(found) - {kind.window} + 2)) AS w FROM ({found_sql(rank, f"[{kind.chars}]{{{kind.window},}}", 0)})
+          WHERE NOT regexp_full_match(found, {quoted(allow)})))
+      GROUP BY doc_id, rank, start, stop, w, char)
+    GROUP BY doc_id, rank, start, stop, w)
+  GROUP BY doc_id, rank, start, stop HAVING min(total) <= {most}"""
+
+
+def spans_sql() -> str:
+    parts = [
+        f"SELECT doc_id, rank, start, stop FROM ({found_sql(0, secrets.ASSIGN, 2)}) WHERE length(part) >= {secrets.ASSIGN_LEAST}",
+        *(f"SELECT doc_id, rank, start, stop FROM ({found_sql(i, p, 0)})" for i, p in ((1, secrets.ACCESS), (2, secrets.HEX))),
+        *(random_sql(3 + i, k) for i, k in enumerate(secrets.CLASSES)),
+    ]
+    return "\n  UNION ALL ".join(parts)
+
+
+NAMES = "[" + ", ".join(quoted(k) for k in secrets.KINDS) + "]"
+JOINED = f"string_agg({NAMES}[rank + 1] || ':' || start || ':' || stop, ',' ORDER BY start, rank)"
+SECRETS = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({spans_sql()}),
+g AS (SELECT doc_id, count(*) FILTER (rank = 0) AS n0, count(*) FILTER (rank = 1) AS n1, count(*) FILTER (rank = 2) AS n2,
+             {JOINED} FILTER (rank < 3) AS base, {JOINED} AS spans FROM s GROUP BY doc_id)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op4_curriculum_mix": MIX, "op7_cross_polytope": VECTORS, "op9_warc_bundles": ARCHIVE, "op10_secret_scan": SECRETS,
+}

@@ -229,14 +229,17 @@ def _province_stats(count: str, width_ms: int, extra: str = ", min(create_time)
     )
 
 
-def _behaviour_join(bound_ms: int) -> str:
+def _behaviour_join(bound_ms: int, shifts: str = "") -> str:
     side = (
         "SELECT user_id, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) + 1 AS item_id, event_type AS behavior, "
         "epoch_us(ts) // 1000 AS ms FROM events WHERE event_type = "
     )
+    other = f"{side} 'purchase'"
+    if shifts:
+        other = f"SELECT user_id, item_id, behavior, ms + [{shifts}][item_id % {len(shifts.split(','))} + 1] AS ms FROM ({side} 'click')"
     return (
         f"SELECT a.user_id, a.item_id, a.behavior, {_stamp_ms('a.ms')} AS ts, b.user_id AS user_id0, b.item_id AS item_id0, "
-        f"b.behavior AS behavior0, {_stamp_ms('b.ms')} AS ts0 FROM ({side} 'click') a JOIN ({side} 'purchase') b "
+        f"b.behavior AS behavior0, {_stamp_ms('b.ms')} AS ts0 FROM ({side} 'click') a JOIN ({other}) b "
         f"ON a.user_id = b.user_id AND a.ms BETWEEN b.ms - {bound_ms} AND b.ms + {bound_ms}"
     )
 
@@ -319,6 +322,9 @@ BODIES = {
         s.tm_name, s.category3_name FROM (SELECT k + 1 AS sku_id, count(*) AS cart_ct FROM page_log WHERE page_id = 'good_detail' GROUP BY 1) t
         LEFT JOIN dim_sku s ON t.sku_id = s.id""",
     "sql_interval_join": _behaviour_join(20_000),
+    "sql_interval_join_ends": _behaviour_join(20_000, "-20001, -20000, 0, 20000, 20001"),
+    "order_wide_interval_join_ends": """SELECT d.order_id, d.id AS detail_id, CAST([-5001, -5000, 0, 5000, 5001][d.id % 5 + 1] AS BIGINT) AS apart
+        FROM order_detail d JOIN order_info o ON o.id = d.order_id WHERE d.id % 5 BETWEEN 1 AND 3""",
     "sql_interval_join_hourly": _behaviour_join(3_600_000),
     "window_stats_join": "SELECT a.*, b.row_count FROM ("
         + _province_stats("count(DISTINCT order_id)", MONTH, "")

@@ -303,6 +303,17 @@ def _(spark, folder):
     )
 
 
+@query("order_wide_interval_join_ends")
+def _(spark, folder):
+    """The jobs' own five seconds, with lines placed inside, at and just beyond both ends of the interval."""
+    orders = D.order_info(spark, folder)
+    near = D.near_orders(D.order_detail(spark, folder), orders, (-5_001, -5_000, 0, 5_000, 5_001))
+    joined = joins.order_wide_interval_join(
+        times.with_event_time(orders, "create_time"), times.with_event_time(near, "create_time"), 5_000, 5_000
+    )
+    return joined.select("r.order_id", F.col("r.id").alias("detail_id"), (F.col("r.create_time") - F.col("l.create_time")).alias("apart"))
+
+
 @query("order_wide_interval_join_5s")
 def _(spark, folder):
     return Layers(spark, folder, order_bound_ms=5_000).order_wide().select(ORDER_WIDE_OUT)
@@ -380,6 +391,13 @@ def _(spark, folder):
     return behaviour_text(joins.sql_interval_join(a, b))
 
 
+@query("sql_interval_join_ends")
+def _(spark, folder):
+    """The jobs' own 20 seconds, the second table being the first, shifted to both ends of the interval and beyond."""
+    a = D.behaviours(spark, folder, "click")
+    return behaviour_text(joins.sql_interval_join(a, D.shifted(a, (-20_001, -20_000, 0, 20_000, 20_001))))
+
+
 @query("sql_interval_join_hourly")
 def _(spark, folder):
     a, b = D.behaviours(spark, folder, "click"), D.behaviours(spark, folder, "purchase")

@@ -297,6 +297,20 @@ def behaviours(spark: SparkSession, folder: str, event_type: str) -> DataFrame:
     )
 
 
+def near_orders(details: DataFrame, orders: DataFrame, apart_ms: tuple[int, ...]) -> DataFrame:
+    """Order lines whose time is that of their order plus one of some distances, by id."""
+    apart = F.element_at(F.array(*[F.lit(x) for x in apart_ms]), (F.col("id") % len(apart_ms) + 1).cast("int"))
+    of = orders.select(F.col("id").alias("order_id"), F.col("create_time").alias("_time"))
+    moved = details.drop("create_time").join(of, "order_id").withColumn("create_time", F.col("_time") + apart)
+    return moved.select(details.columns)
+
+
+def shifted(rows: DataFrame, apart_ms: tuple[int, ...]) -> DataFrame:
+    """Behaviours moved in time by one of some distances, by the item."""
+    apart = F.element_at(F.array(*[F.lit(x) for x in apart_ms]), (F.col("item_id") % len(apart_ms) + 1).cast("int"))
+    return rows.withColumn("ts", F.timestamp_millis(F.unix_millis("ts") + apart))
+
+
 # ---- fixed values: a Han character for each letter
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 HAN = "的一是在不了有和人这中大为上个国我以要他时来用们生到"

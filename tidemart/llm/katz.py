@@ -73,6 +73,13 @@ def steps(a: np.ndarray) -> np.ndarray:
     return np.diff(a, prepend=a.dtype.type(0))
 
 
+def in_order(further: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Words from the steps between them, each context's starting anew."""
+    first = np.cumsum(many) - many
+    total = np.cumsum(further, dtype=np.uint64)
+    return total - np.repeat(total[first] - further[first], many)
+
+
 def mix(a: np.ndarray) -> np.ndarray:
     """Spread 64-bit numbers evenly."""
     a = a.astype(np.uint64)
@@ -204,8 +211,12 @@ class Chunk:
         for b in np.unique(asked.bucket):
             part, first, many = asked.runs(int(b))
             ctx, word = (asked.keys[part] >> np.uint64(32))[first], asked.keys[part].astype(np.uint32)
-            values, which = np.unique(asked.lower[part], return_inverse=True)
-            yield int(b), pack(steps(ctx), many.astype(np.uint32), word, asked.train[part].astype(np.uint32), values, which.astype(np.uint32), asked.hot[part][first])
+            further = steps(word)  # words of a context follow in order, the first of each stands as it is
+            further[first] = word[first]
+            train = asked.train[part]
+            # only what is seen in training counts for a context
+            values, which = np.unique(np.where(train > 0, asked.lower[part], 0.0), return_inverse=True)
+            yield int(b), pack(steps(ctx), many.astype(np.uint32), further, train.astype(np.uint32), values, which.astype(np.uint32), asked.hot[part][first])
 
     def take(self, n: int, asked: Asked, answers: dict[int, bytes], hot: dict[int, list[float]]) -> None:
         k, d = self.how.discounted, self.levels[n - 1].d
@@ -213,10 +224,10 @@ class Chunk:
         few, lower = np.empty((len(asked.keys), k)), np.empty(len(asked.keys))
         for b, blob in answers.items():
             part, first, many = asked.runs(b)
-            counts, numbers, some, sums = unpack(blob)
+            counts, numbers, some, values, which = unpack(blob)
             count[part], number[part] = counts, numbers if len(numbers) else 0
             few[part] = np.repeat(some.reshape(-1, k), many, axis=0)
-            lower[part] = np.repeat(sums, many)
+            lower[part] = np.repeat(values[which], many)
         if asked.hot.any():
             at = np.flatnonzero(asked.hot)
             ctx, which = np.unique(asked.keys[at] >> np.uint64(32), return_inverse=True)
@@ -295,10 +306,12 @@ def count_grams(table: pa.Table, n: int, how: Order, buckets: int) -> pa.Table:
     b, k = table["bucket"][0].as_py(), how.discounted
     asked = [unpack(x) for x in table["blob"].to_pylist()]
     contexts = [np.cumsum(a[0], dtype=np.uint64) for a in asked]
-    keys = [(np.repeat(c, a[1]) << np.uint64(32)) | a[2].astype(np.uint64) for c, a in zip(contexts, asked)]
-    distinct, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    count = np.bincount(place, np.concatenate([a[3] for a in asked]), len(distinct)).astype(np.int64)
-    lower = np.concatenate([a[4][a[5]] for a in asked])[first]
+    keys = [(np.repeat(c, a[1]) << np.uint64(32)) | in_order(a[2], a[1]) for c, a in zip(contexts, asked)]
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    train = np.concatenate([a[3] for a in asked])
+    count = np.bincount(place, train, len(distinct)).astype(np.int64)
+    lower = np.zeros(len(distinct))
+    lower[place[train > 0]] = np.concatenate([a[4][a[5]] for a in asked])[train > 0]
     ctx, of = np.unique(distinct >> np.uint64(32), return_inverse=True)
     few = np.stack([np.bincount(of, count == r, len(ctx)) for r in range(1, k + 1)], axis=1)
     sums = np.bincount(of, np.where(count > 0, lower, 0.0), len(ctx))
@@ -312,7 +325,9 @@ def count_grams(table: pa.Table, n: int, how: Order, buckets: int) -> pa.Table:
     answers, hot, wants = [], {}, []
     for p, c, a, chunk in zip(places, contexts, asked, table["chunk"].to_pylist()):
         at = np.searchsorted(ctx, c)
-        answers.append(pack(count[p], number[p].astype(np.uint32) if len(number) else number.astype(np.uint32), few[at].astype(np.uint32).ravel(), sums[at]))
+        values, which = np.unique(sums[at], return_inverse=True)
+        numbers = (number[p] if len(number) else number).astype(np.uint32)
+        answers.append(pack(count[p], numbers, few[at].astype(np.uint32).ravel(), values, which.astype(np.uint32)))
         for i, x in zip(at[a[6]].tolist(), c[a[6]].tolist()):
             hot[x] = [*few[i].tolist(), float(sums[i])]
             wants.append((chunk, x))

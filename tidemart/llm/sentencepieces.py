@@ -16,7 +16,7 @@ from tidemart.llm.arrow import map_batches
 
 MARK = "▁"
 BREAK = b"\xff"  # in no UTF-8 text, so no piece matches across it
-PART, INDEX_BYTES, MAX_SEGMENTS, MAX_PAIRS = 1 << 21, 1 << 17, 400_000, 1_000_000
+PART, INDEX_BYTES, MAX_SEGMENTS, MAX_PAIRS = 1 << 22, 1 << 18, 400_000, 1_000_000
 NORMAL, BYTE = 1, 6
 
 
@@ -133,7 +133,8 @@ class Encoder:
     """Encodes texts; segments met before are remembered, up to a bound.
 
     No piece holds a blank after another character, so a text falls into segments, each blanks and what follows them,
-    which are encoded by themselves. The segments that a batch brings new are joined to one text and indexed.
+    which are encoded by themselves. Segments that a batch brings new are cut where no piece goes on, joined to one text
+    and indexed.
     """
 
     def __init__(self, model: dict):
@@ -146,8 +147,14 @@ class Encoder:
         self.depth = int(self.lengths.max())
         self.low = np.array([p.bytes_of[i] for i in order], f"S{self.depth}")
         self.high = np.array([p.bytes_of[i].ljust(self.depth, BREAK) for i in order], f"S{self.depth}")
+        self.inside = {text[i : i + 2] for text in p.ids for i in range(len(text) - 1)}
         self.segments: dict[str, tuple[int, ...]] = {}
 
+    def atoms(self, segment: str) -> list[str]:
+        """A segment cut between characters that follow each other in no piece: nothing can merge across there."""
+        cuts = [i for i in range(1, len(segment)) if segment[i - 1 : i + 1] not in self.inside]
+        return [segment[a:b] for a, b in zip([0, *cuts], [*cuts, len(segment)])] if cuts else [segment]
+
     def edges(self, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All occurrences of all pieces as (start, end, piece), by end, the longest first."""
         order = suffix_array(text, self.depth)
@@ -163,7 +170,7 @@ class Encoder:
         by = np.argsort(end * (len(text) + 1) + start)
         return start[by], end[by], self.order[which][by]
 
-    def encode_new(self, segments: list[str]) -> None:
+    def encode_new(self, segments: list[str], into: dict[str, tuple[int, ...]]) -> None:
         """Relax the edges of all segments in one run over their joined text."""
         joined = BREAK.join([*(s.encode() for s in segments), b""])
         text = np.frombuffer(joined, np.uint8)
@@ -210,7 +217,7 @@ class Encoder:
             ids: list[int] = []
             for x in reversed(out):
                 ids += [x] if isinstance(x, int) else [p.byte_ids.get(b, p.model["unknown"]) for b in x]
-            self.segments[segment] = tuple(ids)
+            into[segment] = tuple(ids)
             at += 1
 
     @property
@@ -223,15 +230,22 @@ class Encoder:
     def learn(self, segments: set[str]) -> None:
         if len(self.segments) + len(segments) > MAX_SEGMENTS:
             self.segments.clear()
+        parts = {segment: self.atoms(segment) for segment in segments}
+        known: dict[str, tuple[int, ...]] = {}
         run, size = [], 0
-        for segment in segments:
-            run.append(segment)
-            size += len(segment)
+        for atom in dict.fromkeys(chain.from_iterable(parts.values())):
+            if atom in self.segments:  # a whole segment met before
+                known[atom] = self.segments[atom]
+                continue
+            run.append(atom)
+            size += len(atom)
             if size > INDEX_BYTES:
-                self.encode_new(run)
+                self.encode_new(run, known)
                 run, size = [], 0
         if run:
-            self.encode_new(run)
+            self.encode_new(run, known)
+        for segment, own in parts.items():
+            self.segments[segment] = known[own[0]] if len(own) == 1 else tuple(chain.from_iterable(map(known.__getitem__, own)))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         split = [segments_of(text) for text in texts]

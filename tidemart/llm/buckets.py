@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def tiles(rows: DataFrame, key: list[str], item: str, most: int, details: DataFrame | None = None) -> DataFrame:
+def tiles(rows: DataFrame, key: list[str], item: str, most: int, details: DataFrame | None = None, few: bool = False) -> DataFrame:
     """Rows of buckets with at least two items, so dealt out that each pair of a bucket meets in one tile.
 
     A bucket of up to ``most`` items is one tile. A larger one is cut into parts by a hash of the item, and every two
     parts meet in a tile of their own; a tile of two parts (``i < j``) compares across them only, one part alone
     (``i = j``) within itself. Adds ``i``, ``j`` and ``part``, and the columns of ``details``, which has a row per item,
-    and shuffles rows to their tiles, sorted by tile.
+    and shuffles rows to their tiles, sorted by tile. ``few`` says that the number of buckets is bounded whatever the
+    number of rows, so that a table of them can go to all tasks.
     """
     sizes = rows.groupBy(*key).agg(F.count("*").alias("size")).filter("size > 1")
+    sizes = F.broadcast(sizes) if few else sizes
     parts = F.ceil(F.col("size") / F.lit(most // 2)).cast("int")
     rows = rows.join(sizes, key).withColumn("parts", F.when(F.col("size") <= most, F.lit(1)).otherwise(parts))
     rows = rows.withColumn("part", F.pmod(F.xxhash64(F.lit(1), item), F.col("parts")).cast("int"))

@@ -80,6 +80,22 @@ def test_quality_tells_junk_from_prose(spark):
     assert all(good) and len(good) > 100 and sum(bad) <= 0.1 * len(bad)
 
 
+def test_quality_of_rare_and_null_languages(spark):
+    """Clean texts in a script of their own are not held against others, however few they are, and short texts count."""
+    r = random.Random(3)
+    text = lambda signs, n: " ".join("".join(r.choice(signs) for _ in range(r.randint(2, 9))) for _ in range(n))
+    latin, greek, russian = "etaoinshrdlu", "αβγδεζηθικλμνοπρστυ", "абвгдежзиклмнопрсту"
+    table = [(i, text(latin, 100), "en") for i in range(60)] + [(100, text(greek, 200), "el"), (101, text(russian, 200), None)]
+    table += [(200 + i, text(russian, 30), "ru") for i in range(80)] + [(300, text(latin, 200), "ru"), (301, text(latin, 200), None)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    found = quality.references(docs)
+    assert set(found) == {None, "en", "ru"} and found["ru"]["counts"].sum() == 80 * 30 + 200
+    got = {x["doc_id"]: x for x in quality.judge(docs, found).collect()}
+    for i in (100, 101, 301):
+        assert got[i]["kept"] and got[i]["char_distance"] is None and got[i]["word_distance"] is None
+    assert got[300]["char_distance"] > quality.RULES.char_distance and not got[300]["kept"]
+
+
 def test_quality_rows_keep_columns(spark):
     docs = documents(spark)
     kept = quality.judge(docs, quality.references(docs), row=True)

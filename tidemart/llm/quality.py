@@ -30,7 +30,7 @@ class Rules:
     ``common``: how many of a language's most frequent words its histogram has; all others share one more bin.
     ``char_distance``, ``word_distance``: Jensen-Shannon distances (0 to 1) above which a text is rejected.
     ``least_chars``, ``least_words``: shorter texts have too few counts to be judged by that histogram.
-    ``least_reference``: a language with fewer words than this has no reference of its own and is judged by that of all.
+    ``least_reference``: a language with fewer words than th and is judged by that of all.
     """
 
     common: int = 50
@@ -39,9 +39,14 @@ class Rules:
     least_chars: int = 200
     least_words: int = 50
     least_reference: int = 2000
+    pooled: bool = True
 
 
-RULES = Rules()
+RULES = Rules(pooled=False)
+
+
+#: Of a language that nothing is known of.
+NO_REFERENCE = {"chars": np.zeros(CLASSES), "words": {}, "counts": np.zeros(1)}
 
 
 def class_of(char: str) -> int:
@@ -111,7 +116,7 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
 def references(docs: DataFrame, rules: Rules = RULES, text: str = "text", lang: str = "lang") -> dict[str | None, dict]:
     """Histograms of every language and, under None, of all texts together.
 
-    Counts whole texts of at least ``least_words`` words. Words are counted per task and summed by a shuffle; the most
+    Counts all texts, whole. Words are counted per task and summed by a shuffle; the most
     frequent ones are found by a ranked window over (language, word) with at most ``common`` rows left per language, so
     what reaches the driver is bounded by languages times ``common``. Ties go to the word that sorts first.
     """
@@ -128,10 +133,8 @@ def references(docs: DataFrame, rules: Rules = RULES, text: str = "text", lang:
 
         for batch in batches:
             for name, value in zip(batch["lang"], batch["text"]):
-                found = (value or b"").split()
-                if len(found) < rules.least_words:
-                    continue
-                words[name].update(found)
+                value = value or b""
+                words[name].update(value.split())
                 chars[name] += histogram(value, table)
                 if sum(map(len, words.values())) > 200_000:
                     yield from rows()
@@ -169,9 +172,10 @@ def judge(docs: DataFrame, against: dict[str | None, dict], rules: Rules = RULES
     """Base counts, distances and verdict of every text.
 
     Returns ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
-    ``char_distance``, ``word_distance`` (null where the text or the reference is too small) and ``kept``; with ``row``
+    ``char_distance``, ``word_distance`` (null where the text is too small or there is no reference) and ``kept``; with ``row``
     the columns of ``docs`` instead, for the kept rows only, unchanged. A null or empty text has no words and fails.
-    A null language, or one without a reference, is judged by all texts together. Repeated rows are judged one by one,
+    In a null language, or one without a reference, distances are null and the base counts alone decide, unless the
+    rules pool. Repeated rows are judged one by one,
     an empty table gives an empty result, and other columns are not looked at.
     """
 
@@ -184,7 +188,8 @@ def judge(docs: DataFrame, against: dict[str | None, dict], rules: Rules = RULES
                 words, bins = value.split(), histogram(value, table)
                 repeated = repeated_words(words)
                 failed = len(words) < 50 or 100 * repeated > 50 * len(words)
-                reference = against.get(name.decode() if name is not None else None) or against[None]
+                reference = against.get(name.decode()) if name is not None else None
+                reference = reference or (against[None] if rules.pooled else NO_REFERENCE)
                 chars = wording = None
                 if bins.sum() >= rules.least_chars and reference["chars"].sum() > 0:
                     chars = distance(bins, reference["chars"])

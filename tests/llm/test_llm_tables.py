@@ -381,6 +381,18 @@ def test_page_text(spark):
     assert pages.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_page_marks_and_fallbacks(spark):
+    """A mark that means something else is no label, and an article's formulas and fallbacks are text of it."""
+    inside = "<p>The energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> in all of these cases.</p><noscript><p>A long chart as a table for all readers.</noscript>"
+    inside += "<p>See <object data=x>the old drawing</object> and <canvas>the new drawing</canvas> of the house.</p><p>The last words of it stand here.</p>"
+    page = PAGE.replace("</head>", '<script data-main="js/app" src="require.js"></script></head>').replace("<p>Last one.</p>", inside)
+    marked = PAGE.replace("<header", '<header data-main="1"')
+    out = pages.extract(spark.createDataFrame([(1, "u", page), (2, "u", PAGE), (3, "u", marked)], "page_id long, url string, html string")).collect()
+    got = {r["page_id"]: r["text"].split("\n") for r in out}
+    assert got[1][-4:] == ["The energy is E=m in all of these cases.", "A long chart as a table for all readers.", "See the old drawing and the new drawing of the house.", "The last words of it stand here."]
+    assert got[3] == got[2] == [*got[1][:-4], "Last one."]
+
+
 def test_pages_held_out():
     model = pages.train(labelled_pages.labelled_pages())
     trees = [pages.parse(p.encode()) for p in labelled_pages.labelled_pages(200, seed=77)]

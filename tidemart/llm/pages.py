@@ -14,10 +14,11 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from tidemart.llm.arrow import map_batches
 from tidemart.llm.labelled_pages import labelled_pages
 
-# Fixed values of HTML: elements without an end, without shown text, those that make lines of their own, and those whose
-# start ends an open paragraph, list item, term, cell, row or choice.
+# Fixed values of HTML: elements without an end, without shown text, those that hold formulas or what is shown in place
+# of something else, those that make lines of their own, and those whose start ends an open paragraph, list item, term, cell, row or choice.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("head script style template noscript iframe object svg math canvas audio video title select textarea button datalist".split())
+HIDDEN = frozenset("head script style template iframe svg title select textarea button datalist".split())
+FALLBACK = frozenset("noscript object math canvas audio video".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -40,10 +41,14 @@ DENSITIES = (0.0, 0.3, 0.7)  # words inside links, as a share
 
 
 class Tree(HTMLParser):
-    """Elements of a page in document order, and its texts with the element and line that each belongs to."""
+    """Elements of a page in document order, and its texts with the element and line that each belongs to.
 
-    def __init__(self):
+    ``labels`` says that the page is for training, with marks of what is main; in others such a mark may mean anything.
+    """
+
+    def __init__(self, labels: bool):
         super().__init__(convert_charrefs=True)
+        self.labels = labels
         self.parent, self.depth, self.tag, self.hint, self.label = [], [], [], [], []
         self.texts: list[tuple[int, int, str]] = []
         self.stack: list[tuple[str, int]] = []
@@ -59,7 +64,7 @@ class Tree(HTMLParser):
         self.depth.append(self.depth[parent] + 1 if parent >= 0 else 0)
         self.tag.append(tag)
         self.hint.append(hint)
-        mark = attrs.get("data-main")
+        mark = attrs.get("data-main") if self.labels else None
         self.label.append(int(mark) if mark else self.label[parent] if parent >= 0 else 0)
         if tag in HIDDEN:
             self.hidden += 1
@@ -109,7 +114,7 @@ class Tree(HTMLParser):
         for at in range(len(self.stack) - 1, 0, -1):
             if self.stack[at][0] == tag:
                 return self.close_to(at)
-            if self.stack[at][0] in BLOCK and tag not in BLOCK and tag not in HIDDEN:
+            if self.stack[at][0] in BLOCK and tag not in BLOCK and tag not in HIDDEN and tag not in FALLBACK:
                 return None  # an inline end does not close a block
         return None
 
@@ -118,8 +123,8 @@ class Tree(HTMLParser):
             self.texts.append((self.stack[-1][1], self.line, data))
 
 
-def parse(html: bytes | None) -> Tree:
-    tree = Tree()
+def parse(html: bytes | None, labels: bool = True) -> Tree:
+    tree = Tree(labels)
     tree.feed((html or b"").decode("utf-8", "replace"))
     tree.close()
     return tree
@@ -230,7 +235,7 @@ def extract(pages: DataFrame, training: list[str] | None = None, page_id: str =
             texts: list[str] = []
             trees, size = [], 0
             for value in batch["html"]:
-                trees.append(parse(value))
+                trees.append(parse(value, labels=False))
                 size += len(value or b"")
                 if size > chunk:
                     texts += main_texts(trees, model)

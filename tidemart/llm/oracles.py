@@ -148,6 +148,49 @@ SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesc
 FROM d LEFT JOIN g USING (doc_id)
 """
 
+def whole_sql(scale: int) -> str:
+    """Vectors of finite components as whole numbers."""
+    return f"""
+  SELECT vec_id, label, list_transform(e, lambda c: CAST(floor({scale} * c) AS BIGINT)) AS x FROM (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings)
+  WHERE len(e) > 0 AND len(list_filter(e, lambda c: c IS NULL OR NOT isfinite(c))) = 0"""
+
+
+SEARCH = f"""
+WITH w AS ({whole_sql(64)}),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])) AS score
+  FROM w q JOIN w c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score FROM r WHERE rank <= 20
+"""
+
+
+def codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Codebooks round by round, as rows (part, entry, numbers), for vectors of one length."""
+    steps = [
+        f"w AS MATERIALIZED ({whole_sql(4096)})",
+        f"p AS MATERIALIZED (SELECT vec_id, label, part, x[part * len(x) // {parts} + 1:(part + 1) * len(x) // {parts}] AS v FROM w, range({parts}) AS t(part))",
+        f"b0 AS MATERIALIZED (SELECT part, rank - 1 AS entry, v FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS rank FROM p) WHERE rank <= {entries})",
+    ]
+    far = "list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))"
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, label, part, v, entry, far FROM (
+    SELECT *, row_number() OVER (PARTITION BY vec_id, part ORDER BY far, entry) AS rank FROM (
+      SELECT p.vec_id, p.label, p.part, p.v, b.entry, {far} AS far FROM p JOIN b{r} b ON p.part = b.part)) WHERE rank = 1)""")
+        if r < rounds:
+            steps.append(f"""b{r + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY place) AS v FROM (
+      SELECT part, entry, place, CAST(sum(n) // count(*) - CASE WHEN sum(n) % count(*) < 0 THEN 1 ELSE 0 END AS BIGINT) AS mean FROM (
+        SELECT part, entry, unnest(v) AS n, unnest(range(1, len(v) + 1)) AS place FROM a{r}) GROUP BY part, entry, place)
+    GROUP BY part, entry) m ON b.part = m.part AND b.entry = m.entry)""")
+    steps.append(f"d AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})")
+    steps.append(f"c AS (SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error FROM a{rounds} GROUP BY vec_id, label)")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c, d"""
+
+
 ORACLES: dict[str, str] = {
     "op4_curriculum_mix": MIX, "op7_cross_polytope": VECTORS, "op9_warc_bundles": ARCHIVE, "op10_secret_scan": SECRETS,
+    "op12_histogram_top_k": SEARCH, "op13_cell_codes": codes_sql(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import embeddings, katz, mixing, pages, quality, secrets, sentencepieces, simhash, token_counts, warc
+from tidemart.llm import codes, embeddings, katz, mixing, pages, quality, search, secrets, sentencepieces, simhash, token_counts, warc, whitening
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -77,4 +77,20 @@ def op10_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op5_katz_backoff, op6_simhash_bitsliced, op7_cross_polytope, op8_dom_marginals, op9_warc_bundles, op10_secret_scan)}
+def op11_feast_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+def op12_histogram_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return search.top_k(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
+
+
+def op13_cell_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return codes.compress(table(spark, folder, "embeddings"))
+
+
+ALL = (
+    op1_sentencepiece, op2_quality_divergence, op3_transducer_counts, op4_curriculum_mix, op5_katz_backoff, op6_simhash_bitsliced,
+    op7_cross_polytope, op8_dom_marginals, op9_warc_bundles, op10_secret_scan, op11_feast_whitening, op12_histogram_top_k, op13_cell_codes,
+)
+QUERIES = {f.__name__: f for f in ALL}

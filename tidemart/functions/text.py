@@ -61,6 +61,44 @@ def parse_record(df: DataFrame, schema: T.StructType, value: str = "value") -> D
     return raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def checked_json(
+    df: DataFrame, schema: T.StructType, needs: tuple[str, ...] = (), flat: bool = False, value: str = "value"
+) -> DataFrame:
+    """JSON text to the columns of ``schema``, plus ``raw``, the text itself, and ``readable``.
+
+    Readable is a JSON object that has the fields in ``needs``; without any, one whose fields all have their types.
+    With ``flat``, numbers may come bare or quoted as in ``parse_record``.
+    """
+    shape = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields]) if flat else schema
+    wide = T.StructType([*shape.fields, T.StructField("_corrupt", T.StringType())])
+    row = F.from_json(F.col(value), wide, {"columnNameOfCorruptRecord": "_corrupt"})
+    # inline makes the parse a step of its own (see parse_json)
+    parsed = df.select(F.inline(F.array(F.struct(row.alias("_row"), F.col(value).alias("raw")))))
+    fields = {f.name: F.col("_row")[f.name] for f in schema.fields}
+    if flat:
+        fields = {f.name: fields[f.name].try_cast(f.dataType) for f in schema.fields}
+    whole = F.col("_row._corrupt").isNull()
+    for i, path in enumerate(needs):
+        first, *inner = path.split(".")
+        found = fields[first]
+        for name in inner:
+            found = found[name]
+        whole = found.isNotNull() if i == 0 else whole & found.isNotNull()
+    readable = F.coalesce(F.col("_row").isNotNull() & F.col("raw").rlike(r"^\s*\{") & whole, F.lit(False))
+    return parsed.select(*[c.alias(name) for name, c in fields.items()], "raw", readable.alias("readable"))
+
+
+def readable_rows(checked: DataFrame) -> DataFrame:
+    """The rows that could be read, as their columns."""
+    return checked.filter("readable").drop("raw", "readable")
+
+
+def unreadable_lines(checked: DataFrame, topic: str) -> DataFrame:
+    """The lines that could not, as JSON text with the topic they came from."""
+    rows = checked.filter("NOT readable").select(F.lit(topic).alias("topic"), F.coalesce("raw", F.lit("")).alias("line"))
+    return to_value(rows)
+
+
 def to_value(df: DataFrame) -> DataFrame:
     """Rows as JSON text in one ``value`` column; null fields are left out."""
     return df.select(F.to_json(F.struct("*")).alias("value"))

@@ -16,31 +16,58 @@ LETTERS = r"[\p{L}\p{M}\p{N}&&[^\p{IsHan}]]+"
 # --------------------------------------
 
 
-def longest_word(dictionary: DataFrame) -> int:
-    """Characters of the longest word of ``dictionary(word)``; 1 if it has none."""
-    return dictionary.agg(F.max(F.length("word"))).first()[0] or 1
+#: Prefixes of a dictionary up to which their index goes to every task whatever the planner thinks.
+FEW_PREFIXES = 200_000
 
 
-def candidate_words(df: DataFrame, text: str, longest: int = 0, name: str = "word") -> DataFrame:
+class Prefixes:
+    """Which lengths the words of ``dictionary(word)`` have, by their first two characters: an index to cut by.
+
+    ``longest`` is that of its longest word. Both come from one aggregate, at most a row per word and no more than there
+    are pairs of characters; ``small`` says that it may be broadcast.
+    """
+
+    def __init__(self, dictionary: DataFrame):
+        words = dictionary.select(F.lower("word").alias("_w")).filter(F.length("_w") > 1)
+        self.index = words.groupBy(F.left("_w", F.lit(2)).alias("_two")).agg(F.collect_set(F.length("_w")).alias("_lengths"))
+        prefixes, longest = self.index.agg(F.count(F.lit(1)), F.max(F.array_max("_lengths"))).first()
+        self.small, self.longest = prefixes <= FEW_PREFIXES, longest or 1
+
+    def lengths_for(self, pieces: DataFrame) -> DataFrame:
+        """Pieces with the lengths to cut them to as ``_lengths``; null where no word begins like them."""
+        index = F.broadcast(self.index) if self.small else self.index
+        return pieces.join(index, F.left("_piece", F.lit(2)) == F.col("_two"), "left").drop("_two")
+
+
+def candidate_words(df: DataFrame, text: str, prefixes: Prefixes | None = None, name: str = "word") -> DataFrame:
     """One row per word, dropping ``text``; a text without words keeps one null row.
 
-    With ``longest`` > 0 the Han runs give all substrings of up to that many characters, and ``_han`` marks them as not
-    yet checked. Runs become rows first, so no array holds the substrings of a whole text.
+    With ``prefixes`` every place of a Han run gives its single character and the substrings that are as long as some
+    dictionary word with the same two first characters; ``_han`` marks them as not yet checked. Runs become rows first,
+    so no array holds the places of a whole text, and a place carries no more text than the longest word.
     """
     keep = [c for c in df.columns if c != text]
     found = F.regexp_extract_all(F.col(text), F.lit(f"{HAN}|{LETTERS}"), F.lit(0))
     runs = df.select(*keep, F.explode_outer(found).alias("_run"))
-    if not longest:
+    if prefixes is None:
         return runs.select(*keep, F.lower("_run").alias(name))
-    size, at = F.length("_run"), F.col("_at")
-    # every (start, length) of a Han run as one number; other runs stay one row
-    places = F.when(F.col("_han"), F.sequence(F.lit(0), size * longest - 1))
-    han = F.coalesce(F.col("_run").rlike(f"^{HAN}"), F.lit(False))
-    pieces = runs.select(*keep, "_run", han.alias("_han")).select("*", F.explode_outer(places).alias("_at"))
-    start, chars = F.floor(at / longest).cast("int") + 1, at % longest + 1
-    inside = at.isNull() | (start + chars - 1 <= size)
-    word = F.when(at.isNull(), F.col("_run")).otherwise(F.substring(F.col("_run"), start, chars))
-    return pieces.filter(inside).select(*keep, "_han", F.lower(word).alias(name))
+    runs = runs.withColumn("_han", F.coalesce(F.col("_run").rlike(f"^{HAN}"), F.lit(False)))
+
+    def cut(rows: DataFrame) -> DataFrame:
+        places = F.when(F.col("_han"), F.sequence(F.lit(1), F.length("_run")))
+        placed = rows.select("*", F.explode_outer(places).alias("_at"))
+        piece = F.when(F.col("_han"), F.substring(F.col("_run"), F.col("_at"), F.lit(prefixes.longest)))
+        pieces = prefixes.lengths_for(placed.select(*keep, "_han", piece.alias("_piece"), F.when(~F.col("_han"), F.col("_run")).alias("_run")))
+        sizes = F.filter(F.coalesce("_lengths", F.array().cast("array<int>")), lambda n: n <= F.length("_piece"))
+        cuts = F.when(F.col("_han"), F.transform(F.concat(F.array(F.lit(1)), sizes), lambda n: F.left("_piece", n)))
+        words = pieces.select(*keep, "_han", "_run", F.explode_outer(cuts).alias("_cut"))
+        return words.select(*keep, "_han", F.lower(F.coalesce("_cut", "_run")).alias(name))
+
+    if prefixes.small or df.isStreaming:
+        return cut(runs)
+    # only Han runs go through the shuffle of a large index
+    others = runs.filter(~F.col("_han")).select(*keep, "_han", F.lower("_run").alias(name))
+    return others.unionAll(cut(runs.filter("_han")))
 
 
 def in_dictionary(words: DataFrame, dictionary: DataFrame, name: str = "word", singles: bool = True) -> DataFrame:
@@ -62,4 +89,4 @@ def split_words(df: DataFrame, text: str = "full_word", dictionary: DataFrame |
     """Join every row with the words of its text; columns of ``df`` but ``text``, plus ``word``."""
     if dictionary is None:
         return candidate_words(df, text)
-    return in_dictionary(candidate_words(df, text, longest_word(dictionary)), dictionary, singles=singles)
+    return in_dictionary(candidate_words(df, text, Prefixes(dictionary)), dictionary, singles=singles)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart import schemas as S
-from tidemart.functions.tokens import candidate_words, in_dictionary, longest_word
+from tidemart.functions.tokens import Prefixes, candidate_words, in_dictionary
 from tidemart.functions.times import window_bounds
 
 WIDTH = "10 seconds"
@@ -95,7 +95,7 @@ def keyword_stats(
     With a dictionary the Han candidates are counted first and checked after, so the check sees one row per word and
     window; without one a Han run counts as one word.
     """
-    words = candidate_words(searches, "full_word", longest_word(dictionary) if dictionary is not None else 0)
+    words = candidate_words(searches, "full_word", Prefixes(dictionary) if dictionary is not None else None)
     flag = ["_han"] if dictionary is not None else []
     stats = words.groupBy(_window(width), "word", *flag).agg(
         F.count(F.lit(1)).alias("ct"), F.min("ts").alias("ts")

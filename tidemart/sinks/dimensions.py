@@ -1,38 +1,44 @@
 """Dimension tables: text columns, one row per primary key, upserted per batch.
 
-A table is cut into buckets by a hash of the key. ``<root>/<table>/data/<name>/bucket=…`` holds the files of a bucket
-from one batch, under a name of its own, and ``<root>/<table>/current/<version>`` one row that says which files make
-the table, with its columns and the last batch of each writer. That row is written last, so a reader sees the old
-version or the new one; files go only when no version of the last hour names them. A table has one writer at a time.
+A table is a Parquet folder that only grows. ``change_kind=changes/change_part=<stamp>`` holds what one batch changed: null
+in the columns that a change does not name, empty text in those it empties. Reading merges: each column takes its last
+value by time (``ts_ms``, then type, then arrival). That is the same however often and in whatever order batches are
+written, so a repeated batch, a second writer or a job with a new checkpoint neither loses nor doubles anything.
+``compact`` writes the same changes less what others have overtaken as ``change_kind=merged``; a reader takes the newest of
+these and the changes since. No file is ever replaced, so a running reader is not disturbed.
 """
 
 from __future__ import annotations
 
+import re
 import time
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 16
-KEEP_MS = 3_600_000
-VERSION = "version BIGINT, columns ARRAY<STRING>, buckets INT, applied MAP<STRING, BIGINT>, files MAP<INT, STRING>"
+ORDER = ["change_ms", "change_type", "change_made", "change_tie"]
+CHANGE = "change_key STRING, change_ms BIGINT, change_type STRING, change_made STRING, change_tie BIGINT"
+PLACE = "change_kind STRING, change_part STRING"
+MERGED = re.compile(r"/change_kind=merged/change_part=([^/]+)/")
 
 
 def dim_columns(sink_columns: str) -> list[str]:
     return sink_columns.split(",")
 
 
-def dim_schema(sink_columns: str) -> T.StructType:
-    """All columns are text."""
-    return T.StructType([T.StructField(c, T.StringType()) for c in dim_columns(sink_columns)])
-
-
 def primary_key(sink_pk: str | None) -> str:
     return sink_pk or "id"
 
 
+def named_columns(sink_columns: str, sink_pk: str | None) -> list[str]:
+    """The columns of a table, its key among them."""
+    columns, pk = dim_columns(sink_columns), primary_key(sink_pk)
+    return columns if pk in columns else [pk, *columns]
+
+
 def declared_columns(rules: DataFrame) -> DataFrame:
     """The columns each rule's table is made with, all text, and which is the key."""
     pk = F.when(F.coalesce("sink_pk", F.lit("")) == "", "id").otherwise(F.col("sink_pk"))
@@ -41,140 +47,129 @@ def declared_columns(rules: DataFrame) -> DataFrame:
     return rows.select("sink_table", "position", "column", (F.col("column") == F.col("pk")).alias("is_key"))
 
 
-def _file_system(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+def _stamp() -> str:
+    """A name for a batch of changes that sorts by the time it was made."""
+    return f"{time.time_ns() // 1_000_000:014d}-{uuid4().hex[:12]}"
 
 
-def _folders(spark: SparkSession, path: str) -> dict[str, int]:
-    """Names in a folder and when they were last changed; a missing folder is empty."""
-    files, place = _file_system(spark, path)
-    if not files.exists(place):
-        return {}
-    return {s.getPath().getName(): s.getModificationTime() for s in files.listStatus(place)}
+def change_rows(changes: DataFrame, columns: list[str], pk: str, made: str) -> DataFrame:
+    """Change records as rows of the table's folder; records without a key are dropped."""
+    after = F.col("after")
+    values = [F.when(F.map_contains_key("after", c), F.coalesce(after[c], F.lit(""))).alias(c) for c in columns]
+    return changes.filter(after[pk].isNotNull()).select(
+        after[pk].alias("change_key"), F.col("ts_ms").try_cast("bigint").alias("change_ms"), F.col("type").alias("change_type"),
+        F.lit(made).alias("change_made"), F.xxhash64(*[after[c] for c in columns]).alias("change_tie"), *values,
+    )
 
 
-def current_version(spark: SparkSession, root: str, table: str) -> Row | None:
-    """The row of the newest complete version."""
-    place = f"{root}/{table}/current"
-    for name in sorted(_folders(spark, place), reverse=True):
-        if "_SUCCESS" in _folders(spark, f"{place}/{name}"):
-            return spark.read.schema(VERSION).parquet(f"{place}/{name}").first()
-    return None
+def _last(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Per key, the last value of each column with its place in time: hash aggregates, combined before the shuffle."""
+    order = F.struct(*ORDER)
+    last = [F.max(F.when(F.col(f"`{c}`").isNotNull(), F.struct(order.alias("at"), F.col(f"`{c}`").alias("value")))).alias(c) for c in columns]
+    return rows.groupBy("change_key").agg(*last, F.max(order).alias("change_last"))
 
 
-def _publish(spark: SparkSession, root: str, table: str, version: Row) -> None:
-    row = spark.createDataFrame([version], VERSION).coalesce(1)
-    row.write.mode("overwrite").parquet(f"{root}/{table}/current/{version.version:012d}")
+def merged(rows: DataFrame, columns: list[str], pk: str | None = None) -> DataFrame:
+    """One row per key: every column's last value, null where it was emptied or never named.
 
+    With ``pk`` this column is taken from the key, so that a condition on it reaches the scan.
+    """
+    values = [F.col("change_key").alias(c) if c == pk else F.nullif(F.col(f"`{c}`")["value"], F.lit("")).alias(c) for c in columns]
+    return _last(rows.filter("change_key IS NOT NULL"), columns).select(*values)
 
-def expire(spark: SparkSession, root: str, table: str, keep_ms: int = KEEP_MS) -> None:
-    """Remove versions older than ``keep_ms``, but the current one, and the files that only they name."""
-    place, now = f"{root}/{table}", time.time() * 1000
-    versions = _folders(spark, f"{place}/current")
-    old = [n for n, at in sorted(versions.items())[:-1] if now - at > keep_ms]
-    kept = [f"{place}/current/{n}" for n in versions if n not in old]
-    if not old:
-        return
-    named = {f for r in spark.read.schema(VERSION).parquet(*kept).collect() for f in r.files.values()}
-    files = [n for n, at in _folders(spark, f"{place}/data").items() if n not in named and now - at > keep_ms]
-    for path in [f"{place}/current/{n}" for n in old] + [f"{place}/data/{n}" for n in files]:
-        system, gone = _file_system(spark, path)
-        system.delete(gone, True)
 
+def reduced(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The same changes less what later ones have overtaken: per key at most a row for each column and one for its last change."""
+    last = _last(rows, columns)
+    times = F.array(*[F.col(f"`{c}`")["at"] for c in columns], F.col("change_last"))
+    at = F.explode(F.array_distinct(F.filter(times, lambda t: t.isNotNull()))).alias("change_at")
 
-def _files(root: str, table: str, version: Row, buckets=None) -> list[str]:
-    return [f"{root}/{table}/data/{name}/bucket={b}" for b, name in sorted(version.files.items()) if buckets is None or b in buckets]
+    def value(c: str) -> Column:
+        return F.when(F.col(f"`{c}`")["at"].eqNullSafe(F.col("change_at")), F.col(f"`{c}`")["value"]).alias(c)
 
+    return last.select("*", at).select("change_key", "change_at.*", *[value(c) for c in columns])
 
-def _rows(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
-    schema = dim_schema(",".join(columns))
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
+def _append(rows: DataFrame, path: str, kind: str, part: str) -> None:
+    """Add a part to a table; its folder appears at once, with all its files."""
+    placed = rows.withColumns({"change_kind": F.lit(kind), "change_part": F.lit(part)})
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("change_kind", "change_part").parquet(path)
 
-def read_dim(spark: SparkSession, root: str, table: str, columns: list[str] | None = None) -> DataFrame:
-    """The current version of a dimension table.
 
-    With ``columns`` the result has just these: one that the table lacks is null, and a table that nobody has made yet
-    is empty, so that a lookup finds nothing and goes on. Without, a missing table is an error.
-    """
-    version = current_version(spark, root, table)
-    if version is None:
-        if columns is None:
-            raise ValueError(f"no dimension table {table} under {root}")
-        return _rows(spark, [], columns)
-    return _rows(spark, _files(root, table, version), columns or version.columns)
+def _folder(spark: SparkSession, path: str, columns: list[str] | None) -> DataFrame | None:
+    """All rows of a table's folder, with these columns or all it has; None if nobody has made it."""
+    text = "".join(f", `{c}` STRING" for c in columns or [])
+    reader = spark.read.option("mergeSchema", "true") if columns is None else spark.read.schema(f"{CHANGE}{text}, {PLACE}")
+    try:
+        rows = reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows
+
 
+def _current(rows: DataFrame) -> DataFrame:
+    """The newest compacted changes and those made since: whole folders are left out when the scan is planned."""
+    parts = sorted({m.group(1) for f in rows.inputFiles() if (m := MERGED.search(f))})
+    if not parts:
+        return rows.filter("change_kind = 'changes'")
+    newest = F.lit(parts[-1])
+    kind, part = F.col("change_kind"), F.col("change_part")
+    return rows.filter(((kind == "merged") & (part == newest)) | ((kind == "changes") & (part >= newest)))
 
-def ensure_dim_table(spark: SparkSession, root: str, table: str, sink_columns: str, buckets: int = BUCKETS) -> Row:
-    """Make an empty table unless there is one, and add the columns that it lacks; gives its version."""
-    version, columns = current_version(spark, root, table), dim_columns(sink_columns)
-    if version is not None and set(columns) <= set(version.columns):
-        return version
-    if version is None:
-        version = Row(version=0, columns=columns, buckets=buckets, applied={}, files={})
-    else:
-        merged = list(dict.fromkeys([*version.columns, *columns]))
-        version = Row(version=version.version + 1, columns=merged, buckets=version.buckets, applied=version.applied, files=version.files)
-    _publish(spark, root, table, version)
-    return version
 
+def _own_columns(rows: DataFrame) -> list[str]:
+    """A table's columns in the order they were first declared or named."""
+    meta = {f.name for f in T.StructType.fromDDL(f"{CHANGE}, {PLACE}").fields}
+    return [c for c in rows.columns if c not in meta]
 
-def latest_values(changes: DataFrame, columns: list[str], pk: str = "id") -> DataFrame:
-    """Per primary key, the last value each column was given; null where it was never named.
 
-    A column named with a null counts as given and yields ``''``. Changes are
-    taken by ``ts_ms``, then type; the aggregate is combined before the shuffle.
+def read_dim(spark: SparkSession, root: str, table: str, columns: list[str] | None = None, pk: str | None = None) -> DataFrame:
+    """A dimension table as it is now.
+
+    With ``columns`` the result has just these: one that the table lacks is null, and a table that nobody has made yet
+    is empty, so that a lookup finds nothing and goes on. Without, a missing table is an error, and the columns are found
+    in the files. Name the key as ``pk`` to have conditions on it reach the files.
     """
-    order = F.struct(F.col("ts_ms").try_cast("bigint"), "type", F.xxhash64(*[F.col("after")[c] for c in columns]))
-    values = [
-        F.max_by(F.coalesce(F.col("after")[c], F.lit("")), F.when(F.map_contains_key("after", c), order)).alias(c)
-        for c in columns
-        if c != pk
-    ]
-    keyed = changes.filter(F.col("after")[pk].isNotNull())
-    grouped = keyed.groupBy(F.col("after")[pk].alias(pk))
-    return (grouped.agg(*values) if values else grouped.count()).select(columns)
+    rows = _folder(spark, f"{root}/{table}", columns)
+    if rows is None:
+        if columns is None:
+            raise ValueError(f"no dimension table {table} under {root}")
+        return spark.createDataFrame([], ", ".join(f"`{c}` STRING" for c in columns))
+    return merged(_current(rows), columns or _own_columns(rows), pk)
 
 
-def merge_dim(current: DataFrame, latest: DataFrame, pk: str = "id") -> DataFrame:
-    """Current rows overlaid with new values; columns not given keep theirs, ``''`` empties them."""
-    joined = current.alias("old").join(latest.alias("new"), F.col(f"old.{pk}") == F.col(f"new.{pk}"), "full")
+def ensure_dim_table(spark: SparkSession, root: str, table: str, sink_columns: str, sink_pk: str | None = None) -> None:
+    """Make an empty table unless there is one, and add the columns that it lacks: a row without a key declares them."""
+    columns = named_columns(sink_columns, sink_pk)
+    rows = _folder(spark, f"{root}/{table}", None)
+    if rows is None or not set(columns) <= set(_own_columns(rows)):
+        text = "".join(f", `{c}` STRING" for c in columns)
+        _append(spark.createDataFrame([[None] * (5 + len(columns))], CHANGE + text), f"{root}/{table}", "changes", _stamp())
 
-    def merged(c: str):
-        sides = [F.col(f"{side}.`{c}`") for side, df in (("new", latest), ("old", current)) if c in df.columns]
-        return F.nullif(F.coalesce(*sides), F.lit("")).alias(c)
 
-    return joined.select([merged(c) for c in dict.fromkeys([*current.columns, *latest.columns])])
+def upsert_dim(changes: DataFrame, root: str, table: str, sink_columns: str, sink_pk: str | None = None) -> None:
+    """Apply the change records of one table: only they are written, nothing is read.
+
+    Columns that the table lacks are added to it. A change counts by its time, so applying it again changes nothing.
+    """
+    columns, made = named_columns(sink_columns, sink_pk), _stamp()
+    if clash := {c for c in columns if c in T.StructType.fromDDL(f"{CHANGE}, {PLACE}").names}:
+        raise ValueError(f"reserved column names: {sorted(clash)}")
+    rows = change_rows(changes, columns, primary_key(sink_pk), made)
+    _append(reduced(rows, columns), f"{root}/{table}", "changes", made)
 
 
-def upsert_dim(
-    changes: DataFrame, root: str, table: str, sink_columns: str, sink_pk: str | None = None,
-    writer: str = "router", batch_id: int = 0, buckets: int = BUCKETS,
-) -> None:
-    """Apply the change records of one table; a batch of a writer that was applied before is skipped.
+def compact_dim(spark: SparkSession, root: str, table: str, settle_ms: int = 0) -> None:
+    """Write what a table's changes up to now amount to, as the start for later readers.
 
-    Columns that the table lacks are added to it. Only the buckets that hold a changed key are read and written anew.
+    A plain Spark job, beside readers and writers; ``settle_ms`` is the longest that a writer other than the caller may
+    take for a batch, whose changes are left to the next time. Folders older than the newest compaction are read by
+    nobody who starts now; storage rules may remove them by age.
     """
-    spark, pk = changes.sparkSession, primary_key(sink_pk)
-    version = ensure_dim_table(spark, root, table, sink_columns, buckets)
-    if version.applied.get(writer, -1) >= batch_id:
-        return
-    named = dim_columns(sink_columns)
-    if pk not in named:
-        named = [pk, *named]
-    bucket = F.pmod(F.xxhash64(pk), F.lit(version.buckets)).cast("int").alias("bucket")
-    latest = latest_values(changes, named, pk).persist()
-    touched = [r.bucket for r in latest.select(bucket).distinct().collect()]  # at most one row per bucket
-    current = _rows(spark, _files(root, table, version, touched), list(dict.fromkeys([pk, *version.columns])))
-    name = f"{version.version + 1:012d}-{uuid4().hex}"
-    merged = merge_dim(current, latest, pk).withColumn("bucket", bucket)
-    merged.repartition(version.buckets, "bucket").write.partitionBy("bucket").parquet(f"{root}/{table}/data/{name}")
-    latest.unpersist()
-    _publish(spark, root, table, Row(
-        version=version.version + 1, columns=list(dict.fromkeys([*version.columns, *named])), buckets=version.buckets,
-        applied={**version.applied, writer: batch_id}, files={**version.files, **dict.fromkeys(touched, name)},
-    ))
-    if version.version % 32 == 31:
-        expire(spark, root, table)
+    upto = f"{time.time_ns() // 1_000_000 - settle_ms:014d}-"
+    rows = _folder(spark, f"{root}/{table}", None)
+    if rows is not None:
+        old = _current(rows).filter((F.col("change_kind") == "merged") | (F.col("change_part") < upto))
+        _append(reduced(old, _own_columns(rows)), f"{root}/{table}", "merged", upto)

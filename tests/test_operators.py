@@ -6,12 +6,13 @@ import random
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart import schemas as S
 from tidemart.functions import text, times, tokens
 from tidemart.operators import facts, joins, logs, reports, routing, stats
 from tidemart.sinks import dimensions, topics
-from tidemart.sinks.stats import read_stats, write_stats
+from tidemart.sinks.stats import compact_stats, read_stats, write_stats
 from tidemart.sources import changes as C
 from tidemart.sources import driver_tables as D
 from tidemart.sources import tables as TB
@@ -284,26 +285,36 @@ def test_rule_records(spark):
 def test_upsert_keeps_unnamed_columns(spark, tmp_path):
     root = str(tmp_path)
 
-    def apply(batch, *records):
+    def apply(*records):
         changes = C.cdc_normalize(texts(spark, *records))
-        dimensions.upsert_dim(changes, root, "T", "id,a,b", None, batch_id=batch)
+        dimensions.upsert_dim(changes, root, "T", "id,a,b", None)
         return {r.id: (r.a, r.b) for r in dimensions.read_dim(spark, root, "T").collect()}
 
     one = [change("c", {"id": 1, "a": "x", "b": "y"}, ts="1"), change("u", {"id": 1, "a": "z"}, ts="2")]
-    assert apply(0, *one, change("c", {"id": 2, "a": "p"}, ts="1")) == {"1": ("z", "y"), "2": ("p", None)}
-    assert apply(1, change("u", {"id": 1, "b": None}, ts="3")) == {"1": ("z", None), "2": ("p", None)}
-    assert apply(1, change("u", {"id": 1, "b": "ignored"}, ts="4")) == {"1": ("z", None), "2": ("p", None)}
-    for batch in range(2, 7):
-        state = apply(batch, change("u", {"id": 2, "b": str(batch)}, ts="9"))
-    assert state == {"1": ("z", None), "2": ("p", "6")}
+    assert apply(*one, change("c", {"id": 2, "a": "p"}, ts="1")) == {"1": ("z", "y"), "2": ("p", None)}
+    last = change("u", {"id": 1, "b": None}, ts="3")
+    assert apply(last) == {"1": ("z", None), "2": ("p", None)}
+    assert apply(last) == {"1": ("z", None), "2": ("p", None)}  # a repeat changes nothing
+    assert apply(*one) == {"1": ("z", None), "2": ("p", None)}  # nor does what came late
+    assert apply(change("c", {"id": 3, "a": "new"}, ts="1")) == {"1": ("z", None), "2": ("p", None), "3": ("new", None)}
+    for value in range(2, 7):  # at the same time, the last to arrive counts
+        state = apply(change("u", {"id": 2, "b": str(value)}, ts="9"))
+    assert state["2"] == ("p", "6")
+    dimensions.compact_dim(spark, root, "T")
+    assert apply(change("u", {"id": 2, "b": "old"}, ts="8")) == state
+    assert apply(change("u", {"id": 2, "a": "q"}, ts="8"))["2"] == ("q", "6")
 
 
 def test_ensure_dim_table(spark, tmp_path):
-    dimensions.ensure_dim_table(spark, str(tmp_path), "T", "id,name")
+    for _ in range(2):
+        dimensions.ensure_dim_table(spark, str(tmp_path), "T", "id,name")
+    assert len(list(tmp_path.glob("T/*/*"))) == 1
     table = dimensions.read_dim(spark, str(tmp_path), "T")
     assert table.dtypes == [("id", "string"), ("name", "string")] and table.count() == 0
     with pytest.raises(ValueError):
         dimensions.read_dim(spark, str(tmp_path), "none")
+    with pytest.raises(ValueError):
+        dimensions.upsert_dim(change_rows(spark, {"id": "1"}), str(tmp_path), "T", "id,change_ms")
 
 
 def change_rows(spark, *after):
@@ -312,30 +323,58 @@ def change_rows(spark, *after):
 
 def test_dim_table_takes_new_columns(spark, tmp_path):
     root = str(tmp_path)
-    dimensions.upsert_dim(change_rows(spark, {"id": "1", "a": "x"}), root, "T", "id,a", batch_id=0)
-    dimensions.upsert_dim(change_rows(spark, {"id": "1", "b": "y"}, {"id": "2", "b": "z", "a": "w"}), root, "T", "id,b", batch_id=1)
-    dimensions.upsert_dim(change_rows(spark, {"id": "3"}), root, "T", "id", batch_id=2)
-    table = dimensions.read_dim(spark, root, "T")
-    assert table.columns == ["id", "a", "b"]
-    assert sorted(map(tuple, table.collect())) == [("1", "x", "y"), ("2", None, "z"), ("3", None, None)]
-    for batch in (0, 1, 2):  # however old, an applied batch stays applied
-        dimensions.upsert_dim(change_rows(spark, {"id": "1", "a": "again"}), root, "T", "id,a", batch_id=batch)
-    assert dimensions.read_dim(spark, root, "T", ["id", "a"]).filter("a = 'again'").count() == 0
-
-
-def test_dim_upsert_leaves_other_buckets_alone(spark, tmp_path):
+    dimensions.upsert_dim(change_rows(spark, {"id": "1", "a": "x"}), root, "T", "id,a")
+    dimensions.upsert_dim(change_rows(spark, {"id": "1", "b": "y"}, {"id": "2", "b": "z", "a": "w"}), root, "T", "id,b")
+    dimensions.upsert_dim(change_rows(spark, {"id": "3"}), root, "T", "id")
+    dimensions.ensure_dim_table(spark, root, "T", "id,c")
+    want = [("1", "x", "y", None), ("2", None, "z", None), ("3", None, None, None)]
+    for _ in range(2):
+        table = dimensions.read_dim(spark, root, "T")
+        assert sorted(table.columns) == ["a", "b", "c", "id"]
+        assert sorted(map(tuple, table.select("id", "a", "b", "c").collect())) == want
+        dimensions.compact_dim(spark, root, "T")
+
+
+def test_dim_merge_in_any_order(spark, tmp_path):
+    """Batches in any order, repeated, compacted at any time: the state by hand."""
+    rng = random.Random(4)
+    records = []
+    for t in range(120):
+        named = rng.sample(["a", "b", "c"], rng.randrange(4))
+        records.append(("u", {"id": rng.choice(["hot", "hot", "x", "y"]), **{c: rng.choice([None, str(t)]) for c in named}}, str(t)))
+    state = {}
+    for _, after, _ in records:
+        state.setdefault(after["id"], {"a": None, "b": None, "c": None}).update({k: v for k, v in after.items() if k != "id"})
+    batches = [records[i : i + 20] for i in range(0, 120, 20)]
+    for seed in range(2):
+        order, root = batches + batches[:2], f"{tmp_path}/{seed}"
+        random.Random(seed).shuffle(order)
+        for i, batch in enumerate(order):
+            df = spark.createDataFrame(batch, "type string, after map<string,string>, ts_ms string")
+            dimensions.upsert_dim(df, root, "T", "id,a,b,c")
+            if i in (2, 5):
+                dimensions.compact_dim(spark, root, "T")
+        got = {r.id: {"a": r.a, "b": r.b, "c": r.c} for r in dimensions.read_dim(spark, root, "T", ["id", "a", "b", "c"], "id").collect()}
+        assert got == state
+
+
+def test_a_dim_reader_is_not_disturbed_by_compaction(spark, tmp_path):
     root = str(tmp_path)
-    dimensions.upsert_dim(change_rows(spark, *[{"id": str(i), "a": "0"} for i in range(40)]), root, "T", "id,a", batch_id=0)
-    before = dimensions.current_version(spark, root, "T").files
+    dimensions.upsert_dim(change_rows(spark, *[{"id": str(i), "a": "0"} for i in range(40)]), root, "T", "id,a")
     slow_reader = dimensions.read_dim(spark, root, "T")
-    for batch in range(1, 6):
-        dimensions.upsert_dim(change_rows(spark, {"id": "7", "a": str(batch)}), root, "T", "id,a", batch_id=batch)
-    after = dimensions.current_version(spark, root, "T").files
-    assert len(before) > 5 and sum(before[b] != after[b] for b in before) == 1
-    assert slow_reader.filter("a = '0'").count() == 40  # its files are still there
-    dimensions.expire(spark, root, "T", keep_ms=0)
-    assert {r.id: r.a for r in dimensions.read_dim(spark, root, "T").collect()} == {str(i): "5" if i == 7 else "0" for i in range(40)}
-    assert len(list(tmp_path.glob("T/current/*"))) == 1 and len(list(tmp_path.glob("T/data/*"))) == 2
+    before = {p for p in tmp_path.glob("T/**/*.parquet")}
+    for i in range(1, 4):
+        dimensions.upsert_dim(change_rows(spark, *[{"id": "7", "a": str(i)}] * 60), root, "T", "id,a")
+        dimensions.compact_dim(spark, root, "T")
+    assert before <= {p for p in tmp_path.glob("T/**/*.parquet")}
+    assert slow_reader.filter("a = '0'").count() == 40
+    table = dimensions.read_dim(spark, root, "T", ["id", "a"], "id")
+    assert {r.id: r.a for r in table.collect()} == {str(i): "3" if i == 7 else "0" for i in range(40)}
+    plan = table.filter("id = '7'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(change_key,7)" in plan  # a condition on the key reaches the files
+    # and only what the last compaction wrote is read
+    used = [f for f in dimensions._current(dimensions._folder(spark, f"{root}/T", ["a"])).select(F.input_file_name()).distinct().collect()]
+    assert len(used) == 1
 
 
 def test_lookup_in_a_table_not_made_yet(spark, tmp_path):
@@ -356,6 +395,24 @@ def test_a_retried_batch_adds_what_was_not_published(spark, tmp_path):
         assert sorted(r.value for r in spark.read.text(f"{tmp_path}/topic={name}").collect()) == values
 
 
+def test_no_record_is_lost_when_batch_numbers_come_again(spark, tmp_path):
+    """Writers of two checkpoints, calls without a number, and a null topic that came first."""
+    uri = str(tmp_path)
+    rows = [spark.createDataFrame([("t", x)], "topic string, value string") for x in "abcd"]
+    topics.write_topic_dynamic(rows[0], uri, 0, "job-1")
+    topics.write_topic_dynamic(rows[1], uri, 0, "job-2")
+    for df in rows[2:]:
+        topics.write_topic_dynamic(df, uri)
+    nothing = spark.createDataFrame([(None, "n"), ("", "n")], "topic string, value string")
+    topics.write_topic_dynamic(nothing, uri, 1, "job-1")
+    for _ in range(2):
+        topics.write_topic_dynamic(nothing.unionAll(spark.createDataFrame([("t", "e"), ("007", "f")], "topic string, value string")), uri, 1, "job-1")
+    assert sorted(r.value for r in spark.read.text(f"{uri}/topic=t").collect()) == list("abcde")
+    assert [r.value for r in spark.read.text(f"{uri}/topic=007").collect()] == ["f"]
+    with pytest.raises(ValueError):
+        topics.write_topic_dynamic(rows[0], uri, 3)
+
+
 def test_files_per_topic_and_batch(spark, tmp_path):
     rows = spark.range(4000).select(F.lit("t").alias("topic"), F.col("id").cast("string").alias("value"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -386,6 +443,44 @@ def test_log_records_go_on_whole(spark):
     assert [json.loads(x) for x in out[S.TOPIC_DISPLAY]] == [{"item": "3", "pos_id": 2, **origin}, origin]
 
 
+def test_a_log_split_outlives_any_json(spark):
+    shown = ["a", 7, None, [1], True, 1.5, {"item": "1", "deep": [None]}, {}]
+    lines = [
+        json.dumps({"common": {"mid": "m"}, "page": {"page_id": "p"}, "displays": shown, "ts": 1}),
+        '{"common":"x","page":[],"displays":"y","ts":2}', '{"common":[{"is_new":"1"}],"displays":{"item":"2"},"ts":"z"}',
+        '{"common":null,"displays":[[],[{}]],"ts":null}', '{"a":1,"a":2}', '"text"', "{}", "7", "null", "",
+    ]
+    log = logs.parse_log(spark.createDataFrame([(x,) for x in lines], "value string"))
+    for rows in (log, logs.fix_is_new(log)):
+        out = {}
+        for r in logs.log_topics(rows).collect():
+            out.setdefault(r.topic, []).append(r.value)
+        odd = ['"a"', "7", "null", "[1]", "true", "1.5", "[]", "[{}]"]
+        assert sorted(out[S.TOPIC_UNREADABLE]) == sorted([*odd, lines[4], '"text"', "7", "null", ""])
+        assert sorted(out[S.TOPIC_PAGE]) == sorted([*lines[:4], "{}"])
+        origin = {"mid": "m", "page_id": "p", "ts": 1}
+        assert [json.loads(x) for x in out[S.TOPIC_DISPLAY]] == [{"item": "1", "deep": [None], **origin}, origin]
+        whole = [r.value for r in logs.log_topics(rows, whole_record=True).filter(F.col("topic") == S.TOPIC_DISPLAY).collect()]
+        assert whole == [lines[0]] * 2
+
+
+def test_unreadable_lines_are_told_apart(spark):
+    lines = ['{"id":"1","n":2}', '{"id":1,"n":"x"}', '{"n":2}', "{", "", None, "[]", '[{"id":1}]', "1", '  {"id":5}', '{"id":{"a":1},"n":3}']
+    shape = "id BIGINT, n BIGINT"
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    flat = text.checked_json(df, StructType.fromDDL(shape), ("id",), flat=True)
+    assert sorted(map(str, text.readable_rows(flat).collect())) == ["Row(id=1, n=2)", "Row(id=1, n=None)", "Row(id=5, n=None)"]
+    lost = [json.loads(r.value) for r in text.unreadable_lines(flat, "t").collect()]
+    assert sorted(x["line"] for x in lost) == sorted(['{"n":2}', "{", "", "", "[]", '[{"id":1}]', "1", '{"id":{"a":1},"n":3}'])
+    assert {x["topic"] for x in lost} == {"t"}
+    typed = text.checked_json(df, StructType.fromDDL(shape))
+    assert sorted(str(r.n) for r in text.readable_rows(typed).collect()) == ["2", "None"]
+    events = spark.createDataFrame([("a,5",), ("b",), ("c,x",), (None,)], "value string")
+    read = text.readable_rows(TB.checked_csv_event(events)).collect()
+    assert [tuple(r) for r in read] == [("a", 1, 5)]
+    assert text.unreadable_lines(TB.checked_csv_event(events), "csv").count() == 3
+
+
 # ---- facts and statistics
 
 
@@ -534,12 +629,58 @@ def test_now_is_whole_seconds(spark):
 
 def test_reports_read_one_day(spark, tmp_path):
     rows = [(f"2024-01-0{d} 10:00:00", f"w{d}", d) for d in (4, 5, 6)]
-    write_stats(spark.createDataFrame(rows, "stt string, keyword string, ct long"), str(tmp_path))
+    df = spark.createDataFrame(rows, "stt string, keyword string, ct long")
+    write_stats(df, str(tmp_path))
+    one_day = read_stats(spark, str(tmp_path), df.schema, "2024-01-05")
+    assert len(one_day.inputFiles()) == 1 and "2024-01-05" in one_day.inputFiles()[0]
+    for stored in (one_day, read_stats(spark, str(tmp_path)), read_stats(spark, str(tmp_path), day="2024-01-05")):
+        assert [tuple(r) for r in reports.keyword_topn(stored, 20240105).collect()] == [("w5", 5)]
+    assert read_stats(spark, str(tmp_path), df.schema, "2023-01-01").count() == 0
     report = reports.keyword_topn(read_stats(spark, str(tmp_path)), 20240105)
-    assert [tuple(r) for r in report.collect()] == [("w5", 5)]
     plan = report._jdf.queryExecution().toString()
     filters = plan[plan.rindex("PartitionFilters: [") :].split("]")[0]
     assert "day" in filters and "2024-01-05" in filters
+    with pytest.raises(ValueError):
+        read_stats(spark, f"{tmp_path}/none")
+
+
+def test_batches_of_statistics_are_compacted(spark, tmp_path):
+    """Fifty batches with a retry, two writers and two calls with the defaults: no row lost or doubled, one file left to read."""
+    path, shape = str(tmp_path), "stt string, k long"
+    day, rows = "2024-01-05", []
+
+    def batch(i):
+        return spark.createDataFrame([(f"{day} 10:00:{i:02d}", i), (f"2024-01-06 00:00:{i:02d}", i)], shape)
+
+    for i in range(48):
+        write_stats(batch(i), path, i, "job-1")
+        rows.append(i)
+    write_stats(batch(47), path, 47, "job-1")
+    write_stats(batch(100), path, 0, "job-2")  # another checkpoint, the same number
+    for i in (101, 102):
+        write_stats(batch(i), path)
+    rows += [100, 101, 102]
+    early = read_stats(spark, path, batch(0).schema, day)
+    for later in (None, 103):
+        if later:
+            write_stats(batch(later), path, 48, "job-1")
+            rows.append(later)
+        for _ in range(2):
+            compact_stats(spark, path, day)
+            for stored in (read_stats(spark, path, batch(0).schema, day), read_stats(spark, path).filter(F.col("day") == day)):
+                assert sorted(r.k for r in stored.collect()) == rows
+            assert sorted(r.k for r in read_stats(spark, path, day="2024-01-06").collect()) == rows
+    used = read_stats(spark, path, batch(0).schema, day).select(F.input_file_name().alias("f")).distinct()
+    assert used.count() == 1
+    assert sorted(r.k for r in early.collect()) == rows[:-1]  # a reader from before
+    with pytest.raises(ValueError):
+        write_stats(batch(0), path, 3)
+
+
+def test_a_small_day_gets_one_file(spark, tmp_path):
+    rows = spark.range(3000).select(F.concat(F.date_format(F.timestamp_seconds(F.col("id") * 3600), "yyyy-MM-dd HH:mm:ss")).alias("stt"), "id")
+    write_stats(rows.repartition(16), str(tmp_path))
+    assert {len(list(day.glob("**/*.parquet"))) for day in tmp_path.glob("batches/day=*")} == {1}
 
 
 def plan_of(df):

@@ -10,6 +10,7 @@ NAMES = [
     "fix_is_new", "unique_visit", "user_jump", "user_jump_hourly", "visitor_stats_hourly", "order_wide_project",
     "order_wide_dims", "payment_wide_project", "dim_lookup_join", "sql_interval_join_hourly", "product_stats_hourly",
     "province_stats_monthly", "window_stats_join", "route_by_rules", "keyword_stats", "upsert_dim", "user_jump_stream",
+    "order_wide_stream",
 ]
 HOT = {
     # one user with a third of the events, at their own times
@@ -80,3 +81,34 @@ def test_hot_id_of_a_large_dimension_is_split(spark, skewed):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_ids_without_adaptive_execution(spark, skewed):
+    """As in the micro-batches of stateful streams: the hot product's rows are dealt out, the answer is the plain one."""
+    from pyspark.sql import functions as F
+
+    from tidemart.operators import joins
+    from tidemart.sources import driver_tables as D
+
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    lines = D.order_detail(spark, skewed).select("id", "sku_id").withColumn("sku_id", F.when(F.col("id") % 50 > 0, F.col("sku_id")))
+    dim, fields = D.dimensions(spark, skewed)["DIM_SKU_INFO"], {"price": "p"}
+
+    def tasks(hot):
+        found = joins.dim_lookup_join(lines, dim, "sku_id", fields, hot=hot)
+        sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        return sorted(map(str, found.collect())), sorted(sizes)
+
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        hot = joins.hot_ids(lines, ["sku_id"])
+        plain, skew = tasks(None)
+        split, even = tasks(hot)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert "11" in hot["sku_id"] and len(hot["sku_id"]) < 16
+    assert split == plain and skew[-1] > 3 * skew[len(skew) // 2]
+    assert even[-1] < 2 * even[len(even) // 2]

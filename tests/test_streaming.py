@@ -13,6 +13,7 @@ from tidemart.operators import logs, stats
 from tidemart.plans.layers import Layers
 from tidemart.plans.registry import FAR_MS
 from tidemart.sinks import dimensions, topics
+from tidemart.sinks.stats import read_stats
 from tidemart.sources import driver_tables as D
 from tidemart.sources.topics import read_topic
 from tidemart.streaming import runs, stateful
@@ -93,12 +94,13 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
 
     folder, stream_schema = str(tmp_path), PAGE_SCHEMA
     stream = spark.readStream.schema(stream_schema).parquet(f"{folder}/in/part=*").drop("part")
-    lost = 0
+    watched = runs.watch_late(spark)
     for i, rows in enumerate(parts):
         spark.createDataFrame(rows, PAGE_SCHEMA).coalesce(1).write.parquet(f"{folder}/in/part={i}")
         query = runs.checkpointed_run(counted(stream), f"{folder}/out", f"{folder}/checkpoint", runs.NOW)
         query.awaitTermination()
-        lost += runs.late_drops(query)
+    lost = watched.of(query)
+    spark.streams.removeListener(watched)
     out = spark.read.parquet(f"{folder}/out")
     assert sorted((r.stt[-8:], r.order_count) for r in out.collect()) == [("00:01:40", 1), ("00:03:10", 1), ("00:03:20", 1)]
     assert lost == 1
@@ -160,7 +162,7 @@ def test_log_jobs(jobs, spark, small):
     facts_rows = facts.visitor_union(pages, logs.unique_visit(pages), logs.user_jump(pages, 6 * 3_600_000))
     want = stats.visitor_stats(with_event_time(facts_rows), "1 hour")
     names = [f.name for f in VISITOR_STATS.fields]
-    assert rows(spark.read.parquet(f"{jobs.stats_root}/visitor_stats"), *names) == rows(want, *names)
+    assert rows(read_stats(spark, f"{jobs.stats_root}/visitor_stats"), *names) == rows(want, *names)
 
 
 def test_order_jobs(jobs, spark, small):
@@ -197,7 +199,7 @@ def test_order_jobs(jobs, spark, small):
     done(jobs.province_stats("30 days"))
     names = ["province_id", "stt", "edt", "order_amount", "order_count", "ts"]
     want = Layers(spark, small, width="30 days").province_stats()
-    closed = spark.read.parquet(f"{jobs.stats_root}/province_stats").filter("stt < '2099'")
+    closed = read_stats(spark, f"{jobs.stats_root}/province_stats").filter("stt < '2099'")
     assert rows(closed, *names) == rows(want, *names)
 
 
@@ -231,7 +233,7 @@ def test_keyword_and_product_jobs(jobs, spark, small):
     done(uri_jobs.keyword_stats())
     want = Layers(spark, small).keyword_stats()
     names = want.columns
-    got = spark.read.parquet(f"{uri_jobs.stats_root}/keyword_stats").filter("stt < '2099'")
+    got = read_stats(spark, f"{uri_jobs.stats_root}/keyword_stats").filter("stt < '2099'")
     assert rows(got, *names) == rows(want, *names)
 
 
@@ -250,7 +252,7 @@ def test_product_job(jobs, spark, small):
     close(spark, folder, S.TOPIC_CART, D.cart_info(spark, small), "create_time")
     done(mine.product_stats("1 hour"))
     want = Layers(spark, small, width="1 hour").product_stats()
-    got = spark.read.parquet(f"{mine.stats_root}/product_stats").filter("stt < '2099'")
+    got = read_stats(spark, f"{mine.stats_root}/product_stats").filter("stt < '2099'")
     names = want.columns
     assert rows(got, *names) == rows(want, *names)
 
@@ -275,3 +277,127 @@ def test_console(spark, tmp_path, capsys):
     query.processAllAvailable()
     assert sum(p["numInputRows"] for p in query.recentProgress) == 1
     query.stop()
+
+
+def test_hot_device_on_streams(spark, tmp_path):
+    """One device with a third of all rows: the batch answer, from groups of bounded size."""
+    rng = random.Random(5)
+    times = rng.sample(range(0, 600_000), 1500)
+    rows_in = [("hot" if i % 3 == 0 else f"d{rng.randrange(40)}", t, rng.random() < 0.6) for i, t in enumerate(times)]
+    made = sorted((log_row(m, t, last=None if e else "home") for m, t, e in rows_in), key=lambda r: r.ts)
+    parts = [made[:700], made[700:], [log_row("end", FAR_MS)]]
+    out, query = slices(spark, str(tmp_path), PAGE_SCHEMA, parts, lambda df: stateful.user_jump_stream(df.drop("start"), kind=True))
+    got = sorted((r.mid, r.ts) for r in out.select("common.mid", "ts").collect())
+    assert [g for g in got if g[0] != "end"] == jumps_by_hand(rows_in, 10_000)
+    want = logs.user_jump(spark.createDataFrame(made, PAGE_SCHEMA).drop("start"), kind=True)
+    cols = ["common.mid", "ts", "kind"]
+    assert rows(out.filter("common.mid != 'end'"), *cols) == rows(want, *cols)
+    hot = sorted(t for m, t, _ in rows_in if m == "hot")
+    per_step = max(sum(1 for t in hot if s <= t < s + 1250) for s in range(0, 600_000, 1250))
+    assert per_step < len(hot) / 30
+
+
+@pytest.mark.parametrize("within", [8_000, 7, 1, 11])
+def test_jump_steps_of_any_length(spark, tmp_path, within):
+    rng = random.Random(within)
+    times = rng.sample(range(0, 60 * max(within, 20)), 300)
+    rows_in = [(rng.choice("ab"), t, rng.random() < 0.5) for t in times]
+    made = sorted((log_row(m, t, last=None if e else "home") for m, t, e in rows_in), key=lambda r: r.ts)
+    out, _ = slices(
+        spark, str(tmp_path), PAGE_SCHEMA, [made, [log_row("end", FAR_MS)]],
+        lambda df: stateful.user_jump_stream(df.drop("start"), within, slot_ms=3 * within + 1),
+    )
+    got = sorted((r.mid, r.ts) for r in out.select("common.mid", "ts").collect())
+    assert [g for g in got if g[0] != "end"] == jumps_by_hand(rows_in, within)
+
+
+def test_late_rows_over_many_batches(spark, tmp_path):
+    """More batches than a query remembers; a second query's rows are its own."""
+    folder, n = str(tmp_path), 104
+    for name in ("in", "other"):
+        (tmp_path / name).mkdir()
+    for i in range(n):
+        times = [100_000 + i * 1_000] + [1_000] * (i >= 5)
+        (tmp_path / f"in/{i:03d}.json").write_text("".join(f'{{"common":{{"mid":"m"}},"ts":{t}}}\n' for t in times))
+    (tmp_path / "other/0.json").write_text('{"common":{"mid":"m"},"ts":1}\n')
+    watched = runs.watch_late(spark)
+    queries = []
+    for name, source in (("many", "in"), ("one", "other")):
+        stream = spark.readStream.schema(PAGE_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{folder}/{source}")
+        counted = stats.page_area_counts(with_event_time(stream, "ts", "2 seconds"))
+        queries.append(done(runs.checkpointed_run(counted, f"{folder}/{name}", f"{folder}/{name}-checkpoint", runs.NOW)))
+    lost = [watched.of(q) for q in queries]
+    spark.streams.removeListener(watched)
+    assert watched.batches[str(queries[0].id)] > 100 and len(queries[0].recentProgress) <= 100
+    assert lost == [n - 5, 0]
+
+
+def test_unreadable_lines_job(spark, small, tmp_path):
+    """Bad lines in the topics of changes, rules, orders and payments: none passed on as null rows, all found and counted."""
+    uri = str(tmp_path)
+    mine = Jobs(spark, f"{uri}/topics", f"{uri}/dims", f"{uri}/stats", f"{uri}/checkpoints", runs.NOW)
+    bad = spark.createDataFrame([("{cut",), ("",), ("[]",), ('{"other":1}',)], "value string")
+    order = {"id": 1, "user_id": 2, "create_time": 1000, "province_id": 3}
+    line = {"id": 11, "order_id": 1, "sku_id": 5, "create_time": 1500, "split_total_amount": "2.50"}
+    payment = {"id": 7, "order_id": 1, "create_time": 2000}
+    record = {"source": {"db": "d", "table": "t"}, "op": "c", "ts_ms": "1", "after": {"id": "1", "x": "y"}}
+    rule = {"source": {"db": "d", "table": "rules"}, "op": "c", "ts_ms": "1", "after": {
+        "source_table": "t", "operate_type": "insert", "sink_type": "kafka", "sink_table": "sunk", "sink_columns": "id,x"}}
+    good = {"captured": record, "rules": rule, S.TOPIC_ORDER_INFO: order, S.TOPIC_ORDER_DETAIL: line, S.TOPIC_PAYMENT: payment}
+    import json
+
+    for name, value in good.items():
+        topics.write_topic(spark.createDataFrame([(json.dumps(value),)], "value string").unionAll(bad), mine.uri, name)
+    for _ in range(2):
+        done(mine.unreadable("captured", "rules"))
+    found = {r.topic: r["lines"] for r in mine.unreadable_counts().collect()}
+    # a change without fields is still a change; an order without id or time is of no use
+    assert found == {"captured": 3, "rules": 3, S.TOPIC_ORDER_INFO: 4, S.TOPIC_ORDER_DETAIL: 4, S.TOPIC_PAYMENT: 4}
+    done(mine.changes("captured"))
+    done(mine.route("rules"))
+    assert [r.value for r in spark.read.text(f"{mine.uri}/topic=sunk").collect()] == ['{"id":"1","x":"y"}']
+    done(mine.order_wide())
+    done(mine.payment_wide())
+    wide = text.parse_record(read_topic(spark, mine.uri, S.TOPIC_ORDER_WIDE, stream=False), S.ORDER_WIDE).collect()
+    paid = text.parse_record(read_topic(spark, mine.uri, S.TOPIC_PAYMENT_WIDE, stream=False), S.PAYMENT_WIDE).collect()
+    assert [(r.order_id, r.detail_id) for r in wide] == [(1, 11)] and [(r.payment_id, r.detail_id) for r in paid] == [(7, 11)]
+
+
+def rule_line(spark, ts, sink, operation="insert"):
+    import json
+
+    after = {"source_table": "t", "operate_type": operation, "sink_type": "kafka", "sink_table": sink, "sink_columns": "id"}
+    record = {"source": {"db": "c", "table": "rules"}, "op": "c", "ts_ms": str(ts), "after": after}
+    return spark.createDataFrame([(json.dumps(record),)], "value string")
+
+
+def change_line(spark, *ids):
+    values = [(f'{{"database":"d","table":"t","type":"insert","ts_ms":"{i}","after":{{"id":"{i}"}}}}',) for i in ids]
+    return spark.createDataFrame(values, "value string")
+
+
+def test_rules_are_kept_not_read_again(spark, tmp_path):
+    uri = str(tmp_path)
+
+    def job(checkpoint="one"):
+        return Jobs(spark, f"{uri}/topics", f"{uri}/dims", f"{uri}/stats", f"{uri}/{checkpoint}", runs.NOW)
+
+    mine = job()
+    topics.write_topic(rule_line(spark, 5, "first"), mine.uri, "rules")
+    topics.write_topic(change_line(spark, 1), mine.uri, S.TOPIC_BASE_DB)
+    done(mine.route("rules"))
+    topics.write_topic(rule_line(spark, 9, "second"), mine.uri, "rules")  # came later, does not count
+    topics.write_topic(rule_line(spark, 9, "updates", "update"), mine.uri, "rules")
+    topics.write_topic(change_line(spark, 2), mine.uri, S.TOPIC_BASE_DB)
+    done(mine.route("rules"))
+    files = len(list(tmp_path.glob("dims/ROUTING_RULES/*.parquet")))
+    topics.write_topic(change_line(spark, 3), mine.uri, S.TOPIC_BASE_DB)
+    query = done(mine.route("rules"))
+    assert sum(p["numInputRows"] for p in query.recentProgress) < 4 * 3  # the one change, however often the batch is read
+    assert all("topic=rules" not in s["description"] or s["numInputRows"] == 0 for p in query.recentProgress for s in p["sources"])
+    assert len(list(tmp_path.glob("dims/ROUTING_RULES/*.parquet"))) == files
+    topics.write_topic(change_line(spark, 4), mine.uri, S.TOPIC_BASE_DB)
+    done(job("two").route("rules"))  # a new checkpoint reads the topics anew
+    sent = sorted(r.value for r in spark.read.text(f"{uri}/topics/topic=first").collect())
+    assert sent == sorted(f'{{"id":"{i}"}}' for i in (1, 2, 3, 1, 2, 3, 4))
+    assert not list(tmp_path.glob("topics/topic=second"))

@@ -94,21 +94,48 @@ def payment_wide_project(joined: DataFrame) -> DataFrame:
     return joined.select(cols)
 
 
+def hot_ids(df: DataFrame, columns: list[str], share: float | None = None) -> dict[str, list]:
+    """The ids that hold more than ``share`` of the rows, by column: at most 1 / share of each.
+
+    By default half of an even shuffle partition. One aggregate over all columns; give it rows that are kept.
+    """
+    share = share or 0.5 / int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ids = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("id")) for c in columns])
+    counted = df.select(F.inline(ids)).groupBy("name", "id").agg(F.count(F.lit(1)).alias("n"))
+    out: dict[str, list] = {c: [] for c in columns}
+    for r in counted.filter(F.col("n") > df.count() * share).collect():
+        out[r.name].append(r.id)
+    return out
+
+
 def dim_lookup_join(
-    df: DataFrame, dim: DataFrame, id_col: str, fields: dict[str, str], dim_id: str = "id"
+    df: DataFrame, dim: DataFrame, id_col: str, fields: dict[str, str], dim_id: str = "id",
+    hot: dict[str, list] | None = None, salts: int = 32,
 ) -> DataFrame:
     """Copy dimension columns by id: ``fields`` maps dimension column to new column.
 
     Left join; a row without a match gets nulls. Dimension ids are text and
     unique. No hint is given: the planner broadcasts a dimension whose size is
     under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles, where
-    adaptive execution splits a hot id.
+    adaptive execution splits a hot id. Where it is off, as in the micro-batches
+    of stateful streams, ``hot`` (see ``hot_ids``) names the ids to split: their
+    rows are dealt out over ``salts`` numbers, and only their dimension rows are
+    copied as often. Rows without an id match nothing and are dealt out too.
     """
     side = dim.select(
         F.col(dim_id).cast("string").alias("_dim_id"), *[F.col(src).alias(dst) for src, dst in fields.items()]
     )
     bare = df.drop(*fields.values())
-    return bare.join(side, bare[id_col].cast("string") == side["_dim_id"], "left").drop("_dim_id")
+    same = bare[id_col].cast("string") == side["_dim_id"]
+    if not (hot and hot.get(id_col)):
+        return bare.join(side, same, "left").drop("_dim_id")
+    ids = [i for i in hot[id_col] if i is not None]
+    dealt = bare[id_col].isNull() | bare[id_col].cast("string").isin(ids)
+    salt = F.when(dealt, F.pmod(F.xxhash64(*bare.columns), F.lit(salts))).otherwise(0).cast("int")
+    copies = F.when(side["_dim_id"].isin(ids), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    left, right = bare.withColumn("_salt", salt), side.withColumn("_copy", F.explode(copies))
+    met = left.join(right, (left[id_col].cast("string") == right["_dim_id"]) & (left["_salt"] == right["_copy"]), "left")
+    return met.drop("_dim_id", "_salt", "_copy")
 
 
 #: The columns that the lookups below read of each dimension table.
@@ -117,6 +144,7 @@ PRODUCT_DIMS = {
     S.DIM_TRADEMARK: ["id", "tm_name"], S.DIM_CATEGORY3: ["id", "name"],
 }
 ORDER_DIMS = {**PRODUCT_DIMS, S.DIM_USER: ["id", "gender"], S.DIM_PROVINCE: ["id", "area_code", "iso_code", "iso_3166_2"]}
+ORDER_IDS = ["user_id", "sku_id", "province_id"]
 
 
 def product_dimension(dims: dict[str, DataFrame]) -> DataFrame:
@@ -127,27 +155,30 @@ def product_dimension(dims: dict[str, DataFrame]) -> DataFrame:
     return dim_lookup_join(out, dims[S.DIM_CATEGORY3], "category3_id", {"name": "category3_name"})
 
 
-def sku_lookups(df: DataFrame, dims: dict[str, DataFrame], fields: dict[str, str]) -> DataFrame:
+def sku_lookups(
+    df: DataFrame, dims: dict[str, DataFrame], fields: dict[str, str], hot: dict[str, list] | None = None
+) -> DataFrame:
     """Product columns by ``sku_id``, names included.
 
     The small tables are joined to the product table, so the facts are looked up, and at worst shuffled, once.
     """
     found = ["spu_id", "tm_id", "category3_id"]
     names = {c: c for c in [*found, "spu_name", "tm_name", "category3_name"]}
-    out = dim_lookup_join(df, product_dimension(dims), "sku_id", {**fields, **names})
+    out = dim_lookup_join(df, product_dimension(dims), "sku_id", {**fields, **names}, hot=hot)
     return out.withColumns({c: F.col(c).try_cast("bigint") for c in found})
 
 
-def order_wide_dims(df: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Order lines with user, product and province columns."""
-    out = dim_lookup_join(df, dims[S.DIM_USER], "user_id", {"gender": "user_gender"})
-    out = sku_lookups(out, dims, {})
+def order_wide_dims(df: DataFrame, dims: dict[str, DataFrame], hot: dict[str, list] | None = None) -> DataFrame:
+    """Order lines with user, product and province columns; ``hot`` as in ``dim_lookup_join``."""
+    out = dim_lookup_join(df, dims[S.DIM_USER], "user_id", {"gender": "user_gender"}, hot=hot)
+    out = sku_lookups(out, dims, {}, hot)
     return dim_lookup_join(
         out, dims[S.DIM_PROVINCE], "province_id",
         {
             "area_code": "province_area_code", "iso_code": "province_iso_code",
             "iso_3166_2": "province_3166_2_code",
         },
+        hot=hot,
     )
 
 

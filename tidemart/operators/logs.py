@@ -81,12 +81,13 @@ def parse_log(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def _entries(variant) -> Column:
-    return variant.cast("map<string,variant>")
+    """The fields of a JSON object; null for any other value."""
+    return F.try_variant_get(variant, "$", "map<string,variant>")
 
 
 def record_text() -> Column:
     """The line of a parsed log record, with ``common.is_new`` as the column has it and all else as it came."""
-    record = _entries(F.parse_json("raw"))
+    record = _entries(F.try_parse_json("raw"))
     fixed = F.transform_values(
         _entries(record["common"]), lambda k, v: F.when(k == "is_new", _text_variant(F.col("common.is_new"))).otherwise(v)
     )
@@ -100,21 +101,29 @@ def _text_variant(text: Column) -> Column:
 
 
 def display_texts() -> Column:
-    """Each display of a line as JSON of its own, everything it came with, plus the page's ``mid``, ``page_id`` and ``ts``."""
+    """Each display of a line as ``(readable, value)``: JSON of its own, everything it came with, plus the page's ``mid``,
+    ``page_id`` and ``ts``. A display that is no JSON object is not readable and stays as it came.
+    """
     origin = F.create_map(
         F.lit("mid"), _text_variant(F.col("common.mid")), F.lit("page_id"), _text_variant(F.col("page.page_id")),
         F.lit("ts"), F.parse_json(F.col("ts").cast("string")),
     )
     own = lambda d: F.map_filter(_entries(d), lambda k, _: ~k.isin("mid", "page_id", "ts"))
-    shown = F.try_variant_get(F.parse_json("raw"), "$.displays", "array<variant>")
-    return F.transform(F.coalesce(shown, F.array().cast("array<variant>")), lambda d: F.to_json(F.map_concat(own(d), origin)))
+    shown = F.try_variant_get(F.try_parse_json("raw"), "$.displays", "array<variant>")
+
+    def one(d: Column) -> Column:
+        whole = F.coalesce(F.schema_of_variant(d).startswith("OBJECT"), F.lit(False))
+        text = F.when(whole, F.to_json(F.map_concat(own(d), origin))).otherwise(F.coalesce(F.to_json(d), F.lit("null")))
+        return F.struct(whole.alias("readable"), text.alias("value"))
+
+    return F.transform(F.coalesce(shown, F.array().cast("array<variant>")), one)
 
 
 def log_topics(df: DataFrame, whole_record: bool = False) -> DataFrame:
     """The topics of a log as ``(topic, value)`` JSON rows, from one pass over it.
 
-    Of a log from ``parse_log`` records go on whole, and lines that are no JSON objects to a topic of their own, where
-    they can be counted. A log with the columns of ``schemas.LOG`` alone gives just these.
+    Of a log from ``parse_log`` records go on whole, and lines and displays that are no JSON objects to a topic of their
+    own, where they can be counted. A log with the columns of ``schemas.LOG`` alone gives just these.
     """
 
     def row(topic, value):
@@ -125,7 +134,12 @@ def log_topics(df: DataFrame, whole_record: bool = False) -> DataFrame:
 
     if "raw" in df.columns:
         start = page = record_text()
-        displays = F.transform(display_texts(), lambda d: row(S.TOPIC_DISPLAY, page if whole_record else d))
+
+        def display(d: Column) -> Column:
+            good = row(S.TOPIC_DISPLAY, page if whole_record else d["value"])
+            return F.when(d["readable"], good).otherwise(row(S.TOPIC_UNREADABLE, d["value"]))
+
+        displays = F.transform(display_texts(), display)
     else:
         columns = [c for c in df.columns if c != "start"]
         names = df.schema["displays"].dataType.elementType.names

@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def day_text(day: int) -> str:
+    """20240131 as 2024-01-31."""
+    text = str(day)
+    return f"{text[:4]}-{text[4:6]}-{text[6:]}"
+
+
 def on_day(stats: DataFrame, day: int) -> DataFrame:
     """Rows whose window starts on ``day``: a range on ``stt``, which reaches the scan.
 
     Stored statistics are partitioned by ``day``; there only that partition is read.
     """
-    text = str(day)
-    date = f"{text[:4]}-{text[4:6]}-{text[6:]}"
+    date = day_text(day)
     if "day" in stats.columns:
         stats = stats.filter(F.col("day") == date)
     return stats.filter(F.col("stt").between(f"{date} 00:00:00", f"{date} 23:59:59"))

@@ -128,7 +128,6 @@ VIEWS = {
         SELECT DISTINCT unnest(list_concat(regexp_extract_all(text, '\p{Han}+'),
                regexp_extract_all(regexp_replace(text, '\p{Han}+', ' ', 'g'), '[\p{L}\p{M}\p{N}]+'))) AS word
         FROM (SELECT translate(lower(text), '""" + f"{LATIN}', '{HAN}" + r"""') AS text FROM benchmark)""",
-    "han_dictionary": "SELECT word FROM han_words WHERE length(word) BETWEEN 2 AND 7",
     "han_tokens": r"""
         SELECT doc_id, unnest(regexp_extract_all(regexp_replace(text, '\p{Han}+', ' ', 'g'), '[\p{L}\p{M}\p{N}]+')) AS word
         FROM han_documents
@@ -137,8 +136,8 @@ VIEWS = {
           SELECT doc_id, substr(run, pos, n) AS word, pos + n - 1 <= length(run) AS inside
           FROM (SELECT doc_id, run, unnest(range(1, length(run) + 1)) AS pos
                 FROM (SELECT doc_id, unnest(regexp_extract_all(text, '\p{Han}+')) AS run FROM han_documents)),
-               range(1, 8) AS sizes(n)
-        ) WHERE inside AND (length(word) = 1 OR word IN (SELECT word FROM han_dictionary))""",
+               (SELECT DISTINCT unnest([1, length(word)]) AS n FROM han_words)
+        ) WHERE inside AND (length(word) = 1 OR word IN (SELECT word FROM han_words))""",
     "searches": """
         SELECT d.doc_id, w.word, 1704067200000 + d.doc_id * 1000 AS ts
         FROM documents d LEFT JOIN words w ON d.doc_id = w.doc_id""",
@@ -300,6 +299,16 @@ BODIES = {
         FROM fixed_log, (VALUES (0), (1), (2)) AS n(i) WHERE NOT is_start AND i < k % 4
         UNION ALL SELECT 'dwd_unreadable_log', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '{"cut":' || ts
         FROM base_log WHERE ts % 97 = 0""",
+    "log_topics_odd": """SELECT 'dwd_page_log' AS topic, mid, NULL AS shown_mid, NULL AS shown, CAST(ts AS VARCHAR) AS ts, NULL AS broken FROM page_log
+        UNION ALL SELECT 'dwd_display_log', NULL, mid, item, CAST(ts AS VARCHAR), NULL FROM page_log
+        UNION ALL SELECT 'dwd_unreadable_log', NULL, NULL, NULL, NULL, odd FROM page_log, (VALUES ('"a"'), ('7'), ('null'), ('[1]')) AS t(odd)""",
+    "unreadable_lines": """SELECT 'captured' AS topic, CAST(NULL AS VARCHAR) AS line, count(*) AS n FROM changes
+        UNION ALL SELECT 'rules', NULL, count(*) FROM supplier
+        UNION ALL SELECT 'dwd_order_info', NULL, count(*) FROM order_info
+        UNION ALL SELECT 'dwd_payment_info', NULL, count(*) FROM payment_info
+        UNION ALL SELECT topic, '{"cut":' || o_orderkey, 1 FROM orders, (VALUES ('captured'), ('dwd_order_info'), ('dwd_payment_info')) AS t(topic) WHERE o_orderkey % 97 = 0
+        UNION ALL SELECT 'rules', '{"cut":' || s_suppkey, 1 FROM supplier WHERE s_suppkey % 10 = 0""",
+    "new_checkpoint": f"{FLAT} page_log",
     "retried_batch": f"{FLAT} page_log",
     "display_enrich": "SELECT item, item_type, mid, page_id, ts FROM display_log",
     "display_whole_record": "SELECT p.mid, p.is_new, p.page_id, p.last_page_id, p.item, p.ts FROM page_log p JOIN display_log d ON p.mid = d.mid AND p.ts = d.ts",

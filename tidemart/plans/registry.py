@@ -12,6 +12,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemart import schemas as S
 from tidemart.functions import text, times, tokens
@@ -19,16 +20,17 @@ from tidemart.operators import facts, joins, logs, reports, routing, stats
 from tidemart.plans.layers import Layers
 from tidemart.session import shared_folder, use_settings
 from tidemart.sinks import dimensions, topics
-from tidemart.sinks.stats import read_stats, write_stats
+from tidemart.sinks.stats import compact_stats, read_stats, write_stats
 from tidemart.sources import changes as C
 from tidemart.sources import driver_tables as D
 from tidemart.sources import tables as TB
 from tidemart.sources.topics import read_topic, topic_path, topic_table
 from tidemart.streaming import runs, stateful
+from tidemart.streaming.jobs import CAPTURED, READERS
 
 HOUR_MS = 3_600_000
 HOURLY = {"width": "1 hour", "jump_ms": 6 * HOUR_MS}
-REPORT_DAY = 20240110
+REPORT_DAY, GMV_DAY, SEARCH_DAY = 20240110, 19980310, 20240101
 FAR_MS = 4_102_444_800_000  # 2100-01-01: a row that lets every window close
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,22 +152,54 @@ def _(spark, folder):
 
 @query("upsert_dim")
 def _(spark, folder):
+    """Two batches, the later changes first, with a compaction in between and a repeat after it."""
     root, columns = shared_folder(spark, "dims"), "id,user,status,note"
     made = routing.drop_deletes(Layers(spark, folder).changes())
     first = F.col("type") == "insert"
-    dimensions.upsert_dim(made.filter(first), root, "DIM_ORDER", columns, batch_id=0)
-    dimensions.upsert_dim(made.filter(~first), root, "DIM_ORDER", columns, batch_id=1)
-    dimensions.upsert_dim(made.filter(~first), root, "DIM_ORDER", columns, batch_id=1)  # a repeat changes nothing
+    dimensions.upsert_dim(made.filter(~first), root, "DIM_ORDER", columns)
+    dimensions.compact_dim(spark, root, "DIM_ORDER")
+    dimensions.upsert_dim(made.filter(first), root, "DIM_ORDER", columns)
+    dimensions.upsert_dim(made.filter(~first), root, "DIM_ORDER", columns)  # a repeat changes nothing
     return dimensions.read_dim(spark, root, "DIM_ORDER")
 
 
 @query("write_stats")
 def _(spark, folder):
+    """Batches of one writer, one of them retried, and one without a number; then every day is compacted."""
     path = shared_folder(spark, "stats")
-    counted = Layers(spark, folder, **HOURLY).visitor_stats()
-    write_stats(counted, path)
-    write_stats(counted, path)  # a retried batch replaces itself
-    return read_stats(spark, path).drop("day")
+    layers = Layers(spark, folder, **HOURLY)
+    counted = layers.stored(layers.visitor_stats(), "visitor_stats")
+    hour = F.substring("stt", 12, 2).cast("int") % 3
+    for batch in (0, 1, 1):
+        write_stats(counted.filter(hour == batch), path, batch, "job")
+    write_stats(counted.filter(hour == 2), path)
+    bounds = counted.agg(F.min("stt"), F.max("stt")).first()
+    for stt in filter(None, set(bounds)):
+        compact_stats(spark, path, stt[:10])
+    return read_stats(spark, path, counted.schema).drop("day")
+
+
+@query("new_checkpoint")
+def _(spark, folder):
+    """Quarters of the log under one topic: by two streams with checkpoints of their own, whose batches have the same
+    numbers, and by two calls without a number; a first attempt of each stream gets to a null topic only."""
+    uri = shared_folder(spark, "restarted")
+    pages = D.page_log(spark, folder)
+    for quarter in range(4):
+        records = text.to_value(pages.filter(F.pmod("ts", F.lit(4)) == quarter)).select(F.lit(S.TOPIC_PAGE).alias("topic"), "value")
+        if quarter < 2:
+            records.write.parquet(f"{uri}/in{quarter}")
+            stream = spark.readStream.schema(records.schema).parquet(f"{uri}/in{quarter}")
+
+            def write(rows: DataFrame, batch_id: int) -> None:
+                lost = rows.limit(1).withColumn("topic", F.lit(None).cast("string"))
+                for attempt in (lost, rows.unionAll(lost)):
+                    topics.write_topic_dynamic(attempt, f"{uri}/topics", batch_id, runs.writer_of(rows, "pages"))
+
+            finish(runs.run_batches(stream, write, f"{uri}/checkpoint{quarter}", runs.NOW))
+        else:
+            topics.write_topic_dynamic(records, f"{uri}/topics")
+    return flat_log(text.parse_json(read_topic(spark, f"{uri}/topics", S.TOPIC_PAGE, stream=False), S.LOG))
 
 
 # ---- projection, filter, routing ---------------------------------------
@@ -253,6 +287,36 @@ def _(spark, folder):
     return rows.select("topic", *found, broken)
 
 
+@query("log_topics_odd")
+def _(spark, folder):
+    """Displays that are no JSON objects: the record and its good display go on, the others where they can be counted."""
+    rows = logs.log_topics(logs.parse_log(D.odd_log(spark, folder)))
+    broken = F.when(F.col("topic") == S.TOPIC_UNREADABLE, F.col("value")).alias("broken")
+    found = {"mid": "common.mid", "shown_mid": "mid", "shown": "item", "ts": "ts"}
+    return rows.select("topic", *[F.get_json_object("value", f"$.{path}").alias(name) for name, path in found.items()], broken)
+
+
+@query("unreadable_lines")
+def _(spark, folder):
+    """Change, rule, order and payment records with lines among them that break off: what was read, and what was not."""
+    orders = D.table(spark, folder, "orders").select("o_orderkey").filter(F.col("o_orderkey") % 97 == 0)
+    suppliers = D.table(spark, folder, "supplier").select("s_suppkey").filter(F.col("s_suppkey") % 10 == 0)
+    inputs = {
+        "captured": (D.change_records(spark, folder), orders, CAPTURED), "rules": (D.rule_records(spark, folder), suppliers, CAPTURED),
+        S.TOPIC_ORDER_INFO: (text.to_value(D.order_info(spark, folder)), orders, READERS[S.TOPIC_ORDER_INFO]),
+        S.TOPIC_PAYMENT: (text.to_value(D.payment_info(spark, folder)), orders, READERS[S.TOPIC_PAYMENT]),
+    }
+    out = []
+    for topic, (records, keys, how) in inputs.items():
+        checked = text.checked_json(D.with_cut_lines(records, keys), how.schema, how.needs, how.flat)
+        read = text.readable_rows(checked).agg(F.count(F.lit(1)).alias("n"))
+        out.append(read.select(F.lit(topic).alias("topic"), F.lit(None).cast("string").alias("line"), "n"))
+        lost = text.unreadable_lines(checked, topic)
+        fields = [F.get_json_object("value", f"$.{c}").alias(c) for c in ("topic", "line")]
+        out.append(lost.select(*fields, F.lit(1).cast("bigint").alias("n")))
+    return facts.union_all(out)
+
+
 @query("retried_batch")
 def _(spark, folder):
     """A batch written twice, with a downstream stream run after each time: every record arrives once."""
@@ -487,17 +551,24 @@ def _(spark, folder):
     return times.window_bounds(pages.select("common.mid", "ts", F.window("rt", "10 seconds").alias("window")))
 
 
-STORED: dict[tuple[str, str, str], str] = {}
+STORED: dict[tuple, tuple[str, StructType]] = {}
+
+
+def input_state(spark: SparkSession, folder: str) -> int:
+    """A number that changes when a file of the input tables does: their names, sizes and times, not their contents."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.agg(F.sum(F.xxhash64("path", "length", "modificationTime") % 1_000_000_007)).first()[0]
 
 
-def stored_stats(spark: SparkSession, folder: str, name: str, count: Callable[[], DataFrame]) -> DataFrame:
-    """Statistics as the jobs leave them, by day; counted when the first report of the application asks for them."""
-    key = (spark.sparkContext.applicationId, folder, name)
+def stored_stats(spark: SparkSession, folder: str, name: str, day: int, count: Callable[[], DataFrame]) -> DataFrame:
+    """One day of statistics as the jobs leave them; counted when the first report asks for them, and anew when the input changes."""
+    key = (spark.sparkContext.applicationId, folder, name, input_state(spark, folder))
     if key not in STORED:
-        path = shared_folder(spark, name)
-        write_stats(count(), path)
-        STORED[key] = path
-    return read_stats(spark, STORED[key])
+        path, counted = shared_folder(spark, name), count()
+        write_stats(counted, path)
+        STORED[key] = (path, counted.schema)
+    path, schema = STORED[key]
+    return read_stats(spark, path, schema, reports.day_text(day))
 
 
 @query("daily_gmv")
@@ -505,17 +576,17 @@ def _(spark, folder):
     def count():
         return stats.product_stats(times.with_event_time(Layers(spark, folder).product_facts()), "1 hour")
 
-    return reports.daily_gmv(stored_stats(spark, folder, "product_stats", count), 19980310)
+    return reports.daily_gmv(stored_stats(spark, folder, "product_stats", GMV_DAY, count), GMV_DAY)
 
 
 @query("keyword_topn")
 def _(spark, folder):
-    return reports.keyword_topn(stored_stats(spark, folder, "keyword_stats", Layers(spark, folder).keyword_stats), 20240101)
+    return reports.keyword_topn(stored_stats(spark, folder, "keyword_stats", SEARCH_DAY, Layers(spark, folder).keyword_stats), SEARCH_DAY)
 
 
 @query("channel_topn")
 def _(spark, folder):
-    return reports.channel_topn(stored_stats(spark, folder, "visitor_stats", Layers(spark, folder).visitor_stats), REPORT_DAY)
+    return reports.channel_topn(stored_stats(spark, folder, "visitor_stats", REPORT_DAY, Layers(spark, folder).visitor_stats), REPORT_DAY)
 
 
 # ---- remembering devices ------------------------------------------------
@@ -745,7 +816,7 @@ def _(spark, folder):
 
 def dictionary_counts(docs: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Words of whole texts, counted before the dictionary sees them: one row per word."""
-    words = tokens.candidate_words(docs, "text", tokens.longest_word(dictionary))
+    words = tokens.candidate_words(docs, "text", tokens.Prefixes(dictionary))
     per_text = words.groupBy("doc_id", "_han", "word").agg(F.count(F.lit(1)).alias("n"))
     counted = per_text.groupBy("_han", "word").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs"))
     return tokens.in_dictionary(counted, dictionary)
@@ -764,4 +835,4 @@ def _(spark, folder):
     """The same with each Latin letter written as a Han character, so that nearly all words are Han runs."""
     docs = D.han_texts(D.table(spark, folder, "documents").select("doc_id", "text"))
     words = tokens.split_words(D.han_texts(D.table(spark, folder, "benchmark").select("text")), "text")
-    return dictionary_counts(docs, words.filter(F.length("word").between(2, 7)).distinct())
+    return dictionary_counts(docs, words.distinct())

@@ -46,6 +46,8 @@ DIM_PROVINCE = "DIM_BASE_PROVINCE"
 
 #: Lines of the log that are no JSON objects; the original has no such topic.
 TOPIC_UNREADABLE = "dwd_unreadable_log"
+#: Lines of any other topic that no job can read, with the topic's name.
+TOPIC_UNREADABLE_LINES = "unreadable_lines"
 
 
 def _strings(names):
@@ -81,6 +83,7 @@ def log_schema(
 
 LOG = log_schema()
 
+# ---- fixed values: the shapes of the records ------------------------------
 _ENTRIES = T.MapType(T.StringType(), T.StringType())
 
 CHANGE_IN = T.StructType(
@@ -194,3 +197,4 @@ VISITOR_STATS = _shape(
 KEYWORD_STATS = _shape(
     "keyword STRING, ct BIGINT, source STRING, stt STRING, edt STRING, ts BIGINT"
 )
+# --------------------------------------------------------------------------

@@ -2,25 +2,105 @@
 
 from __future__ import annotations
 
+import re
+import time
+from uuid import uuid4
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+CLOSED = re.compile(r"/closed=([^/]+)/")
 
 
-def write_stats(df: DataFrame, path: str, batch_id: int = 0, files: int = 8) -> None:
-    """Write a batch of statistics by day of ``stt``, at most ``files`` files a day; a retried batch replaces itself.
+def write_stats(df: DataFrame, path: str, batch_id: int | None = None, writer: str | None = None) -> None:
+    """Add a batch of statistics by day of ``stt``; a writer's retried batch replaces itself.
 
-    Statistics are read as tables, never as streams, so replacing them makes no duplicates.
+    A batch without a number and a writer is one of its own. Files follow the size of a day: a small day gets one file,
+    and a large one is split by adaptive execution. Micro-batches of stateful streams run without it and give one a day.
     """
-    placed = df.withColumn("day", F.substring("stt", 1, 10)).withColumn("batch_id", F.lit(batch_id))
+    if (batch_id is None) != (writer is None):
+        raise ValueError("a batch number and its writer go together")
+    placed = df.withColumns({
+        "day": F.substring("stt", 1, 10), "writer": F.lit(writer or f"batch-{uuid4().hex}"), "batch_id": F.lit(batch_id or 0).cast("bigint"),
+    })
     (
-        placed.repartition("day", F.pmod(F.xxhash64(*df.columns), F.lit(files))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "batch_id").parquet(path)
+        placed.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "writer", "batch_id").parquet(f"{path}/batches")
     )
 
 
-def read_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Stored statistics, with the partition column ``day`` as text."""
-    return spark.read.parquet(path).drop("batch_id").withColumn("day", F.col("day").cast("string"))
+def _stored(spark: SparkSession, path: str, schema: T.StructType | None, names: str, day: str | None) -> DataFrame | None:
+    """The files of one day or of all, ``names`` being the partitions; None if there are none."""
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, *T.StructType.fromDDL(f"day STRING, {names}").fields]))
+    try:
+        rows = reader.parquet(path if day is None else f"{path}/day={day}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return rows.withColumns({"day": F.col("day").cast("string"), "writer": F.col("writer").cast("string"), "batch_id": F.col("batch_id").cast("bigint")})
+
+
+def _closed(rows: DataFrame | None) -> DataFrame | None:
+    """The newest compacted rows of every day."""
+    if rows is None:
+        return None
+    newest: dict[str, str] = {}
+    for f in rows.inputFiles():
+        day, stamp = re.search(r"/day=([^/]+)/", f).group(1), CLOSED.search(f).group(1)
+        newest[day] = max(stamp, newest.get(day, ""))
+    return rows.filter(F.concat_ws("/", "day", "closed").isin([f"{d}/{s}" for d, s in newest.items()])).drop("closed")
+
+
+def _batches_and_closed(spark: SparkSession, path: str, schema: T.StructType | None, day: str | None) -> DataFrame | None:
+    """Every batch once: compacted, or as it was written if no compaction has it."""
+    batches = _stored(spark, f"{path}/batches", schema, "writer STRING, batch_id BIGINT", day)
+    own = None if schema is None else T.StructType([*schema.fields, *T.StructType.fromDDL("writer STRING, batch_id BIGINT").fields])
+    closed = _closed(_stored(spark, f"{path}/compacted", own, "closed STRING", day))
+    if batches is None or closed is None:
+        return batches if closed is None else closed
+    parts = ["day", "writer", "batch_id"]
+    done = closed.select(*parts).distinct()
+    if day is None:
+        batches = batches.join(done, parts, "left_anti")
+    else:  # a row per batch of one day; the scan leaves their folders out
+        listed = [f"{r.writer}/{r.batch_id}" for r in done.collect()]
+        batches = batches.filter(~F.concat_ws("/", "writer", F.col("batch_id").cast("string")).isin(listed))
+    return batches.unionByName(closed)
+
+
+def read_stats(spark: SparkSession, path: str, schema: T.StructType | None = None, day: str | None = None) -> DataFrame:
+    """Stored statistics, with their ``day`` as text; of one ``day`` (2024-01-31) only its folder is looked at.
+
+    With the ``schema`` of what was written, no file is opened for it, and a day without statistics is empty.
+    """
+    rows = _batches_and_closed(spark, path, schema, day)
+    if rows is None:
+        if schema is None:
+            raise ValueError(f"no statistics under {path}")
+        return spark.createDataFrame([], schema).withColumn("day", F.lit(None).cast("string"))
+    return rows.drop("writer", "batch_id")
+
+
+def compact_stats(spark: SparkSession, path: str, day: str) -> None:
+    """Put the batches of a day into as few files as their size needs, beside the old ones.
+
+    Rows keep the batch they came with, so a reader takes each batch once, and one that comes later is still seen.
+    Nothing is replaced or removed: running readers are not disturbed, and storage rules may remove by age the batches
+    of compacted days.
+    """
+    rows = _batches_and_closed(spark, path, None, day)
+    if rows is not None:
+        stamp = f"{time.time_ns() // 1_000_000:014d}-{uuid4().hex[:12]}"
+        placed = rows.withColumn("closed", F.lit(stamp)).hint("rebalance", "day", "closed")
+        (
+            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("day", "closed").parquet(f"{path}/compacted")
+        )
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, columns: list[str] | None = None, batch_size: int = 5_000, **options) -> None:

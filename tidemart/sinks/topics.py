@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,33 +33,39 @@ def topic_rows(routed: DataFrame) -> DataFrame:
     return routed.select(F.col("sink_table").alias("topic"), F.to_json("after").alias("value"))
 
 
-def published(spark: SparkSession, uri: str, writer: str, batch_id: int) -> list[str]:
-    """The topics that hold a batch of a writer already: at most one name per topic."""
+def published(spark: SparkSession, uri: str, writer: str, batch_id: int) -> DataFrame | None:
+    """The topics that hold a batch of a writer already: at most one row per topic."""
     batch = f"{uri.rstrip('/')}/topic=*/writer={writer}/batch_id={batch_id}"
-    files = spark.read.format("binaryFile").option("basePath", uri.rstrip("/"))
+    # the stated type keeps names such as 007; no text is read
+    files = spark.read.schema("value STRING, topic STRING, writer STRING, batch_id BIGINT").option("basePath", uri.rstrip("/"))
     try:
-        return [r.topic for r in files.load(batch).select(F.col("topic").cast("string")).distinct().collect()]
+        return files.text(batch).select(F.col("topic").alias("_done")).distinct()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return []
+        return None
 
 
-def write_topic_dynamic(rows: DataFrame, uri: str, batch_id: int = 0, writer: str = "batch", files: int = 8) -> None:
+def write_topic_dynamic(rows: DataFrame, uri: str, batch_id: int | None = None, writer: str | None = None, files: int = 8) -> None:
     """Write ``(topic, value)`` rows to the topic each row names.
 
     In folders a batch owns ``topic=…/writer=…/batch_id=…``. What was published is never touched again: a reader may
-    have taken its files, and would take new ones for new records. So a retried batch, which has the same rows, only
-    writes the topics that its first attempt did not get to; a topic's folder appears at once, with all its files.
+    have taken its files, and would take new ones for new records. So a writer's retried batch, which has the same rows,
+    only writes the topics that its first attempt did not get to; a topic's folder appears at once, with all its files.
+    The writer of a stream holds the query's id (see ``streaming.runs.writer_of``), which its checkpoint keeps: numbers
+    that start again with a new checkpoint are another writer's. A call without writer and number is a batch of its own.
     A topic gets at most ``files`` files per batch, dealt out by a hash of the record, with or without adaptive
     execution (stateful streams run without).
     """
+    if (batch_id is None) != (writer is None):
+        raise ValueError("a batch number and its writer go together")
     if uri.startswith(BROKER):
         rows.write.format("kafka").option("kafka.bootstrap.servers", uri[len(BROKER):]).save()
         return
-    done = published(rows.sparkSession, uri, writer, batch_id)
-    new = rows.filter(~F.col("topic").isin(done)) if done else rows
-    placed = new.select("topic", F.lit(writer).alias("writer"), F.lit(batch_id).alias("batch_id"), "value")
+    done = published(rows.sparkSession, uri, writer, batch_id) if writer else None
+    # folders keep a null name and an empty one as the same
+    new = rows if done is None else rows.join(done, F.nullif("topic", F.lit("")).eqNullSafe(F.col("_done")), "left_anti")
+    placed = new.select("topic", F.lit(writer or f"batch-{uuid4().hex}").alias("writer"), F.lit(batch_id or 0).alias("batch_id"), "value")
     (
         placed.repartition("topic", F.pmod(F.xxhash64("value"), F.lit(files))).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy("topic", "writer", "batch_id").text(uri.rstrip("/"))

@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemart import schemas as S
-from tidemart.functions.text import parse_json
+from tidemart.functions.text import checked_json, readable_rows
 from tidemart.operators.routing import drop_deletes
 
 
 def cdc_normalize(records: DataFrame) -> DataFrame:
-    """Change JSON in ``value`` to the shape ``schemas.CHANGE``; unknown operations stay."""
-    parsed = parse_json(records, S.CHANGE_IN)
+    """Change JSON in ``value`` to the shape ``schemas.CHANGE``; unknown operations stay, unreadable lines go.
+
+    ``checked_json(records, S.CHANGE_IN)`` tells which lines these are.
+    """
+    parsed = readable_rows(checked_json(records, S.CHANGE_IN))
     kind = F.col("op")
     for op, name in S.CHANGE_TYPES.items():
         kind = F.when(F.col("op") == op, name).otherwise(kind)

@@ -119,6 +119,22 @@ def raw_log(spark: SparkSession, folder: str) -> DataFrame:
     return log.select(F.when(F.col("ts") % 97 == 0, F.concat(F.lit('{"cut":'), _text("ts"))).otherwise(line).alias("value"))
 
 
+def odd_log(spark: SparkSession, folder: str) -> DataFrame:
+    """Page lines whose displays are, besides one good one, a text, a number, a null and an array."""
+    pages = page_log(spark, folder)
+    shown = F.concat(F.lit('["a",7,null,{"item":"'), F.col("page.item"), F.lit('"},[1]]'))
+    line = _json(
+        common=F.to_json("common"), page=F.to_json("page"), displays=shown, ts=_text("ts"),
+    )
+    return pages.select(line.alias("value"))
+
+
+def with_cut_lines(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """JSON lines, and among them a line that breaks off for every key."""
+    cut = keys.toDF("_key").select(F.concat(F.lit('{"cut":'), _text("_key")).alias("value"))
+    return rows.select("value").unionAll(cut)
+
+
 def page_log(spark: SparkSession, folder: str) -> DataFrame:
     return base_log(spark, folder).filter(F.col("start").isNull()).drop("start")
 

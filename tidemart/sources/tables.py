@@ -41,9 +41,16 @@ def scan_jdbc_dim_sql(table: DataFrame, name: str = "dim_base_province") -> Data
     return dim
 
 
-def parse_csv_event(records: DataFrame, value: str = "value") -> DataFrame:
-    """``key,epoch_ms`` text to ``key``, ``n`` = 1 and ``ts``."""
+def checked_csv_event(records: DataFrame, value: str = "value") -> DataFrame:
+    """Like ``parse_csv_event``, plus ``raw``, the text itself, and ``readable``: it has a time."""
+    raw = records.select("*", F.col(value).alias("raw"))
+    rows = parse_csv_event(raw, value, "raw")
+    return rows.withColumn("readable", F.col("ts").isNotNull())
+
+
+def parse_csv_event(records: DataFrame, value: str = "value", *keep: str) -> DataFrame:
+    """``key,epoch_ms`` text to ``key``, ``n`` = 1 and ``ts``; a text without a time has a null ``ts``."""
     parts = F.split(F.col(value), ",")
     return records.select(
-        parts[0].alias("key"), F.lit(1).cast("bigint").alias("n"), F.try_element_at(parts, F.lit(2)).try_cast("bigint").alias("ts")
+        parts[0].alias("key"), F.lit(1).cast("bigint").alias("n"), F.try_element_at(parts, F.lit(2)).try_cast("bigint").alias("ts"), *keep
     )

@@ -98,26 +98,54 @@ def user_jump_stream(
 ) -> DataFrame:
     """Entry pages that led nowhere (see ``operators.logs.user_jump``).
 
-    A device's rows are gathered in windows that slide by ``slot_ms`` and are ``within_ms`` longer: a row is decided in
-    the window whose first ``slot_ms`` holds it, which sees all that can follow in time. The answer comes when the
-    watermark has passed the window, up to ``slot_ms + within_ms`` after the row. A short slot, the default, keeps both
-    that delay and the rows of a busy device in one group small; it may not be shorter than ``within_ms``.
+    Two aggregations follow each other. The first gathers a device's rows over a short step, an even part of
+    ``within_ms``, and decides all but the last of them; of the step only its first and last row are kept. The second
+    puts a device's steps beside each other in windows that slide by ``slot_ms`` and are ``within_ms`` longer: the last row of a step is
+    decided in the window whose first ``slot_ms`` holds it, which sees all that can follow in time. So a group holds the
+    rows of one device and step, or a few steps' ends; what was decided inside a step passes the second aggregation as a
+    group of its own. The answer comes when the watermark has passed the window, up to ``slot_ms + within_ms`` after the
+    row. A short slot, the default, keeps that delay small; it may not be shorter than ``within_ms``.
     """
-    slot_ms = max(slot_ms or within_ms, within_ms)
+    step_ms = within_ms // next(n for n in (8, 7, 6, 5, 4, 3, 2, 1) if within_ms % n == 0)
+    slot_ms = -(-max(slot_ms or within_ms, within_ms) // step_ms) * step_ms
     rows = with_event_time(df, "ts", delay).select(
         F.col("common.mid").alias("mid"), "ts", "rt", is_entry().alias("entry"),
         F.xxhash64(*df.columns).alias("tie"), F.when(is_entry(), F.struct(*df.columns)).alias("record"),
     )
+    gathered = rows.groupBy(F.window("rt", f"{step_ms} milliseconds").alias("step"), "mid").agg(
+        F.array_sort(F.collect_list(F.struct("ts", "tie", "entry", "record"))).alias("rows")
+    )
+    record = rows.schema["record"].dataType
+    jump_type = f"struct<record:{record.simpleString()},kind:string>"
+
+    def inside(row, i):
+        """Rows of a step lie less than ``within_ms`` apart, so the next row alone decides."""
+        after = F.get("rows", i + 1)
+        return F.when(row["entry"] & after["entry"], F.struct(row["record"].alias("record"), F.lit("matched").alias("kind")))
+
+    jumps = F.filter(F.transform("rows", inside), lambda j: j.isNotNull())
+    first, last = F.get("rows", F.lit(0)), F.element_at("rows", -1)
+    ends = F.struct(
+        last["ts"].alias("ts"), last["entry"].alias("entry"), last["record"].alias("record"), first["ts"].alias("first_ts"), first["entry"].alias("first_entry")
+    )
+    start = F.unix_millis(F.col("step.start"))
+    parts = gathered.select("mid", F.window_time("step").alias("rt"), start.alias("start"), ends.alias("ends"), jumps.cast(f"array<{jump_type}>").alias("jumps"))
+    # a row for the step's ends, and one of another group for its jumps
+    parts = parts.withColumn("own", F.explode(F.when(F.size("jumps") > 0, F.array(F.lit(None), "start")).otherwise(F.array(F.lit(None).cast("long")))))
     span = F.window("rt", f"{slot_ms + within_ms} milliseconds", f"{slot_ms} milliseconds")
-    gathered = rows.groupBy(span, "mid").agg(F.array_sort(F.collect_list(F.struct("ts", "tie", "entry", "record"))).alias("rows"))
+    met = parts.groupBy(span, "mid", "own").agg(
+        F.array_sort(F.collect_list(F.when(F.col("own").isNull(), F.col("ends")))).alias("ends"),
+        F.flatten(F.collect_list(F.when(F.col("own").isNotNull(), F.col("jumps")))).alias("jumps"),
+    )
     end = F.unix_millis(F.col("window.start")) + slot_ms
 
     def decided(row, i):
-        after = F.get("rows", i + 1)
-        in_time = F.coalesce(after["ts"] - row["ts"] < within_ms, F.lit(False))
-        jump = row["entry"] & (row["ts"] < end) & (~in_time | after["entry"])
-        return F.struct(jump.alias("jump"), F.when(in_time, "matched").otherwise("timeout").alias("kind"), row["record"].alias("record"))
-
-    jumps = gathered.select(F.inline(F.filter(F.transform("rows", decided), lambda r: r["jump"])))
-    out = jumps.select("kind", "record.*")
+        after = F.get("ends", i + 1)
+        in_time = F.coalesce(after["first_ts"] - row["ts"] < within_ms, F.lit(False))
+        jump = row["entry"] & (row["ts"] < end) & (~in_time | after["first_entry"])
+        return F.when(jump, F.struct(row["record"].alias("record"), F.when(in_time, "matched").otherwise("timeout").alias("kind")))
+
+    last_jumps = F.filter(F.transform("ends", decided), lambda j: j.isNotNull()).cast(f"array<{jump_type}>")
+    all_jumps = F.when(F.col("own").isNull(), last_jumps).when(F.col("own") < end, F.col("jumps"))
+    out = met.select(F.inline(all_jumps)).select("kind", "record.*")
     return out if kind else out.drop("kind")

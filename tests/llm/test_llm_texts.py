@@ -180,13 +180,22 @@ def test_suffix_array():
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
-def entropy_spans(text, kind, allow):
+WORDS_AND_IDS = (
+    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[A-Z]?[a-z]+([-_/+]+[A-Z]?[a-z]+)*", r"[A-Z]+([-_/+]+[A-Z]+)*",
+    r"[0-9]+([-_/+]+[0-9]+)*", r"(sha1|sha256|sha384|sha512|md5)-.*",
+)
+
+
+def entropy_spans(text, kind):
     for m in re.finditer(f"[{kind.chars}]{{{kind.window},}}", text):
         run = m.group()
-        if any(re.fullmatch(a, run) for a in allow):
+        if any(re.fullmatch(a, run) for a in WORDS_AND_IDS):
             continue
         best = 0.0
+        listed = [x.span() for x in re.finditer("abcdefghij|ABCDEFGHIJ|0123456789|EXAMPLE", run)]
         for i in range(len(run) - kind.window + 1):
+            if any(i < b and a < i + kind.window for a, b in listed):
+                continue
             counts = Counter(run[i : i + kind.window]).values()
             best = max(best, -sum(c / kind.window * math.log2(c / kind.window) for c in counts))
         if best >= kind.bits - 1e-6:
@@ -198,7 +207,7 @@ def secrets_of(text):
     base = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 6]
     base += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 20]
     base += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 24]
-    more = [(a, 3 + i, b) for i, kind in enumerate(secrets.CLASSES) for a, b in entropy_spans(text, kind, secrets.ALLOW)]
+    more = [(a, 3 + i, b) for i, kind in enumerate(secrets.CLASSES) for a, b in entropy_spans(text, kind)]
     join = lambda spans: ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
     return (*(sum(s[1] == k for s in base) for k in range(3)), hashlib.sha256(join(base).encode()).hexdigest(), join(base + more))
 
@@ -218,6 +227,35 @@ def test_secrets(spark, small):
     assert any("random_base64" in x["spans"] for x in out) and any("random_hex" in x["spans"] for x in out)
 
 
+def test_secrets_of_every_alphabet():
+    """Random tokens are caught with their alphabet's share, names and paths are not."""
+    r = random.Random(3)
+    for name, chars in (
+        ("random_base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), ("random_hex", "0123456789abcdef"),
+        ("random_alnum", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"),
+    ):
+        kind = next(k for k in secrets.CLASSES if k.name == name)
+        hits = sum(bool(list(entropy_spans("".join(r.choice(chars) for _ in range(24)), kind))) for _ in range(1000))
+        assert hits > 975
+    for text in ("internationalization_of_responsibilities", "src/main/java/org/example/Application", "A_VERY_LONG_CONSTANT_NAME_INDEED"):
+        assert not any(list(entropy_spans(text, kind)) for kind in secrets.CLASSES)
+
+
+def test_secrets_in_very_long_runs(spark):
+    """Runs of megabytes end without error; a key beside a documented example is found."""
+    key = "q8Rz1LmT0vKp7Yw3Hs5Nd2Bf6Gj4Xc9"
+    texts = [
+        "ab-" * 1_000_000 + "ab", "1/" * 1_000_000 + "1", "AB_" * 300_000 + "AB", "Ab+" * 300_000 + "Ab", "x" * 10_000_000, "é" * 100_000 + key,
+        "ab-" * 5000 + key, "EXAMPLE" + key, "EXAMPLE" + key[:20] + "EXAMPLE", key + "0123456789", "a" * 3000 + key + "a" * 3000,
+    ]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    spans = {r["doc_id"]: {secrets.KINDS[s["rank"]] for s in r["secret_spans"]} for r in secrets.scan(docs).collect()}
+    assert not any(spans[i] for i in (0, 1, 2, 3, 4, 8))
+    assert all("random_base64" in spans[i] for i in (5, 6, 7, 9, 10)) and all("random_alnum" in spans[i] for i in (5, 7, 9, 10))
+    masked = {r["doc_id"]: r["text"] for r in secrets.redact(docs).collect()}
+    assert masked[0] == texts[0] and masked[7] == "[SECRET]" and masked[8] == texts[8]
+
+
 def test_secrets_plan_is_native(spark):
     plan = secrets.scan(documents(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

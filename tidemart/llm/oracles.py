@@ -110,20 +110,31 @@ def found_sql(rank: int, pattern: str, group: int) -> str:
              string_split_regex(t, {quoted(pattern)}) AS gaps FROM d)))"""
 
 
+def allowed_sql(run: str) -> str:
+    """Whether a run has one of the shapes of the allow-list."""
+    shapes = []
+    for shape in secrets.ALLOW.shapes:
+        has = [f"regexp_matches({run}, {quoted(p)})" for p in shape.has]
+        lacks = [f"NOT regexp_matches({run}, {quoted(p)})" for p in shape.lacks]
+        shapes.append("(" + " AND ".join(has + lacks) + ")")
+    return " OR ".join(shapes)
+
+
 def random_sql(rank: int, kind: secrets.RunClass) -> str:
-    """Runs of a class of which some window has the entropy."""
+    """Runs of a class of which some window has the entropy and overlaps no listed part."""
     table = ", ".join(str(secrets.plogp(c)) for c in range(1, kind.window + 1))
     most = secrets.plogp(kind.window) - round(kind.bits * kind.window * secrets.SCALE)
-    allow = "|".join(f"(?:{a})" for a in secrets.ALLOW)
     return f"""
   SELECT doc_id, rank, start, stop FROM (
-    SELECT doc_id, rank, start, stop, w, CAST(sum([{table}][c]) AS BIGINT) AS total FROM (
-      SELECT doc_id, rank, start, stop, w, char, count(*) AS c FROM (
-        SELECT *, unnest(string_split(substr(found, w, {kind.window}), '')) AS char FROM (
-          SELECT *, unnest(range(1, length(found) - {kind.window} + 2)) AS w FROM ({found_sql(rank, f"[{kind.chars}]{{{kind.window},}}", 0)})
-          WHERE NOT regexp_full_match(found, {quoted(allow)})))
-      GROUP BY doc_id, rank, start, stop, w, char)
-    GROUP BY doc_id, rank, start, stop, w)
+    SELECT doc_id, rank, start, stop, r, w, CAST(sum([{table}][c]) AS BIGINT) AS total FROM (
+      SELECT doc_id, rank, start, stop, r, w, char, count(*) AS c FROM (
+        SELECT *, unnest(string_split(substr(rests[r], w, {kind.window}), '')) AS char FROM (
+          SELECT *, unnest(range(1, length(rests[r]) - {kind.window} + 2)) AS w FROM (
+            SELECT *, unnest(range(1, len(rests) + 1)) AS r FROM (
+              SELECT *, string_split_regex(found, {quoted(secrets.ALLOW.parts)}) AS rests
+              FROM ({found_sql(rank, f"[{kind.chars}]{{{kind.window},}}", 0)}) WHERE NOT ({allowed_sql("found")})))))
+      GROUP BY doc_id, rank, start, stop, r, w, char)
+    GROUP BY doc_id, rank, start, stop, r, w)
   GROUP BY doc_id, rank, start, stop HAVING min(total) <= {most}"""
 
 

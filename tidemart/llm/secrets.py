@@ -14,16 +14,38 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 ASSIGN_LEAST = 6
 
-#: Runs that are not secrets, whatever their entropy: universally unique ids, words joined by signs, the alphabet and
-#: digits in order, documented example keys, and digests named as such by a prefix that is part of the run.
-ALLOW = (
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"[A-Z]?[a-z]+([-_/+]+[A-Z]?[a-z]+)*",
-    r"[A-Z]+([-_/+]+[A-Z]+)*",
-    r"[0-9]+([-_/+]+[0-9]+)*",
-    r".*(abcdefghij|ABCDEFGHIJ|0123456789).*",
-    r".*EXAMPLE.*",
-    r"(sha1|sha256|sha384|sha512|md5)-.*",
+@dataclass(frozen=True)
+class Shape:
+    """A shape of runs: those that match all of ``has`` and none of ``lacks``.
+
+    No pattern repeats a group without a bound: Java's matcher goes one level deeper for every such repetition, and long
+    runs would overflow the stack.
+    """
+
+    has: tuple[str, ...]
+    lacks: tuple[str, ...] = ()
+
+
+@dataclass(frozen=True)
+class Allow:
+    """What is not a secret, whatever its entropy: runs that have one of the ``shapes``, and in other runs the windows that
+    overlap a match of ``parts``."""
+
+    shapes: tuple[Shape, ...] = ()
+    parts: str = ""
+
+
+#: Universally unique ids, words joined by signs, digests named as such by a prefix that is part of the run; the alphabet
+#: and digits in order, documented example keys.
+ALLOW = Allow(
+    (
+        Shape(("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",)),
+        Shape(("^[A-Za-z][A-Za-z_/+-]*$", "[a-z]$"), ("[A-Za-z][A-Z]", "[A-Z]([^a-z]|$)")),
+        Shape(("^[A-Z][A-Z_/+-]*$", "[A-Z]$")),
+        Shape(("^[0-9][0-9_/+-]*$", "[0-9]$")),
+        Shape(("^(sha1|sha256|sha384|sha512|md5)-",)),
+    ),
+    "abcdefghij|ABCDEFGHIJ|0123456789|EXAMPLE",
 )
 
 SCALE, PIECE = 1 << 20, 1024
@@ -39,7 +61,11 @@ class RunClass:
     bits: float
 
 
-CLASSES = (RunClass("random_hex", "0-9A-Fa-f", 24, 3.0), RunClass("random_base64", "A-Za-z0-9+/_-", 24, 4.1))
+#: Windows of as many random characters of the class lie under ``bits`` in about one of a hundred cases.
+CLASSES = (
+    RunClass("random_hex", "0-9A-Fa-f", 24, 3.0), RunClass("random_base64", "A-Za-z0-9+/_-", 24, 3.9),
+    RunClass("random_base32", "A-Z2-7", 24, 3.5), RunClass("random_alnum", "A-Za-z0-9", 24, 3.85),
+)
 KINDS = ("assign", "access", "hex", *(c.name for c in CLASSES))
 SPAN = "array<struct<start:long,rank:int,end:long>>"
 
@@ -94,23 +120,52 @@ def lowest(run: Column, window: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(run)), start, step, lambda done: done["least"])
 
 
-def random_run(kind: RunClass, allow: tuple[str, ...]):
-    """The test that a run holds a window of high entropy and is not on the allow-list.
+def allowed(run: Column, shapes: tuple[Shape, ...]) -> Column:
+    """Whether a run has one of the shapes."""
+    out = F.lit(False)
+    for shape in shapes:
+        one = F.lit(True)
+        for pattern in shape.has:
+            one = one & run.rlike(pattern)
+        for pattern in shape.lacks:
+            one = one & ~run.rlike(pattern)
+        out = out | one
+    return out
+
+
+def overlapping(texts: Column, window: int) -> Column:
+    """Texts cut into pieces that overlap by a window less one, so that every window is in one piece."""
+
+    def cut(text: Column) -> Column:
+        # an array of one, so that the pieces are cut once and can be looked up by place
+        pieces = F.array(F.regexp_extract_all(text, F.lit(f".{{1,{PIECE}}}"), F.lit(0)))
+
+        def each(all_: Column) -> Column:
+            after = lambda i: F.coalesce(F.substring(F.get(all_, i + 1), 1, window - 1), F.lit(""))
+            return F.transform(all_, lambda piece, i: F.concat(piece, after(i)))
+
+        return F.flatten(F.transform(pieces, each))
+
+    return F.flatten(F.transform(texts, cut))
+
+
+def random_run(kind: RunClass, allow: Allow):
+    """The test that a run holds a window of high entropy that no allow-list entry silences.
 
-    Long runs are cut into pieces that overlap by a window less one, so that every window is in one piece.
+    What lies between the matches of the list's parts holds just the windows that overlap none.
     """
     most = plogp(kind.window) - round(kind.bits * kind.window * SCALE)
 
     def good(run: Column, _: Column) -> Column:
-        last = F.floor((F.length(run) - kind.window) / F.lit(PIECE)).cast("int")
-        pieces = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(run, k * PIECE + 1, F.lit(PIECE + kind.window - 1)))
-        listed = run.rlike("^(?:" + "|".join(f"(?:{a})" for a in allow) + ")$") if allow else F.lit(False)
-        return F.when(listed, False).otherwise(F.exists(pieces, lambda piece: lowest(piece, kind.window) <= most))
+        rest = F.split(run, allow.parts, -1) if allow.parts else F.array(run)
+        pieces = overlapping(F.filter(rest, lambda x: F.length(x) >= kind.window), kind.window)
+        high = F.exists(pieces, lambda piece: (F.length(piece) >= kind.window) & (lowest(piece, kind.window) <= most))
+        return F.when(allowed(run, allow.shapes), False).otherwise(high)
 
     return good
 
 
-def find(text: Column, classes: tuple[RunClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW) -> Column:
+def find(text: Column, classes: tuple[RunClass, ...] = CLASSES, allow: Allow = ALLOW) -> Column:
     """All spans of a text as an array of (start, rank of the kind, end), by start, then kind."""
     clean = F.coalesce(text, F.lit(""))
     spans = [
@@ -130,10 +185,11 @@ def digest(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
     return F.array_join(texts, ",")
 
 
-def scan(docs: DataFrame, text: str = "text", classes: tuple[RunClass, ...] = CLASSES, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def scan(docs: DataFrame, text: str = "text", classes: tuple[RunClass, ...] = CLASSES, allow: Allow = ALLOW) -> DataFrame:
     """Add ``secret_spans`` (start, rank in KINDS, end; code points, end exclusive) to every row.
 
-    The base kinds are reported as they match; the allow-list only silences the entropy kinds. A null or empty text has
+    The base kinds are reported as they match; the allow-list only silences the entropy kinds. Runs of any length are
+    scanned whole. A null or empty text has
     no spans. Repeated rows are scanned one by one, an empty table gives an empty result, and a column already named
     ``secret_spans`` is replaced.
     """

@@ -16,8 +16,8 @@ def good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest doc_id."""
-    return simhash.keep_one_near(docs)
+    """One document of each group whose fingerprints differ in few bits, the one with the smallest doc_id."""
+    return simhash.keep_one(docs)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

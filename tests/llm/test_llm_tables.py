@@ -250,56 +250,6 @@ def test_keep_one(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(roots.values())
 
 
-def shingle_set(text):
-    words = text.lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
-
-
-def similarity(a, b):
-    return len(a & b) / len(a | b)
-
-
-@pytest.mark.parametrize("tile", [16, 8192])
-def test_near_copies(spark, tile):
-    """Planted copies with words changed, some near and some not quite, against all pairs by exact similarity."""
-    r = np.random.default_rng(9)
-    texts = []
-    for base in range(40):
-        words = [f"w{x}" for x in r.integers(0, 3000, 300)]
-        texts.append(" ".join(words))
-        for edits in (1, 2, 4, 5, 9, 14) if base else [2] * 60:
-            other = list(words)
-            for at in r.choice(300, edits, replace=False):
-                other[at] = f"x{r.integers(0, 9999)}"
-            texts.append(" ".join(other))
-    texts += [texts[3].upper().replace(" ", "\n")]
-    sets = [shingle_set(t) for t in texts]
-    near = [(i, j) for i in range(len(texts)) for j in range(i) if similarity(sets[i], sets[j]) >= 0.8]
-    far = sum(bin(fingerprint_by_hand(texts[i]) ^ fingerprint_by_hand(texts[j])).count("1") > 2 for i, j in near)
-    assert far > len(near) / 2
-    expected = set(smallest_reachable(list(range(len(texts))), near))
-    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string").repartition(4)
-    kept = simhash.keep_one_near(docs, tile=tile)
-    got = [x["doc_id"] for x in kept.collect()]
-    assert kept.schema == docs.schema and len(got) == len(set(got))
-    assert expected <= set(got) and len(set(got) - expected) <= 0.02 * (len(texts) - len(expected))
-
-
-def test_near_copies_edges(spark):
-    docs = documents(spark)
-    kept = simhash.keep_one_near(docs)
-    assert kept.schema == docs.schema
-    ids = Counter(x["doc_id"] for x in kept.collect())
-    assert ids[1] + ids[2] + ids[0] == 1 and ids[0] == 1 and ids[13] + ids[12] == 1 and max(ids.values()) == 2
-    assert simhash.keep_one_near(docs.limit(0)).count() == 0
-
-
-def test_near_copies_of_the_corpus(spark):
-    """A pair of the test documents that differs in seven bits, so that it stays in by radius 2."""
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("doc_id in (596, 917)")
-    assert [x["doc_id"] for x in simhash.keep_one_near(docs).collect()] == [596]
-
-
 def test_components_of_long_paths(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000, i) for i in range(1001, 1050)] + [(5, 5), (700, 600)]
     got = {r["node"]: r["root"] for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 from itertools import accumulate, combinations
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,28 +20,6 @@ SHINGLE, RADIUS, BLOCKS, TILE, PAIRS, ROWS = 3, 2, 5, 8192, 1 << 18, 1 << 16
 ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-@dataclass(frozen=True)
-class Near:
-    """What near copies are, and how they are looked for.
-
-    ``shingle``, ``similarity``: texts whose sets of shingles of so many words have this Jaccard similarity are near.
-    ``masks``, ``bits``: texts meet if their fingerprints agree in all bits of one of so many choices of so many bits.
-    ``radius``: bits in which fingerprints of a candidate differ at most; ``apart``: the same with a second fingerprint.
-    ``sure``: pairs this near in both fingerprints stand for all pairs that they connect, so that these are not verified.
-    """
-
-    shingle: int = 5
-    similarity: float = 0.8
-    masks: int = 64
-    bits: int = 12
-    radius: int = 17
-    apart: int = 32
-    sure: int = 14
-
-
-NEAR = Near()
-
-
 def fingerprint(text: bytes | None) -> int:
     """Majority of each bit over the XXH64 (seed 42) of all word shingles; zero if there are no words."""
     return majority(shingles(text, SHINGLE))
@@ -266,159 +242,3 @@ def least_of_each(tagged: DataFrame, members: DataFrame, doc_id: str, mark: str)
     rows = tagged.withColumn("doc_id", F.col(f"key.{doc_id}")).select("key", known, mark)
     rows = rows.join(chosen.select(known, mark).hint("merge"), ["id", mark], "left_semi")
     return rows.dropDuplicates(["id", mark]).select("key.*")
-
-
-SECOND = np.uint64(0x9E3779B97F4A7C15)
-
-
-def second(hashes: np.ndarray) -> np.ndarray:
-    """Other hashes made of these, for a fingerprint of its own."""
-    mixed = (hashes ^ (hashes >> np.uint64(31))) * SECOND
-    return mixed ^ (mixed >> np.uint64(29))
-
-
-def set_of(hashes: np.ndarray) -> int:
-    """One number for a set of shingles (sorted, each once)."""
-    return signed(xxhash.xxh64_intdigest(hashes.tobytes(), 7))
-
-
-def sketches(docs: DataFrame, near: Near = NEAR, text: str = "text") -> DataFrame:
-    """All columns as ``key``, with ``set`` (names the set of shingles), and two fingerprints of it, ``fp`` and ``fp2``."""
-
-    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            sets = [np.unique(shingles(t, near.shingle)) for t in batch["text"]]
-            yield {
-                "key": batch["key"], "set": [set_of(h) for h in sets],
-                "fp": [signed(majority(h)) for h in sets], "fp2": [signed(majority(second(h))) for h in sets],
-            }
-
-    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"), F.col(text).alias("text"))
-    return map_batches(slim, StructType([slim.schema["key"], *_parse_datatype_string("set long, fp long, fp2 long")]), run)
-
-
-def choices(near: Near) -> list[list[int]]:
-    """Bits of each mask: shuffles of all 64 bits, cut into masks, so that every bit is in equally many."""
-    r = np.random.default_rng(64)
-    out: list[list[int]] = []
-    while len(out) < near.masks:
-        order = r.permutation(64).tolist()
-        out += [sorted(order[i : i + near.bits]) for i in range(0, 64 - near.bits + 1, near.bits)]
-    return out[: near.masks]
-
-
-def close(group: np.ndarray, part: np.ndarray, across: np.ndarray, fp: np.ndarray, other: np.ndarray, near: Near) -> list[tuple[int, int]]:
-    """Index pairs inside each group that may be near; rows are sorted by group.
-
-    Sure pairs only as a spanning forest, all others unless the forest connects them. Pairs of one part are none in a
-    tile of two.
-    """
-    root = np.arange(len(fp))
-    out: list[tuple[int, int]] = []
-    rest: list[tuple[np.ndarray, int]] = []
-    active, shift = np.arange(len(fp) - 1), 1
-    while len(active):
-        active = active[active + shift < len(fp)]
-        active = active[group[active] == group[active + shift]]
-        pairs = active[root[active] != root[active + shift]]
-        pairs = pairs[~across[pairs] | (part[pairs] != part[pairs + shift])]
-        for i in range(0, len(pairs), PAIRS):
-            some = pairs[i : i + PAIRS]
-            some = some[within(fp[some] ^ fp[some + shift], near.radius)]
-            if not len(some):
-                continue
-            apart = np.bitwise_count(fp[some] ^ fp[some + shift]).astype(np.int64) + np.bitwise_count(other[some] ^ other[some + shift])
-            rest.append((some[(apart > near.sure) & (apart <= near.apart)], shift))
-            for a in some[apart <= near.sure].tolist():
-                x, y = find(root, a), find(root, a + shift)
-                if x != y:
-                    root[max(x, y)] = min(x, y)
-                    out.append((a, a + shift))
-            while (root != (root := root[root])).any():
-                pass
-        shift += 1
-    for some, shift in rest:
-        out += [(a, a + shift) for a in some[root[some] != root[some + shift]].tolist()]
-    return out
-
-
-def candidates(prints: DataFrame, near: Near = NEAR, tile: int = TILE) -> DataFrame:
-    """Pairs (``u`` < ``v``) of ``set`` that may be near, from ``set``, ``fp`` and ``fp2``, a row per set."""
-    bits = choices(near)
-
-    def keys(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        # a key is the mask and its bits, so there are at most masks * 2 ** bits of them
-        for batch in batches:
-            columns = {c: np.array(batch[c], np.int64) for c in ("set", "fp", "fp2")}
-            set_bits = [(columns["fp"] >> b) & 1 for b in range(64)]
-            for m, chosen in enumerate(bits):
-                key = np.full(len(columns["fp"]), m, np.int64)
-                for b in chosen:
-                    key = 2 * key + set_bits[b]
-                yield {c: pa.array(v) for c, v in columns.items()} | {"key": pa.array(key.astype(np.int32))}
-
-    prints = prints.select("set", "fp", "fp2")
-    met = tiles(map_batches(prints, "set long, fp long, fp2 long, key int", keys), ["key"], "set", tile, few=True)
-
-    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        columns = ("key", "i", "j", "part", "set", "fp", "fp2")
-        held: list[np.ndarray] = [np.empty(0, np.int64)] * len(columns)
-
-        def compare(rows: list[np.ndarray]) -> Iterator[dict[str, list]]:
-            key, i, j, part, names, fp, other = rows
-            if len(fp) > 1:
-                new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
-                group = np.concatenate(([0], np.cumsum(new)))
-                found = close(group, part, i != j, fp.view(np.uint64), other.view(np.uint64), near)
-                both = [sorted((int(names[a]), int(names[b]))) for a, b in found]
-                yield {"u": [a for a, _ in both], "v": [b for _, b in both]}
-
-        for batch in batches:
-            held = [np.concatenate((h, np.asarray(batch[c], np.int64))) for h, c in zip(held, columns)]
-            if len(held[0]) >= ROWS:
-                # all but the last tile are whole
-                last = np.ones(len(held[0]), bool)
-                for h in held[:3]:
-                    last &= h == h[-1]
-                cut = int(np.argmax(last))
-                yield from compare([h[:cut] for h in held])
-                held = [h[cut:] for h in held]
-        yield from compare(held)
-
-    return map_batches(met.select("key", "i", "j", "part", "set", "fp", "fp2"), "u long, v long", run).distinct()
-
-
-def verified(pairs: DataFrame, docs: DataFrame, prints: DataFrame, near: Near = NEAR, text: str = "text") -> DataFrame:
-    """The pairs whose sets of shingles have the similarity, counted exactly; only texts of candidates are read for it."""
-
-    def run(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
-        for batch in batches:
-            sets = [np.unique(shingles(t, near.shingle)) for t in batch["text"]]
-            yield {"set": [set_of(h) for h in sets], "hashes": [h.view(np.int64).tolist() for h in sets]}
-
-    named = pairs.select(F.explode(F.array("u", "v")).alias("set")).distinct()
-    texts = prints.join(named, "set").groupBy("set").agg(F.min("digest").alias("digest")).select("digest")
-    few = docs.select(F.col(text).alias("text"), F.xxhash64(text).alias("digest")).join(texts, "digest", "left_semi").dropDuplicates(["digest"])
-    sets = written(map_batches(few.select("text"), "set long, hashes array<long>", run).dropDuplicates(["set"]), "shingle-sets")
-    left = sets.select(F.col("set").alias("u"), F.col("hashes").alias("a"))
-    right = sets.select(F.col("set").alias("v"), F.col("hashes").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    return pairs.join(left, "u").join(right, "v").filter(both / (F.size("a") + F.size("b") - both) >= near.similarity).select("u", "v")
-
-
-def keep_one_near(docs: DataFrame, near: Near = NEAR, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The columns of ``docs`` for one document of each group of near copies: that with the smallest doc_id.
-
-    Texts of one set of shingles are one; others are linked if their sets have the similarity that ``near`` names.
-    Candidates come from fingerprints, so a pair may be missed, but none is linked that is not near. A null text is an
-    empty one, and texts without words are one group. Rows that share an id are chosen from as in ``keep_one``.
-    """
-    tagged = sketches(docs, near, text)
-    prints = written(tagged.select(F.col(f"key.{doc_id}").alias("doc_id"), F.xxhash64(f"key.{text}").alias("digest"), "set", "fp", "fp2"), "sketches")
-    each = prints.groupBy("set").agg(F.min("fp").alias("fp"), F.min("fp2").alias("fp2"), F.min("doc_id").alias("least"))
-    pairs = written(candidates(each, near, **options), "candidates")
-    found = components(verified(pairs, docs, prints, near, text))
-    rooted = each.select("set", "least").join(found.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    members = prints.select("doc_id", "set").join(rooted.select("set", "root").join(names, "root"), "set")
-    return least_of_each(tagged, members, doc_id, "set")

@@ -145,27 +145,47 @@ def test_words_start_where_the_pattern_says():
 
 def test_sentencepieces(spark, small):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    out = sentencepieces.encode(documents(spark), PIECES, keep=("doc_id", "text", "ids")).toDF("doc_id", "text", "old", "ids", "n_tokens", "decoded").collect()
+    out = sentencepieces.encode(documents(spark), PIECES, keep=("doc_id", "text", "ids")).toDF("doc_id", "text", "old", "ids", "n_tokens", "decoded", "same").collect()
     assert Counter((r["doc_id"], r["text"]) for r in out) == Counter((r[0], r[1]) for r in rows())
     for r in out:
         ids = None if r["text"] is None else library.encode(r["text"])
         assert r["ids"] == ids and r["n_tokens"] == (None if ids is None else len(ids))
-        assert r["decoded"] == (None if ids is None else library.decode(ids))
+        assert r["decoded"] == (None if ids is None else library.decode(ids)) and r["same"] == (r["decoded"] == r["text"])
     texts = small_docs(spark, small)
     for r in QUERIES["op1_sentencepiece"](spark, small).collect():
         assert r["ids"] == library.encode(texts[r["doc_id"]]) and r["same_text"]
     assert sentencepieces.encode(documents(spark).limit(0), PIECES).count() == 0
+    assert sentencepieces.encode(documents(spark), PIECES, back=()).columns == ["doc_id", "ids", "n_tokens"]
 
 
-def test_sentencepieces_fuzz(monkeypatch):
+def encoded_lists(encoder, texts):
+    """Ids of each text, and that they decode as the pieces say."""
+    ids, counts = encoder.encode(texts)
+    ends = np.cumsum(counts)
+    return [ids[b - n : b].tolist() for b, n in zip(ends, counts)], list(encoder.decode(ids, counts))
+
+
+def test_sentencepieces_of_long_texts():
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    encoder = sentencepieces.Encoder(sentencepieces.read_model(PIECES))
+    texts = ["a" * 300_000, " " * 50_000, "ab" * 40_000, "the" * 500 + " end", "日本" * 3000, "", "▁" * 300, "é" * 999, "x", "-" * 5000, "\n" * 700, "1" * 2000]
+    assert encoded_lists(encoder, texts) == (library.encode(texts), library.decode(library.encode(texts)))
+
+
+@pytest.mark.parametrize("long", [3, 256])
+def test_sentencepieces_fuzz(monkeypatch, long):
     monkeypatch.setattr(sentencepieces, "MAX_SEGMENTS", 200)
     monkeypatch.setattr(sentencepieces, "INDEX_BYTES", 2000)
+    monkeypatch.setattr(sentencepieces, "PAIR_SLOTS", 6)
+    monkeypatch.setattr(sentencepieces, "TOKENS", 100)
+    monkeypatch.setattr(sentencepieces, "LONG", long)
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     encoder = sentencepieces.Encoder(sentencepieces.read_model(PIECES))
     r = random.Random(9)
     signs = [" ", "  ", " " * 17, "▁", "\n", *"etasé日本😀1", "th", "he", "in", "er", "on", "tion", "00", "...", "==", "the", "of", "\0"]
     texts = ["".join(r.choice(signs) for _ in range(r.randrange(30))) for _ in range(4000)]
-    assert encoder.encode(texts) == library.encode(texts)
+    assert encoded_lists(encoder, texts) == (library.encode(texts), library.decode(library.encode(texts)))
+    assert encoded_lists(encoder, [])[0] == [] and encoded_lists(encoder, ["", ""])[0] == [[], []]
 
 
 def test_suffix_array():

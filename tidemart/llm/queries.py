@@ -21,8 +21,8 @@ def tokenizer(name: str) -> str:
 
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids, and whether they decode to the text again (they don't where it holds U+2581)."""
-    out = sentencepieces.encode(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"), keep=("doc_id", "text"))
-    return out.select("doc_id", "n_tokens", "ids", F.col("decoded").eqNullSafe(F.col("text")).alias("same_text"))
+    out = sentencepieces.encode(table(spark, folder, "documents"), tokenizer("piece_bpe_32k.model"), back=("same_text",))
+    return out.select("doc_id", "n_tokens", "ids", "same_text")
 
 
 def op2_quality_divergence(spark: SparkSession, folder: str) -> DataFrame:

@@ -351,6 +351,38 @@ def test_pages_held_out():
     assert right.mean() > 0.99
 
 
+SOME = "The river rose in the night and the people of the lower streets carried what they could to the church on the hill"
+LAYOUTS = [
+    # (page, lines of its main text), written by hand
+    (f"<html><body><article><p>{SOME}.</p><ul><li><a href=x>one link</a></li></ul></article></body></html>", [f"{SOME}.", "one link"]),
+    ("<html><body><main id='search-results'>" + "".join(f"<p>{SOME} {i}.</p>" for i in range(10)) + "</main></body></html>", [f"{SOME} {i}." for i in range(10)]),
+    (f"<html><body><h1>A flood</h1><p>{SOME}.</p><p>{SOME} again.</p></body></html>", ["A flood", f"{SOME}.", f"{SOME} again."]),
+    (f"<body><div id=wrap><nav><a href=a>Home</a> <a href=b>News</a></nav><div class=post><h1>A flood</h1><p>{SOME}.</p><blockquote>{SOME}, she said.</blockquote></div><footer>Copyright by us</footer></div></body>",
+     ["A flood", f"{SOME}.", f"{SOME}, she said."]),
+    (f"<body><header><h1>The Paper</h1></header><section class=story><h2>A flood</h2><p>{SOME}.</p><p>Short one.</p><ol><li>First</li><li>Second</li></ol></section><div id=comments><p>{SOME}, I think.</p></div></body>",
+     ["A flood", f"{SOME}.", "Short one.", "First", "Second"]),
+    (f"<body><nav><ul><li><a href=a>One</a></ul></nav><p>{SOME}.</p><p>{SOME} too.</p><p>{SOME} as well.</p><div class=footer>Imprint</div></body>", [f"{SOME}.", f"{SOME} too.", f"{SOME} as well."]),
+    ("<body><nav><ul><li><a href=a>One</a><li><a href=b>Two</a></ul></nav><div class=cookie>We use cookies here</div><footer>Imprint</footer></body>", []),
+    (f"<body><main><article id=has-comments><h1>A flood</h1><p>{SOME}.</p><aside class=related><a href=q>Another flood</a></aside><p>{SOME} then.</p></article></main></body>", ["A flood", f"{SOME}.", f"{SOME} then."]),
+]
+
+
+@pytest.mark.parametrize("page,lines", LAYOUTS)
+def test_pages_of_other_layouts(page, lines):
+    model = pages.train(labelled_pages.labelled_pages())
+    assert pages.main_texts([pages.parse(page.encode(), labels=False)], model)[0].split("\n") == (lines or [""])
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    model = pages.train(labelled_pages.labelled_pages(60))
+    start = time.process_time()
+    for page in ("<b>" * 5000 + "</q>" * 20_000, "<div>" * 5000 + "x" + "</p>" * 20_000, "<i><div>" * 2000 + "</i>" * 20_000, "<p>a<li>b<td>c" * 2000, "<b>x</b>" * 20_000):
+        pages.main_texts([pages.parse(page.encode(), labels=False)], model)
+    assert time.process_time() - start < 15
+
+
 def test_marginals_are_those_of_all_assignments():
     model = pages.train(labelled_pages.labelled_pages(60))
     tree = pages.parse(b"<body><div class=ad><p>one two</p></div><article><h1>x y</h1><p>a b c d e <a>f</a></p></article></body>")
@@ -358,7 +390,7 @@ def test_marginals_are_those_of_all_assignments():
     n, total, main = len(f["parent"]), 0.0, np.zeros(len(f["parent"]))
     for code in range(1 << n):
         y = [code >> i & 1 for i in range(n)]
-        s = model["root"][y[0]] + sum(model[k][f[k][i]][y[i]] for k in pages.LEVELS for i in range(n))
+        s = model["root"][y[0]] + sum(model[k][f[k][i]][y[i]] * f["block"][i] for k in pages.LEVELS for i in range(n))
         s += sum(model["edge"][f["tag"][i], f["hint"][i]][y[f["parent"][i]], y[i]] for i in range(1, n))
         total += math.exp(s)
         main += math.exp(s) * np.array(y)

@@ -17,10 +17,11 @@ PARTS = {
     "comments": (("section", "comments"), ("div", "comments"), ("div", "comment-list"), ("ol", "commentlist"), ("div", "discussion"), ("div", "replies"), ("div", "responses"), ("article", "comment"), ("div", "reader-comments")),
 }
 MAIN = (("article", ""), ("article", "post"), ("main", ""), ("div", "content"), ("div", "article-body"), ("div", "post-content"), ("div", "entry"), ("section", "story"), ("div", "main"), ("div", "text"), ("div", ""))
+MISLEADING = ("search-results", "page-header", "main-nav-page", "sidebar-layout", "has-comments", "no-sidebar", "form-page", "popular-story", "notice-board", "related-reading")
 LETTERS = "etaoinshrdlu"
 
 
-def labelled_pages(pages: int = 600, seed: int = 11) -> list[str]:
+def labelled_pages(pages: int = 1200, seed: int = 11) -> list[str]:
     """Pages in which ``data-main="1"`` opens a main part and ``data-main="0"`` a part that is not, each down to its leaves."""
     r = random.Random(seed)
 
@@ -60,8 +61,12 @@ def labelled_pages(pages: int = 600, seed: int = 11) -> list[str]:
 
     def block() -> str:
         kind = r.random()
-        if kind < 0.72:
+        if kind < 0.68:
             return f"<p>{inline(words(1, 120))}</p>"
+        if kind < 0.72:  # further reading and sources, which are part of the text
+            name = r.choice(["ul", "ol", "p"])
+            item = "<li><a href=x>{}</a></li>" if name != "p" else "<a href=x>{}</a> "
+            return f"<{name}>" + "".join(item.format(words(1, 9)) for _ in range(r.randint(1, 5))) + f"</{name}>"
         if kind < 0.80:
             return f"<h2>{words(1, 9)}</h2>"
         if kind < 0.86:
@@ -78,17 +83,30 @@ def labelled_pages(pages: int = 600, seed: int = 11) -> list[str]:
         return r.choice(["<div><p>{}</p></div>", "<section><p>{}</p></section>", "<div>{}</div>"]).format(inline(words(3, 90)))
 
     def page() -> str:
-        body = ([f"<h1>{words(2, 12)}</h1>"] if r.random() < 0.8 else []) + [block() for _ in range(r.randint(1, 12))]
+        length = r.choice([2, 4, 12])
+        body = ([f"<h1>{words(2, 12)}</h1>"] if r.random() < 0.8 else []) + [block() for _ in range(r.randint(1, length))]
         for kind in ("ad", "share", "side", "form", "comments", "notice"):
             if r.random() < 0.22:
                 body.insert(r.randint(1, len(body)), part(kind))
-        name, css = r.choice(MAIN)
-        main = tag(name, css, "".join(body), "1")
-        if r.random() < 0.2:
-            main = f"<main>{main}</main>" if name != "main" else f"<div class=wrapper>{main}</div>"
         around = [part(k) for k in ("notice", "header", "nav", "ad") if r.random() < 0.6]
         after = [part(k) for k in ("comments", "side", "form", "share", "nav", "ad", "footer") if r.random() < 0.5]
+        title, layout = f"<html><head><title>{words(2, 8)}</title></head>", r.random()
+        if layout < 0.15:  # the text stands right in the body
+            if r.random() < 0.5:
+                around, after = [], []
+            return f"{title}<body data-main=1>{''.join([*around, *body, *after])}</body></html>"
+        if layout < 0.19:  # no main text at all, a loose line perhaps
+            loose = f"<p data-main=0>{words(1, 12)}</p>" if r.random() < 0.5 else ""
+            return f"{title}<body>{''.join([*around, loose, *after])}</body></html>"
+        name, css = r.choice(MAIN)
+        if r.random() < (0.15 if name in ("article", "main") else 0.04):
+            css = r.choice(MISLEADING)
+        main = tag(name, css, "".join(body), "1")
+        if r.random() < 0.25:
+            outer = f" id={r.choice(MISLEADING)}" if r.random() < 0.3 else ""
+            # what holds nothing but the main part is part of it
+            main = f"<main{outer} data-main=1>{main}</main>" if name != "main" else f"<div class=wrapper{outer} data-main=1>{main}</div>"
         inside = "".join([*around, main, *after])
-        return f"<html><head><title>{words(2, 8)}</title></head><body>{r.choice(['{}', '<div>{}</div>', '<div class=container>{}</div>']).format(inside)}</body></html>"
+        return f"{title}<body>{r.choice(['{}', '<div>{}</div>', '<div class=container>{}</div>']).format(inside)}</body></html>"
 
     return [page() for _ in range(pages)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -36,6 +37,8 @@ AGAINST = re.compile(
 FOR = re.compile(r"(?:^|[^a-z])(?:article|content|post|entry|story|main|body|text|prose)(?:$|[^a-z])")
 TAGS = "other html body div section article main aside nav header footer form p h1 h2 h3 ul ol li a b i em strong span code pre blockquote table tr td figure figcaption label".split()
 TAG = {t: i for i, t in enumerate(TAGS)}
+TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote figure table".split())
+PARAGRAPHS = frozenset("p blockquote pre li".split())
 SIZES = (0, 4, 12, 60)  # words
 DENSITIES = (0.0, 0.3, 0.7)  # words inside links, as a share
 
@@ -52,6 +55,8 @@ class Tree(HTMLParser):
         self.parent, self.depth, self.tag, self.hint, self.label = [], [], [], [], []
         self.texts: list[tuple[int, int, str]] = []
         self.stack: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = defaultdict(list)  # of the open elements of each tag, in the stack
+        self.blocks: list[int] = []  # of the open blocks
         self.line = self.hidden = 0
         self.open("html", {})
 
@@ -60,6 +65,10 @@ class Tree(HTMLParser):
         names = f"{attrs.get('class') or ''} {attrs.get('id') or ''} {attrs.get('role') or ''}".lower().replace("_", "-")
         hint = (AGAINST.search(names) is not None) + 2 * (FOR.search(names) is not None) if names.strip() else 0
         self.stack.append((tag, len(self.parent)))
+        if parent >= 0:
+            self.places[tag].append(len(self.stack) - 1)
+            if tag in BLOCK:
+                self.blocks.append(len(self.stack) - 1)
         self.parent.append(parent)
         self.depth.append(self.depth[parent] + 1 if parent >= 0 else 0)
         self.tag.append(tag)
@@ -74,18 +83,16 @@ class Tree(HTMLParser):
     def close_to(self, at: int) -> None:
         while len(self.stack) > at:
             tag, _ = self.stack.pop()
+            self.places[tag].pop()
             if tag in HIDDEN:
                 self.hidden -= 1
             if tag in BLOCK:
+                self.blocks.pop()
                 self.line += 1
 
     def nearest(self, tags: tuple[str, ...], fence: tuple[str, ...]) -> int:
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at][0] in tags:
-                return at
-            if self.stack[at][0] in fence:
-                break
-        return 0
+        at, stop = (max((self.places[t][-1] for t in some if self.places[t]), default=0) for some in (tags, fence))
+        return at if at > stop else 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag == "html":
@@ -111,12 +118,12 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in ("html", "body") or tag in VOID:
             return
-        for at in range(len(self.stack) - 1, 0, -1):
-            if self.stack[at][0] == tag:
-                return self.close_to(at)
-            if self.stack[at][0] in BLOCK and tag not in BLOCK and tag not in HIDDEN and tag not in FALLBACK:
-                return None  # an inline end does not close a block
-        return None
+        if not self.places[tag]:
+            return
+        at = self.places[tag][-1]
+        inline = tag not in BLOCK and tag not in HIDDEN and tag not in FALLBACK
+        if not (inline and self.blocks and self.blocks[-1] > at):  # an inline end does not close a block
+            self.close_to(at)
 
     def handle_data(self, data: str) -> None:
         if not self.hidden and data:
@@ -131,8 +138,11 @@ def parse(html: bytes | None, labels: bool = True) -> Tree:
 
 
 def features(trees: list[Tree]) -> dict[str, np.ndarray]:
-    """Features of all elements of some pages: parent, depth, tag, hint, size and link density, each a small number."""
-    shift, out = 0, {k: [] for k in ("parent", "depth", "tag", "hint", "size", "density", "label")}
+    """Features of all elements of some pages, each a small number: parent, depth, tag, hint, size, link density, whether
+    it is a block of text that stands right in the body under no name, and what it holds: none, one or more paragraphs of
+    some length, and a title or not. ``block`` is how much these count: nothing for elements inside lines, and for blocks
+    less the more of their tag stand side by side, which say much the same: n of them count as 1 + log n."""
+    shift, out = 0, {k: [] for k in ("parent", "depth", "tag", "hint", "size", "density", "loose", "holds", "block", "label")}
     for tree in trees:
         n = len(tree.parent)
         words, linked = [0] * n, [0] * n
@@ -150,23 +160,34 @@ def features(trees: list[Tree]) -> dict[str, np.ndarray]:
         out["hint"] += tree.hint
         out["size"] += words
         out["density"] += [b / a if a else 0.0 for a, b in zip(words, linked)]
+        out["loose"] += [int(not h and t in TEXT_BLOCKS and p >= 0 and tree.tag[p] == "body") for t, h, p in zip(tree.tag, tree.hint, tree.parent)]
+        held, titled = [0] * n, [0] * n
+        for p, t, h, w, d in zip(tree.parent, tree.tag, tree.hint, words, linked):
+            if p >= 0 and t in PARAGRAPHS and h != 1 and w >= 8 and 2 * d <= w:
+                held[p] += 1
+            elif p >= 0 and t == "h1":
+                titled[p] = 3
+        out["holds"] += [min(a, 2) + b for a, b in zip(held, titled)]
+        out["block"] += [int(t in BLOCK) for t in tree.tag]
         out["label"] += tree.label
         shift += n
     arrays = {k: np.array(v) for k, v in out.items()}
     arrays["size"] = np.digitize(arrays["size"], SIZES, right=True)
     arrays["density"] = np.digitize(arrays["density"], DENSITIES, right=True)
+    _, which, alike = np.unique(arrays["parent"] * len(TAGS) + arrays["tag"], return_inverse=True, return_counts=True)
+    arrays["block"] = arrays["block"] * ((1 + np.log(alike)) / alike)[which]
     return arrays
 
 
-LEVELS = {"size": len(SIZES) + 1, "density": len(DENSITIES) + 1}
+LEVELS = {"size": len(SIZES) + 1, "density": len(DENSITIES) + 1, "loose": 2, "holds": 6}
 #: Many paragraphs say the same about the part they stand in, so these potentials count by a power below 1.
-TEMPER = {"size": 0.3, "density": 0.6}
+TEMPER = {"size": 0.3, "density": 0.3, "loose": 0.5, "holds": 0.8}
 
 
 def train(pages: list[str], weight: float = 1.0, pooled: float = 4.0) -> dict[str, np.ndarray]:
     """Log potentials from labelled pages.
 
-    An element's: its size and links given whether it is main. An edge's: whether a child of this tag and with such
+    A block's: its size, links and what it holds given whether it is main; elements inside lines say nothing more. An edge's: whether a child of this tag and with such
     names is main, given its parent, smoothed by ``pooled`` counts of what holds for all tags with such names.
     """
     f = features([parse(p.encode()) for p in pages])
@@ -179,7 +200,7 @@ def train(pages: list[str], weight: float = 1.0, pooled: float = 4.0) -> dict[st
     model = {"edge": np.log(edge / edge.sum(axis=3, keepdims=True)), "root": np.log(np.array([0.99, 0.01]))}
     for name, levels in LEVELS.items():
         counts = np.full((2, levels), weight)
-        np.add.at(counts, (y, f[name]), 1)
+        np.add.at(counts, (y, f[name]), f["block"])
         model[name] = TEMPER[name] * np.log(counts / counts.sum(axis=1, keepdims=True)).T
     return model
 
@@ -187,9 +208,10 @@ def train(pages: list[str], weight: float = 1.0, pooled: float = 4.0) -> dict[st
 def marginals(f: dict[str, np.ndarray], model: dict[str, np.ndarray]) -> np.ndarray:
     """Probability of being main text for every element of some pages: messages up the trees, then down, a level at a time."""
     parent, depth = f["parent"], f["depth"]
-    belief = sum(model[name][f[name]] for name in LEVELS)
+    belief = sum(model[name][f[name]] for name in LEVELS) * f["block"][:, None]
     belief[parent < 0] += model["root"]
-    levels = [np.flatnonzero(depth == d) for d in range(depth.max() + 1)] if len(depth) else []
+    by = np.argsort(depth, kind="stable")
+    levels = np.split(by, np.flatnonzero(np.diff(depth[by])) + 1) if len(depth) else []
     message = np.zeros_like(belief)
     for nodes in reversed(levels[1:]):
         edge = model["edge"][f["tag"][nodes], f["hint"][nodes]]

@@ -157,6 +157,12 @@ def test_katz_without_training(spark):
     assert katz.score(docs.limit(0), F.lit(False)).count() == 0
 
 
+def test_katz_leaves_no_table(spark):
+    before = spark.catalog.listTables()
+    katz.score(documents(spark), F.lit(False)).count()
+    assert spark.catalog.listTables() == before
+
+
 def test_katz_query(spark, small):
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
     expected = katz_by_hand(texts, {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}, 2)

@@ -61,14 +61,14 @@ def test_quality_references_and_distances(spark):
     rules = quality.Rules(common=2, least_reference=50, least_chars=1, least_words=2)
     found = quality.references(docs, rules)
     assert list(found["en"]["words"]) == [b"aa", b"bb"] and found["en"]["counts"].tolist() == [40, 20, 20]
-    assert list(found["de"]["words"]) == [b"dd", b"ee"] and set(found) == {None, "en", "de"}
-    got = {r["doc_id"]: r for r in quality.judge(docs, found, rules).collect()}
+    assert list(found["de"]["words"]) == [b"dd", b"ee"] and set(found) == {"en", "de"}
+    got = {r["doc_id"]: r for r in quality.judge(docs.union(docs.sparkSession.createDataFrame([(5, "dd xx dd yy", "de")])), found, rules).collect()}
     assert got[1]["word_distance"] == pytest.approx(0, abs=1e-9)
-    p, q = np.array([0, 0, 1.0]), np.array([40, 40, 80.0]) / 160
-    whole = found[None]["counts"] / found[None]["counts"].sum()
-    m = (p + whole) / 2
-    expected = math.sqrt(sum(a * math.log2(a / b) for a, b in zip(p, m) if a) / 2 + sum(a * math.log2(a / b) for a, b in zip(whole, m) if a) / 2)
-    assert got[3]["word_distance"] == pytest.approx(expected) and q is not None
+    p, q = np.array([2, 0, 2]) / 4, np.array([40, 40, 0]) / 80
+    m = (p + q) / 2
+    expected = math.sqrt(sum(a * math.log2(a / b) for a, b in zip(p, m) if a) / 2 + sum(a * math.log2(a / b) for a, b in zip(q, m) if a) / 2)
+    assert got[5]["word_distance"] == pytest.approx(expected)
+    assert got[3]["char_distance"] is None and got[3]["word_distance"] is None
     assert got[4]["char_distance"] is None and got[4]["word_distance"] is None
 
 
@@ -89,7 +89,7 @@ def test_quality_of_rare_and_null_languages(spark):
     table += [(200 + i, text(russian, 30), "ru") for i in range(80)] + [(300, text(latin, 200), "ru"), (301, text(latin, 200), None)]
     docs = spark.createDataFrame(table, "doc_id long, text string, lang string")
     found = quality.references(docs)
-    assert set(found) == {None, "en", "ru"} and found["ru"]["counts"].sum() == 80 * 30 + 200
+    assert set(found) == {"en", "ru"} and found["ru"]["counts"].sum() == 80 * 30 + 200
     got = {x["doc_id"]: x for x in quality.judge(docs, found).collect()}
     for i in (100, 101, 301):
         assert got[i]["kept"] and got[i]["char_distance"] is None and got[i]["word_distance"] is None

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from uuid import uuid4
 
@@ -367,13 +368,20 @@ def rebuilt(blob: bytes, rows: dict[str, list], levels: list[Level], how: Order,
     return chunk
 
 
-def bucketed(df: DataFrame, name: str) -> DataFrame:
-    """A table bucketed by chunk in the shared folder, which later steps join without moving it."""
+@contextmanager
+def bucketed(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """A table bucketed by chunk in the shared folder, which later steps join without moving it.
+
+    Buckets are known to the catalog only, so it has the table's name in the meantime and forgets it afterwards.
+    """
     spark = df.sparkSession
     full = f"{name}_{uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.option("path", shared_folder(spark, name)).bucketBy(parts, "chunk").sortBy("chunk").saveAsTable(full)
-    return spark.table(full)
+    try:
+        df.write.option("path", shared_folder(spark, name)).bucketBy(parts, "chunk").sortBy("chunk").saveAsTable(full)
+        yield spark.table(full)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
 
 
 def score(
@@ -387,7 +395,12 @@ def score(
     text counts as empty, whose only token is the end. Without training texts every token is unknown. Rows with equal
     ids are texts of their own, an empty table gives an empty result, other columns are not looked at.
     """
-    chunks = bucketed(tokenise(docs, doc_id, text, held, how), "katz_chunks")
+    with bucketed(tokenise(docs, doc_id, text, held, how), "katz_chunks") as chunks:
+        return written(scored(chunks, how), "katz-scores").withColumnRenamed("doc_id", doc_id)
+
+
+def scored(chunks: DataFrame, how: Order) -> DataFrame:
+    """Scores of all texts, level by level."""
     tokens, texts = chunks.agg(F.sum("tokens"), F.sum("texts")).first()
     buckets = max(8, -(-(tokens or 0) // how.bucket_tokens))
     levels: list[Level] = []
@@ -404,7 +417,7 @@ def score(
         wanted = wanted.select(F.lit("hot").alias("kind"), "chunk", "level", "ctx", "nums")
         now = now.unionByName(wanted, allowMissingColumns=True)
         answers = now if answers is None else answers.unionByName(now)
-    return final(chunks, answers, levels, how).withColumnRenamed("doc_id", doc_id)
+    return final(chunks, answers, levels, how)
 
 
 def ask(chunks: DataFrame, answers: DataFrame | None, levels: list[Level], how: Order) -> DataFrame:

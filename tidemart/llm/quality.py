@@ -30,7 +30,7 @@ class Rules:
     ``common``: how many of a language's most frequent words its histogram has; all others share one more bin.
     ``char_distance``, ``word_distance``: Jensen-Shannon distances (0 to 1) above which a text is rejected.
     ``least_chars``, ``least_words``: shorter texts have too few counts to be judged by that histogram.
-    ``least_reference``: a language with fewer words than th and is judged by that of all.
+    ``least_reference``: a language with fewer words has no histograms to be judged by.
     """
 
     common: int = 50
@@ -39,10 +39,9 @@ class Rules:
     least_chars: int = 200
     least_words: int = 50
     least_reference: int = 2000
-    pooled: bool = True
 
 
-RULES = Rules(pooled=False)
+RULES = Rules()
 
 
 #: Of a language that nothing is known of.
@@ -113,8 +112,8 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
     return max(0.0, (ratio(p) + ratio(q)) / 2) ** 0.5
 
 
-def references(docs: DataFrame, rules: Rules = RULES, text: str = "text", lang: str = "lang") -> dict[str | None, dict]:
-    """Histograms of every language and, under None, of all texts together.
+def references(docs: DataFrame, rules: Rules = RULES, text: str = "text", lang: str = "lang") -> dict[str, dict]:
+    """Histograms of every language that has enough words.
 
     Counts all texts, whole. Words are counted per task and summed by a shuffle; the most
     frequent ones are found by a ranked window over (language, word) with at most ``common`` rows left per language, so
@@ -150,8 +149,6 @@ def references(docs: DataFrame, rules: Rules = RULES, text: str = "text", lang:
     sizes = {r["lang"]: r["n"] or 0 for r in counts.groupBy("lang").agg(totals.alias("n")).collect()}
     classes = counts.filter("chars is not null").collect()
     own = counts.filter("word is not null").withColumn("r", F.row_number().over(order)).filter(F.col("r") <= rules.common).collect()
-    together = counts.filter("word is not null").groupBy("word").agg(F.sum("n").alias("n"))
-    whole = together.orderBy(F.col("n").desc(), "word").limit(rules.common).collect()
 
     def entry(words: list, chars: list, size: int) -> dict:
         bins = np.zeros(CLASSES)
@@ -161,22 +158,21 @@ def references(docs: DataFrame, rules: Rules = RULES, text: str = "text", lang:
         counts = [r["n"] for r in words]
         return {"chars": bins, "words": listed, "counts": np.array([*counts, size - sum(counts)], float)}
 
-    out = {None: entry(whole, classes, sum(sizes.values()))}
+    out = {}
     for name, size in sizes.items():
         if name is not None and size >= rules.least_reference:
             out[name] = entry([r for r in own if r["lang"] == name], [r for r in classes if r["lang"] == name], size)
     return out
 
 
-def judge(docs: DataFrame, against: dict[str | None, dict], rules: Rules = RULES, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", row: bool = False) -> DataFrame:
+def judge(docs: DataFrame, against: dict[str, dict], rules: Rules = RULES, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", row: bool = False) -> DataFrame:
     """Base counts, distances and verdict of every text.
 
     Returns ``doc_id``, ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines``, ``n_repeat_words``, ``base_failed``,
     ``char_distance``, ``word_distance`` (null where the text is too small or there is no reference) and ``kept``; with ``row``
     the columns of ``docs`` instead, for the kept rows only, unchanged. A null or empty text has no words and fails.
-    In a null language, or one without a reference, distances are null and the base counts alone decide, unless the
-    rules pool. Repeated rows are judged one by one,
-    an empty table gives an empty result, and other columns are not looked at.
+    In a null language, or one without a reference, distances are null and the base counts alone decide. Repeated rows
+    are judged one by one, an empty table gives an empty result, and other columns are not looked at.
     """
 
     def measure(batches: Iterator[dict[str, list]]) -> Iterator[dict[str, list]]:
@@ -188,8 +184,7 @@ def judge(docs: DataFrame, against: dict[str | None, dict], rules: Rules = RULES
                 words, bins = value.split(), histogram(value, table)
                 repeated = repeated_words(words)
                 failed = len(words) < 50 or 100 * repeated > 50 * len(words)
-                reference = against.get(name.decode()) if name is not None else None
-                reference = reference or (against[None] if rules.pooled else NO_REFERENCE)
+                reference = against.get(name.decode(), NO_REFERENCE) if name is not None else NO_REFERENCE
                 chars = wording = None
                 if bins.sum() >= rules.least_chars and reference["chars"].sum() > 0:
                     chars = distance(bins, reference["chars"])

@@ -679,8 +679,15 @@ def test_batches_of_statistics_are_compacted(spark, tmp_path):
 
 def test_a_small_day_gets_one_file(spark, tmp_path):
     rows = spark.range(3000).select(F.concat(F.date_format(F.timestamp_seconds(F.col("id") * 3600), "yyyy-MM-dd HH:mm:ss")).alias("stt"), "id")
-    write_stats(rows.repartition(16), str(tmp_path))
-    assert {len(list(day.glob("**/*.parquet"))) for day in tmp_path.glob("batches/day=*")} == {1}
+    rows = rows.unionAll(spark.range(1000).select(F.lit("1970-03-01 00:00:00").alias("stt"), "id"))
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            write_stats(rows.repartition(16), f"{tmp_path}/{adaptive}", rows_per_file=300)
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        files = {day.name: len(list(day.glob("**/*.parquet"))) for day in tmp_path.glob(f"{adaptive}/batches/day=*")}
+        assert 2 <= files.pop("day=1970-03-01") <= 4 and set(files.values()) == {1} and len(files) > 100
 
 
 def plan_of(df):

@@ -368,6 +368,7 @@ BODIES = {
     "key_count_2s_stream": KEYS,
     "bounded_watermark": AREAS,
     "late_drop": AREAS,
+    "late_rows": "SELECT count(*) AS lost FROM page_log",
     "passthrough": f"{FLAT} page_log",
     "checkpointed_run": f"{FLAT} page_log",
     "time_functions": f"""SELECT event_id, strftime(make_timestamp(ms * 1000), '%Y-%m-%d') AS ymd, {_stamp('ms')} AS ymd_hms,

@@ -756,6 +756,25 @@ def _(spark, folder):
     return spark.read.parquet(f"{out}/data")
 
 
+@query("late_rows")
+def _(spark, folder):
+    """How many rows a query loses to the watermark: the whole log once more, after a far-future row."""
+    pages = D.page_log(spark, folder)
+    path, out = shared_folder(spark, "late_rows"), shared_folder(spark, "late_rows_out")
+    stream = times.with_event_time(spark.readStream.schema(pages.schema).parquet(f"{path}/*"), "ts", "2 seconds")
+    once = stream.select(F.col("common.mid").alias("mid"), "rt").dropDuplicates(["mid", "rt"])
+    watched = runs.watch_late(spark)
+    try:
+        for i, rows in enumerate([pages, closing_row(pages), pages]):
+            rows.write.parquet(f"{path}/{i}")
+            query = runs.checkpointed_run(once, f"{out}/data", f"{out}/checkpoint", runs.NOW)
+            finish(query)
+        lost = watched.of(query)
+    finally:
+        spark.streams.removeListener(watched)
+    return spark.createDataFrame([(lost,)], "lost long")
+
+
 @query("passthrough")
 def _(spark, folder):
     uri = topic_of(spark, D.page_log(spark, folder), S.TOPIC_PAGE)

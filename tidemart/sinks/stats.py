@@ -11,28 +11,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CLOSED = re.compile(r"/closed=([^/]+)/")
+CLOSED = re.compile(r"/day=([^/]+)/closed=([^/]+)/")
 
 
-def write_stats(df: DataFrame, path: str, batch_id: int | None = None, writer: str | None = None) -> None:
+def write_stats(df: DataFrame, path: str, batch_id: int | None = None, writer: str | None = None, rows_per_file: int = 1 << 20) -> None:
     """Add a batch of statistics by day of ``stt``; a writer's retried batch replaces itself.
 
-    A batch without a number and a writer is one of its own. Files follow the size of a day: a small day gets one file,
-    and a large one is split by adaptive execution. Micro-batches of stateful streams run without it and give one a day.
+    A batch without a number and a writer is one of its own. A day gets a file for every ``rows_per_file`` rows, so a small
+    day has one; files are dealt out over all cores, with or without adaptive execution.
     """
     if (batch_id is None) != (writer is None):
         raise ValueError("a batch number and its writer go together")
-    placed = df.withColumns({
-        "day": F.substring("stt", 1, 10), "writer": F.lit(writer or f"batch-{uuid4().hex}"), "batch_id": F.lit(batch_id or 0).cast("bigint"),
-    })
-    (
-        placed.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "writer", "batch_id").parquet(f"{path}/batches")
-    )
+    name = uuid4().hex if writer is None else f"{writer}-{batch_id}"
+    rows = df.withColumns({"day": F.substring("stt", 1, 10), "batch": F.lit(name)}).persist()
+    _by_size(rows, rows_per_file).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{path}/batches")
+    rows.unpersist()
+
+
+def _by_size(rows: DataFrame, rows_per_file: int) -> DataFrame:
+    """Rows dealt out by day, those of a large day by a hash over as many tasks as it needs files."""
+    # no more than one row for each file's worth of rows
+    large = {r.day: -(-r["count"] // rows_per_file) for r in rows.groupBy("day").count().filter(F.col("count") > rows_per_file).collect()}
+    salt = F.lit(0).cast("long")
+    for day, files in large.items():
+        salt = F.when(F.col("day").eqNullSafe(F.lit(day)), F.pmod(F.xxhash64(*rows.columns), F.lit(files))).otherwise(salt)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "day", salt)
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType | None, names: str, day: str | None) -> DataFrame | None:
-    """The files of one day or of all, ``names`` being the partitions; None if there are none."""
+    """The files of one day or of all, ``names`` being the other columns; None if there are none."""
     reader = spark.read.option("basePath", path)
     if schema is not None:
         reader = reader.schema(T.StructType([*schema.fields, *T.StructType.fromDDL(f"day STRING, {names}").fields]))
@@ -42,7 +49,7 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType | None, names:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return rows.withColumns({"day": F.col("day").cast("string"), "writer": F.col("writer").cast("string"), "batch_id": F.col("batch_id").cast("bigint")})
+    return rows.withColumn("day", F.col("day").cast("string")).withColumn("batch", F.col("batch").cast("string"))
 
 
 def _closed(rows: DataFrame | None) -> DataFrame | None:
@@ -51,25 +58,22 @@ def _closed(rows: DataFrame | None) -> DataFrame | None:
         return None
     newest: dict[str, str] = {}
     for f in rows.inputFiles():
-        day, stamp = re.search(r"/day=([^/]+)/", f).group(1), CLOSED.search(f).group(1)
-        newest[day] = max(stamp, newest.get(day, ""))
+        found = CLOSED.search(f)
+        newest[found.group(1)] = max(found.group(2), newest.get(found.group(1), ""))
     return rows.filter(F.concat_ws("/", "day", "closed").isin([f"{d}/{s}" for d, s in newest.items()])).drop("closed")
 
 
 def _batches_and_closed(spark: SparkSession, path: str, schema: T.StructType | None, day: str | None) -> DataFrame | None:
     """Every batch once: compacted, or as it was written if no compaction has it."""
-    batches = _stored(spark, f"{path}/batches", schema, "writer STRING, batch_id BIGINT", day)
-    own = None if schema is None else T.StructType([*schema.fields, *T.StructType.fromDDL("writer STRING, batch_id BIGINT").fields])
-    closed = _closed(_stored(spark, f"{path}/compacted", own, "closed STRING", day))
+    batches = _stored(spark, f"{path}/batches", schema, "batch STRING", day)
+    closed = _closed(_stored(spark, f"{path}/compacted", schema, "batch STRING, closed STRING", day))
     if batches is None or closed is None:
         return batches if closed is None else closed
-    parts = ["day", "writer", "batch_id"]
-    done = closed.select(*parts).distinct()
+    done = closed.select("day", "batch").distinct()
     if day is None:
-        batches = batches.join(done, parts, "left_anti")
+        batches = batches.join(done, ["day", "batch"], "left_anti")
     else:  # a row per batch of one day; the scan leaves their folders out
-        listed = [f"{r.writer}/{r.batch_id}" for r in done.collect()]
-        batches = batches.filter(~F.concat_ws("/", "writer", F.col("batch_id").cast("string")).isin(listed))
+        batches = batches.filter(~F.col("batch").isin([r.batch for r in done.collect()]))
     return batches.unionByName(closed)
 
 
@@ -83,24 +87,21 @@ def read_stats(spark: SparkSession, path: str, schema: T.StructType | None = Non
         if schema is None:
             raise ValueError(f"no statistics under {path}")
         return spark.createDataFrame([], schema).withColumn("day", F.lit(None).cast("string"))
-    return rows.drop("writer", "batch_id")
+    return rows.drop("batch")
 
 
-def compact_stats(spark: SparkSession, path: str, day: str) -> None:
-    """Put the batches of a day into as few files as their size needs, beside the old ones.
+def compact_stats(spark: SparkSession, path: str, day: str, rows_per_file: int = 1 << 20) -> None:
+    """Put the batches of a day into as few files as its rows need, beside the old ones.
 
-    Rows keep the batch they came with, so a reader takes each batch once, and one that comes later is still seen.
-    Nothing is replaced or removed: running readers are not disturbed, and storage rules may remove by age the batches
-    of compacted days.
+    Rows keep the name of the batch they came with, so a reader takes each batch once, and one that comes later is still
+    seen. Nothing is replaced or removed: running readers are not disturbed, and storage rules may remove by age the
+    batches of compacted days.
     """
     rows = _batches_and_closed(spark, path, None, day)
     if rows is not None:
         stamp = f"{time.time_ns() // 1_000_000:014d}-{uuid4().hex[:12]}"
-        placed = rows.withColumn("closed", F.lit(stamp)).hint("rebalance", "day", "closed")
-        (
-            placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "closed").parquet(f"{path}/compacted")
-        )
+        placed = _by_size(rows, rows_per_file).withColumn("closed", F.lit(stamp))
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "closed").parquet(f"{path}/compacted")
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, columns: list[str] | None = None, batch_size: int = 5_000, **options) -> None:

@@ -16,7 +16,7 @@ from tidemart.llm.arrow import map_batches
 
 MARK = "▁"
 BREAK = b"\xff"  # in no UTF-8 text, so no piece matches across it
-PART, INDEX_BYTES, MAX_SEGMENTS = 1 << 21, 1 << 19, 300_000
+PART, INDEX_BYTES, MAX_SEGMENTS = 1 << 21, 1 << 18, 250_000
 PAIR_SLOTS, LONG, TOKENS = 20, 256, 1 << 18
 NORMAL, BYTE = 1, 6
 OPEN, START = -2, -1  # a place not reached, and one where a unit starts

@@ -110,6 +110,17 @@ def seen(count: np.ndarray, total: np.ndarray, left: np.ndarray, d: np.ndarray)
     return d[np.minimum(count, k + 1)] * count / np.where(left > 0, total, total + 1)
 
 
+def word_chances(count: np.ndarray, level: Level) -> np.ndarray:
+    """Probabilities of words from their counts; all unknown words together have what discounting leaves."""
+    unknown = level.left / level.total if level.left > 0 else 1 / (level.total + 1)
+    return np.where(count > 0, seen(count, level.total, np.full(len(count), level.left), level.d), unknown)
+
+
+def by_word(word: np.ndarray) -> np.ndarray:
+    """The order in which n-grams' lower probabilities travel: words of like rank have like counts, so most repeat."""
+    return np.argsort(word, kind="stable")
+
+
 def left_over(few: np.ndarray, d: np.ndarray) -> np.ndarray:
     """What discounting takes off, from the numbers of followers seen 1 to k times (one row per context)."""
     r = np.arange(1, len(d) - 1)
@@ -137,7 +148,8 @@ class Asked:
     keys: np.ndarray
     bucket: np.ndarray
     train: np.ndarray
-    lower: np.ndarray
+    lower: np.ndarray  # probability of the n-gram less its first word
+    under: np.ndarray  # what a bucket needs to know it: of words the count, beyond them the probability
     total: np.ndarray  # of the context
     hot: np.ndarray
 
@@ -182,9 +194,7 @@ class Chunk:
         number[order] = np.concatenate([g[0] for g in got])
         count[order] = np.concatenate([g[1] for g in got])
         level = self.levels[0]
-        left = np.full(len(count), level.left)
-        unknown = level.left / level.total if level.left > 0 else 1 / (level.total + 1)
-        p = np.where(count > 0, seen(count, np.full(len(count), level.total), left, level.d), unknown)
+        p = word_chances(count, level)
         self.known = count
         self.number, self.count = number[self.local], count[self.local]
         self.gram = self.number
@@ -205,8 +215,9 @@ class Chunk:
         back = np.empty(len(order), np.int32)
         back[order] = np.arange(len(order), dtype=np.int32)
         train = np.bincount(place[self.training[positions]], minlength=len(keys))
-        lower = self.prob[positions][first]
-        return Asked(positions, back[place], keys[order], bucket[order], train[order], lower[order], total[order], hot[order])
+        lower = self.prob[positions][first][order]
+        under = self.known[self.local[positions][first]][order].astype(np.uint64) if n == 2 else lower
+        return Asked(positions, back[place], keys[order], bucket[order], train[order], lower, under, total[order], hot[order])
 
     def send(self, asked: Asked) -> Iterator[tuple[int, bytes]]:
         for b in np.unique(asked.bucket):
@@ -216,8 +227,10 @@ class Chunk:
             further[first] = word[first]
             train = asked.train[part]
             # only what is seen in training counts for a context
-            values, which = np.unique(np.where(train > 0, asked.lower[part], 0.0), return_inverse=True)
-            yield int(b), pack(steps(ctx), many.astype(np.uint32), further, train.astype(np.uint32), values, which.astype(np.uint32), asked.hot[part][first])
+            values, which = np.unique(asked.under[part][train > 0], return_inverse=True)
+            which = which[by_word(word[train > 0])].astype(np.uint32)
+            values = steps(values) if values.dtype.kind == "u" else values
+            yield int(b), pack(steps(ctx), many.astype(np.uint32), further, train.astype(np.uint32), values, which, asked.hot[part][first])
 
     def take(self, n: int, asked: Asked, answers: dict[int, bytes], hot: dict[int, list[float]]) -> None:
         k, d = self.how.discounted, self.levels[n - 1].d
@@ -302,9 +315,17 @@ def spectrum(count: np.ndarray, k: int) -> list[float]:
     return [*map(float, few[1 : k + 2]), float((count > 0).sum()), float(count.sum())]
 
 
-def count_grams(table: pa.Table, n: int, how: Order, buckets: int) -> pa.Table:
+def lower_chances(words: np.ndarray, values: np.ndarray, which: np.ndarray, level: Level) -> np.ndarray:
+    """Lower probabilities of the n-grams that a chunk has seen in training, from what came for them in ``by_word`` order."""
+    values = word_chances(np.cumsum(values), level) if values.dtype.kind == "u" else values
+    out = np.empty(len(words))
+    out[by_word(words)] = values[which]
+    return out
+
+
+def count_grams(table: pa.Table, n: int, how: Order, levels: list[Level]) -> pa.Table:
     """A bucket of n-grams: counts, what their contexts need for backing off, and the answer to every chunk."""
-    b, k = table["bucket"][0].as_py(), how.discounted
+    b, k, buckets = table["bucket"][0].as_py(), how.discounted, levels[n - 1].buckets
     asked = [unpack(x) for x in table["blob"].to_pylist()]
     contexts = [np.cumsum(a[0], dtype=np.uint64) for a in asked]
     keys = [(np.repeat(c, a[1]) << np.uint64(32)) | in_order(a[2], a[1]) for c, a in zip(contexts, asked)]
@@ -312,7 +333,7 @@ def count_grams(table: pa.Table, n: int, how: Order, buckets: int) -> pa.Table:
     train = np.concatenate([a[3] for a in asked])
     count = np.bincount(place, train, len(distinct)).astype(np.int64)
     lower = np.zeros(len(distinct))
-    lower[place[train > 0]] = np.concatenate([a[4][a[5]] for a in asked])[train > 0]
+    lower[place[train > 0]] = np.concatenate([lower_chances(x[a[3] > 0].astype(np.uint32), a[4], a[5], levels[0]) for x, a in zip(keys, asked)])
     ctx, of = np.unique(distinct >> np.uint64(32), return_inverse=True)
     few = np.stack([np.bincount(of, count == r, len(ctx)) for r in range(1, k + 1)], axis=1)
     sums = np.bincount(of, np.where(count > 0, lower, 0.0), len(ctx))
@@ -407,7 +428,7 @@ def scored(chunks: DataFrame, how: Order) -> DataFrame:
     answers = None
     for n in range(1, how.n + 1):
         levels = [*levels, Level(buckets, texts=texts or 0)]
-        got = ask(chunks, answers, levels, how).groupBy("bucket").applyInArrow(counter(n, how, buckets), ANSWERED)
+        got = ask(chunks, answers, levels, how).groupBy("bucket").applyInArrow(counter(n, how, levels), ANSWERED)
         got = written(got, f"katz-level-{n}", "kind")
         finish(levels[-1], got, how)
         sums = [F.sum(F.col("nums")[i]) for i in range(how.discounted + 1)]
@@ -444,8 +465,8 @@ def ask(chunks: DataFrame, answers: DataFrame | None, levels: list[Level], how:
     return chunks.select("chunk", "blob").groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(grams, SENT)
 
 
-def counter(n: int, how: Order, buckets: int) -> Callable[[pa.Table], pa.Table]:
-    return (lambda t: count_words(t, how, buckets)) if n == 1 else (lambda t: count_grams(t, n, how, buckets))
+def counter(n: int, how: Order, levels: list[Level]) -> Callable[[pa.Table], pa.Table]:
+    return (lambda t: count_words(t, how, levels[0].buckets)) if n == 1 else (lambda t: count_grams(t, n, how, levels))
 
 
 def finish(level: Level, got: DataFrame, how: Order) -> None:

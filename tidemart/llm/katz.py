@@ -148,8 +148,7 @@ class Asked:
     keys: np.ndarray
     bucket: np.ndarray
     train: np.ndarray
-    lower: np.ndarray  # probability of the n-gram less its first word
-    under: np.ndarray  # what a bucket needs to know it: of words the count, beyond them the probability
+    first: np.ndarray  # a position of each
     total: np.ndarray  # of the context
     hot: np.ndarray
 
@@ -201,25 +200,33 @@ class Chunk:
         self.prob[self.scored] = p[self.local[self.scored]]
 
     def ask(self, n: int) -> Asked:
-        positions = np.flatnonzero(self.offset >= n - 1)
-        before = self.count[positions - 1]
-        if n == 2:  # a begin is no token, but every training text has one
-            before = np.where(self.offset[positions - 1] == 0, self.levels[0].texts, before)
+        positions = np.flatnonzero(self.offset >= n - 1).astype(np.int32)
         key = (self.gram[positions - 1].astype(np.uint64) << np.uint64(32)) | self.number[positions]
-        keys, first, place = np.unique(key, return_index=True, return_inverse=True)
-        place = place.astype(np.int32)
-        total = before[first]
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.empty(0, bool)
+        starts = np.flatnonzero(new)
+        keys, first = key[starts], positions[order[starts]]
+        del key  # arrays of all tokens set what a chunk takes
+        place = np.empty(len(positions), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        train = np.add.reduceat(self.training[positions][order], starts, dtype=np.uint32) if len(keys) else np.empty(0, np.uint32)
+        del order, new
+        total = self.count[first - 1]
+        if n == 2:  # a begin is no token, but every training text has one
+            total = np.where(self.offset[first - 1] == 0, self.levels[0].texts, total)
         hot = total > self.how.bucket_tokens // 2
-        bucket = (mix(np.where(hot, keys, keys >> np.uint64(32))) % np.uint64(self.levels[n - 1].buckets)).astype(np.int64)
+        bucket = (mix(np.where(hot, keys, keys >> np.uint64(32))) % np.uint64(self.levels[n - 1].buckets)).astype(np.int32)
         order = np.argsort(bucket, kind="stable")
         back = np.empty(len(order), np.int32)
         back[order] = np.arange(len(order), dtype=np.int32)
-        train = np.bincount(place[self.training[positions]], minlength=len(keys))
-        lower = self.prob[positions][first][order]
-        under = self.known[self.local[positions][first]][order].astype(np.uint64) if n == 2 else lower
-        return Asked(positions, back[place], keys[order], bucket[order], train[order], lower, under, total[order], hot[order])
+        return Asked(positions, back[place], keys[order], bucket[order], train[order], first[order], total[order], hot[order])
 
-    def send(self, asked: Asked) -> Iterator[tuple[int, bytes]]:
+    def under(self, n: int, positions: np.ndarray) -> np.ndarray:
+        """What a bucket needs to know the lower probabilities of n-grams: of words the counts, beyond them the values."""
+        return self.known[self.local[positions]].astype(np.uint64) if n == 2 else self.prob[positions]
+
+    def send(self, n: int, asked: Asked) -> Iterator[tuple[int, bytes]]:
         for b in np.unique(asked.bucket):
             part, first, many = asked.runs(int(b))
             ctx, word = (asked.keys[part] >> np.uint64(32))[first], asked.keys[part].astype(np.uint32)
@@ -227,35 +234,36 @@ class Chunk:
             further[first] = word[first]
             train = asked.train[part]
             # only what is seen in training counts for a context
-            values, which = np.unique(asked.under[part][train > 0], return_inverse=True)
+            values, which = np.unique(self.under(n, asked.first[part][train > 0]), return_inverse=True)
             which = which[by_word(word[train > 0])].astype(np.uint32)
             values = steps(values) if values.dtype.kind == "u" else values
-            yield int(b), pack(steps(ctx), many.astype(np.uint32), further, train.astype(np.uint32), values, which, asked.hot[part][first])
+            yield int(b), pack(steps(ctx), many.astype(np.uint32), further, train, values, which, asked.hot[part][first])
 
     def take(self, n: int, asked: Asked, answers: dict[int, bytes], hot: dict[int, list[float]]) -> None:
-        k, d = self.how.discounted, self.levels[n - 1].d
-        count, number = np.empty(len(asked.keys), np.int64), np.empty(len(asked.keys), np.uint32)
-        few, lower = np.empty((len(asked.keys), k)), np.empty(len(asked.keys))
+        k, d, further = self.how.discounted, self.levels[n - 1].d, n < self.how.n
+        p = np.empty(len(asked.keys))
+        count, number = (np.empty(len(p), t) for t in (np.int64, np.uint32)) if further else (None, None)
         for b, blob in answers.items():
-            part, first, many = asked.runs(b)
+            part, _, many = asked.runs(b)
             counts, numbers, some, values, which = unpack(blob)
-            count[part], number[part] = counts, numbers if len(numbers) else 0
-            few[part] = np.repeat(some.reshape(-1, k), many, axis=0)
-            lower[part] = np.repeat(values[which], many)
-        if asked.hot.any():
-            at = np.flatnonzero(asked.hot)
-            ctx, which = np.unique(asked.keys[at] >> np.uint64(32), return_inverse=True)
-            sums = np.array([hot[int(c)] for c in ctx])
-            few[at], lower[at] = sums[which, :k], sums[which, k]
-        total = asked.total
-        left = left_over(few, d)
-        rest = np.where(left > 0, left / np.maximum(total, 1), 1 / (total + 1)) / np.maximum(1 - lower, 1e-300)
-        backed = np.where(total > 0, rest, 1.0) * asked.lower
-        p = np.where(count > 0, seen(count, np.maximum(total, 1), left, d), backed)
+            left, lower = np.repeat(left_over(some.reshape(-1, k), d), many), np.repeat(values[which], many)
+            spread = asked.hot[part]
+            if spread.any():
+                ctx, of = np.unique(asked.keys[part][spread] >> np.uint64(32), return_inverse=True)
+                sums = np.array([hot[int(c)] for c in ctx])
+                left[spread], lower[spread] = left_over(sums[:, :k], d)[of], sums[of, k]
+            total = asked.total[part]
+            rest = np.where(left > 0, left / np.maximum(total, 1), 1 / (total + 1)) / np.maximum(1 - lower, 1e-300)
+            backed = np.where(total > 0, rest, 1.0) * self.prob[asked.first[part]]
+            p[part] = np.where(counts > 0, seen(counts, np.maximum(total, 1), left, d), backed)
+            if further:
+                count[part], number[part] = counts, numbers
         self.prob[asked.positions] = p[asked.place]
-        if n < self.how.n:
+        if further:
             self.gram, self.count = np.zeros(len(self.gram), np.uint32), np.zeros(len(self.count), np.int64)
             self.gram[asked.positions], self.count[asked.positions] = number[asked.place], count[asked.place]
+        else:
+            del self.gram, self.number, self.count
 
 
 def tokenise(docs: DataFrame, doc_id: str, text: str, held: Column, how: Order) -> DataFrame:
@@ -455,7 +463,7 @@ def ask(chunks: DataFrame, answers: DataFrame | None, levels: list[Level], how:
         out = []
         for name, blob in zip(left["chunk"].to_pylist(), left["blob"].to_pylist()):
             chunk = rebuilt(blob, right.to_pydict(), levels, how, n - 1)
-            out += [(name, b, x) for b, x in chunk.send(chunk.ask(n))]
+            out += [(name, b, x) for b, x in chunk.send(n, chunk.ask(n))]
         columns = [list(c) for c in zip(*out)] or [[]] * 3
         kinds = (pa.int64(), pa.int32(), pa.binary())
         return pa.table([pa.array(c, t) for c, t in zip(columns, kinds)], names=["chunk", "bucket", "blob"])
@@ -486,15 +494,14 @@ def final(chunks: DataFrame, answers: DataFrame, levels: list[Level], how: Order
         for ids, blob in zip(left["ids"].to_pylist(), left["blob"].to_pylist()):
             chunk = rebuilt(blob, right.to_pydict(), levels, how, how.n)
             at, n = chunk.scored, len(chunk.lengths)
-            count, doc = chunk.known[chunk.local[at]], chunk.doc[at]
-            words = levels[0]
-            base = np.log10((count + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
+            word, doc, words = chunk.local[at], chunk.doc[at], levels[0]
+            base = np.log10((chunk.known + 0.5) / (words.total + 0.5 * (words.distinct + 1)))
             parts.append(pa.table({
                 "doc_id": pa.array(ids, pa.int64()), "held_out": pa.array(chunk.held == 1),
                 "n_tokens": pa.array(chunk.lengths - 1, pa.int64()),
-                "n_known": pa.array(np.bincount(doc, count > 0, n).astype(np.int64)),
+                "n_known": pa.array(np.bincount(doc[(chunk.known > 0)[word]], minlength=n)),
                 "train_tokens": pa.array(np.full(n, int(words.total), np.int64)),
-                "base_score": pa.array(np.bincount(doc, base, n)),
+                "base_score": pa.array(np.bincount(doc, base[word], n)),
                 "score": pa.array(np.bincount(doc, np.log10(chunk.prob[at]), n)),
             }))
         return pa.concat_tables(parts)

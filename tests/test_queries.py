@@ -28,3 +28,14 @@ def test_entry_has_them_all():
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_dictionary_counts_only_words_reach_the_count(spark):
+    """Han candidates that are no dictionary word are dropped before the count per text; single characters stay."""
+    from tidemart.plans.registry import dictionary_counts
+
+    docs = spark.createDataFrame([(1, "的一是 的一"), (2, "的一是在 abc"), (3, None)], "doc_id long, text string")
+    dictionary = spark.createDataFrame([("的一",), ("一是在",), ("abc",)], "word string")
+    got = {(r["word"], r["n"], r["n_docs"]) for r in dictionary_counts(docs, dictionary).collect() if r["word"] is not None}
+    assert ("的一", 3, 2) in got and ("一是在", 1, 1) in got and ("abc", 1, 1) in got
+    assert ("的一是", 2, 2) not in got and all(len(w) == 1 for w, _, _ in got - {("的一", 3, 2), ("一是在", 1, 1), ("abc", 1, 1)})

@@ -23,19 +23,23 @@ def write_stats(df: DataFrame, path: str, batch_id: int | None = None, writer: s
     if (batch_id is None) != (writer is None):
         raise ValueError("a batch number and its writer go together")
     name = uuid4().hex if writer is None else f"{writer}-{batch_id}"
-    rows = df.withColumns({"day": F.substring("stt", 1, 10), "batch": F.lit(name)}).persist()
-    _by_size(rows, rows_per_file).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{path}/batches")
+    # day and batch are added after the shuffle: neither is cached or shuffled with every row
+    rows = df.persist()
+    placed = _by_size(rows, rows_per_file, F.substring("stt", 1, 10)).withColumns({"day": F.substring("stt", 1, 10), "batch": F.lit(name)})
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{path}/batches")
     rows.unpersist()
 
 
-def _by_size(rows: DataFrame, rows_per_file: int) -> DataFrame:
-    """Rows dealt out by day, those of a large day by a hash over as many tasks as it needs files."""
+def _by_size(rows: DataFrame, rows_per_file: int, day=None) -> DataFrame:
+    """Rows dealt out by ``day`` (the column of that name by default), those of a large day by a hash over as many tasks as it needs files."""
+    day = F.col("day") if day is None else day
     # no more than one row for each file's worth of rows
-    large = {r.day: -(-r["count"] // rows_per_file) for r in rows.groupBy("day").count().filter(F.col("count") > rows_per_file).collect()}
+    counts = rows.groupBy(day.alias("_day")).count().filter(F.col("count") > rows_per_file).collect()
+    large = {r["_day"]: -(-r["count"] // rows_per_file) for r in counts}
     salt = F.lit(0).cast("long")
-    for day, files in large.items():
-        salt = F.when(F.col("day").eqNullSafe(F.lit(day)), F.pmod(F.xxhash64(*rows.columns), F.lit(files))).otherwise(salt)
-    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, "day", salt)
+    for each, files in large.items():
+        salt = F.when(day.eqNullSafe(F.lit(each)), F.pmod(F.xxhash64(*rows.columns), F.lit(files))).otherwise(salt)
+    return rows.repartition(rows.sparkSession.sparkContext.defaultParallelism, day, salt)
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType | None, names: str, day: str | None) -> DataFrame | None:

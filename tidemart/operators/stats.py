@@ -95,10 +95,10 @@ def keyword_stats(
     With a dictionary the Han candidates are counted first and checked after, so the check sees one row per word and
     window; without one a Han run counts as one word.
     """
-    words = candidate_words(searches, "full_word", Prefixes(dictionary) if dictionary is not None else None)
+    words = candidate_words(searches, "full_word", Prefixes(dictionary) if dictionary is not None else None, counts="_n")
     flag = ["_han"] if dictionary is not None else []
     stats = words.groupBy(_window(width), "word", *flag).agg(
-        F.count(F.lit(1)).alias("ct"), F.min("ts").alias("ts")
+        F.sum("_n").alias("ct"), F.min("ts").alias("ts")
     )
     if dictionary is not None:
         stats = in_dictionary(stats, dictionary, singles=singles)

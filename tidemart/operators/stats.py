@@ -87,17 +87,48 @@ def window_stats_join(order_wide: DataFrame, width: str = WIDTH) -> DataFrame:
     return window_bounds(stats)
 
 
+#: Bytes of text whose words make about a million rows, and how many times that one window may hold in a task of its own.
+TASK_BYTES, HOT_WINDOW = 8 << 20, 8
+
+
+def windows_together(
+    searches: DataFrame, width: str = WIDTH, task_bytes: int = TASK_BYTES, text: str = "full_word"
+) -> tuple[DataFrame, str | None]:
+    """Searches dealt out by day, those of a large day by window over as many tasks as it has ``task_bytes`` of text.
+
+    Every window lies whole in one task, whose number is in the column that is named second: its words need no shuffle,
+    and the rows of a day lie where their files are written. Where a window has too much text for that, the searches
+    come back as they are, without a column. For tables only.
+    """
+    start = searches.withColumn("_start", _window(width)).withColumn("_start", F.col("_start.start"))
+    placed = start.withColumn("_day", F.to_date("_start"))
+    per_window = placed.groupBy("_day", "_start").agg(F.sum(F.octet_length(text)).alias("_bytes"))
+    per_day = per_window.groupBy("_day").agg(F.sum("_bytes").alias("_bytes"), F.max("_bytes").alias("_most"))
+    # no more than one row for each task's worth of text
+    large = per_day.filter(F.col("_bytes") > task_bytes).collect()
+    if any(r["_most"] > HOT_WINDOW * task_bytes for r in large):
+        return searches, None
+    parts = [(r["_day"], -(-r["_bytes"] // task_bytes)) for r in large]
+    tasks = max(sum(n for _, n in parts), searches.sparkSession.sparkContext.defaultParallelism)
+    known = F.broadcast(searches.sparkSession.createDataFrame(parts, "_day date, _parts bigint"))
+    part = F.pmod(F.xxhash64("_start"), F.coalesce("_parts", F.lit(1)))
+    placed = placed.join(known, "_day", "left").withColumn("_place", F.xxhash64("_day", part))
+    return placed.select(*searches.columns, "_place").repartition(tasks, "_place"), "_place"
+
+
 def keyword_stats(
-    searches: DataFrame, width: str = WIDTH, dictionary: DataFrame | None = None, singles: bool = True
+    searches: DataFrame, width: str = WIDTH, dictionary: DataFrame | None = None, singles: bool = True,
+    place: str | None = None,
 ) -> DataFrame:
     """Searches per word in each window.
 
     With a dictionary the Han candidates are counted first and checked after, so the check sees one row per word and
-    window; without one a Han run counts as one word.
+    window; without one a Han run counts as one word. ``place`` is the column that ``windows_together`` names.
     """
     words = candidate_words(searches, "full_word", Prefixes(dictionary) if dictionary is not None else None, counts="_n")
     flag = ["_han"] if dictionary is not None else []
-    stats = words.groupBy(_window(width), "word", *flag).agg(
+    placed = [place] if place else []  # a window has one place, so the groups are the same
+    stats = words.groupBy(*placed, _window(width), "word", *flag).agg(
         F.sum("_n").alias("ct"), F.min("ts").alias("ts")
     )
     if dictionary is not None:

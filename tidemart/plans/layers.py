@@ -98,6 +98,11 @@ class Layers:
     def keyword_stats(self) -> DataFrame:
         return stats.keyword_stats(self.searches(), self.width)
 
+    def keyword_stats_together(self) -> tuple[DataFrame, bool]:
+        """The same, and whether the rows of a day lie together, as they do where no window has too much text for a task."""
+        searches, place = stats.windows_together(self.searches(), self.width)
+        return stats.keyword_stats(searches, self.width, place=place), place is not None
+
     # ---- change records
     def changes(self) -> DataFrame:
         return cdc_normalize(D.change_records(self.spark, self.folder))

@@ -14,20 +14,24 @@ from pyspark.sql import types as T
 CLOSED = re.compile(r"/day=([^/]+)/closed=([^/]+)/")
 
 
-def write_stats(df: DataFrame, path: str, batch_id: int | None = None, writer: str | None = None, rows_per_file: int = 1 << 20) -> None:
+def write_stats(df: DataFrame, path: str, batch_id: int | None = None, writer: str | None = None, rows_per_file: int = 1 << 20, together: bool = False) -> None:
     """Add a batch of statistics by day of ``stt``; a writer's retried batch replaces itself.
 
     A batch without a number and a writer is one of its own. A day gets a file for every ``rows_per_file`` rows, so a small
-    day has one; files are dealt out over all cores, with or without adaptive execution.
+    day has one; files are dealt out over all cores, with or without adaptive execution. ``together`` says that the rows
+    of a day lie in as few tasks as that already: they are written from there, neither cached nor shuffled.
     """
     if (batch_id is None) != (writer is None):
         raise ValueError("a batch number and its writer go together")
     name = uuid4().hex if writer is None else f"{writer}-{batch_id}"
     # day and batch are added after the shuffle: neither is cached or shuffled with every row
-    rows = df.persist()
-    placed = _by_size(rows, rows_per_file, F.substring("stt", 1, 10)).withColumns({"day": F.substring("stt", 1, 10), "batch": F.lit(name)})
-    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(f"{path}/batches")
-    rows.unpersist()
+    rows = df if together else df.persist()
+    dealt = rows if together else _by_size(rows, rows_per_file, F.substring("stt", 1, 10))
+    placed = dealt.withColumns({"day": F.substring("stt", 1, 10), "batch": F.lit(name)})
+    out = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch")
+    (out.option("maxRecordsPerFile", rows_per_file) if together else out).parquet(f"{path}/batches")
+    if not together:
+        rows.unpersist()
 
 
 def _by_size(rows: DataFrame, rows_per_file: int, day=None) -> DataFrame:
